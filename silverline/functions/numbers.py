@@ -23,6 +23,12 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator, F.lit(0)).cast("double")
 
 
+def rounded_ratio(numerator: Column, denominator: Column, precision: int = 12, scale: int = 2) -> Column:
+    """Quotient as a decimal: scaled up in double precision, rounded half away from zero."""
+    scaled = F.round(guarded_ratio(numerator, denominator) * 10**scale, 0) / 10**scale
+    return scaled.try_cast(f"decimal({precision},{scale})")
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(guarded_ratio(part, whole) * 100, digits)
 

@@ -47,10 +47,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def _order_names(columns: Sequence[Column]) -> dict[str, Column]:
-    return {f"_slice{i}": column for i, column in enumerate(columns)}
-
-
 def with_instances(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,11 +61,10 @@ def with_instances(
     `order`). Rows are numbered inside a slice; the sizes of the earlier slices, found by a
     combined count, are added. No task sees more than one slice of a key.
     """
-    slices = _order_names(slice_by)
-    names = ["_key", *slices]
+    slices = {f"_slice{i}": column for i, column in enumerate(slice_by)}
     tagged = df.withColumns({"_key": F.struct(*[_quoted(key) for key in keys]), **slices})
 
-    sizes = tagged.groupBy(*names).agg(F.count("*").alias("_size"))
+    sizes = tagged.groupBy("_key", *slices).agg(F.count("*").alias("_size"))
     along = Window.partitionBy("_key").orderBy(*[F.col(name).asc_nulls_first() for name in slices])
     offsets = sizes.select(
         F.struct("_key", *slices).alias("_slice"),
@@ -109,27 +104,28 @@ def with_allowance(
 def keep_last_n(
     df: DataFrame,
     keys: Sequence[str],
-    newest: Sequence[Column],
+    order: Sequence[str],
     allowances: DataFrame,
     count: str,
     slice_by: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """The newest N rows of every key, N coming from `allowances` (one where a key has none).
+    """The last N rows of every key along `order`, N coming from `allowances` (one where a key has none).
 
     The largest N is read first (one number). While it is small the rank limit runs ahead of the
     shuffle; beyond that the rows are numbered slice by slice, for which `slice_by` is needed.
     """
-    most = allowances.agg(F.max(_quoted(count))).first()[0] or 1
+    most = max(allowances.agg(F.max(_quoted(count))).first()[0] or 1, 1)
     columns = [_quoted(name) for name in df.columns]
     if most <= MAP_SIDE_RANK_LIMIT:
-        window = Window.partitionBy(*[_quoted(key) for key in keys]).orderBy(*newest)
-        near = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= int(max(most, 1)))
+        window = Window.partitionBy(*[_quoted(key) for key in keys]).orderBy(*newest_first(order))
+        near = df.withColumn("_from_end", F.row_number().over(window)).where(F.col("_from_end") <= int(most))
     else:
         if not slice_by:
             raise ValueError(f"allowances up to {most} need slice_by")
-        near = with_instances(df, keys, newest, slice_by, number="_rank", total="_group_size")
+        near = with_instances(df, keys, oldest_first(order), slice_by, number="_number", total="_size")
+        near = near.withColumn("_from_end", F.col("_size") - F.col("_number") + 1)
     kept = with_allowance(near, allowances, keys, count, name="_allowed")
-    return kept.where(F.col("_rank") <= F.col("_allowed")).select(*columns)
+    return kept.where(F.col("_from_end") <= F.col("_allowed")).select(*columns)
 
 
 def duplicate_census(

@@ -72,7 +72,7 @@ def _typed(bronze: DataFrame, run: SilverRun, version: str) -> DataFrame:
     )
     begin, end, spent = F.col("_begin"), F.col("_end"), F.col("_spent")
     days_so_far = dates.days_between(begin, F.least(run.today, end))
-    rate = numbers.guarded_ratio(spent, days_so_far).try_cast("decimal(12,2)")
+    rate = numbers.rounded_ratio(spent, days_so_far)
     state = F.when(run.today < begin, "Future").when(run.today > end, "Expired").otherwise("Active")
     status = raw("Status")
     return rows.select(
