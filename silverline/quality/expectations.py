@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -93,47 +94,82 @@ def suite_for(dataset: str) -> Suite:
 
 
 def measure(df: DataFrame, suite: Suite) -> DataFrame:
-    """Everything the expectations and metrics need, in one aggregation: one row.
+    """Everything the expectations and metrics need, as one row.
 
-    Only the distinct counts are shuffled, after each task has dropped its own repeats.
+    Counts, bounds and null counts come from one aggregation without a shuffle of rows. Distinct
+    counts come from a second, narrow one: a row sends its key and hashes as (kind, value) pairs,
+    repeats are dropped in the task, and the pairs carry no other aggregate along.
     """
     nulls = [
         F.count_if(is_missing(F.col(f"`{name}`"), suite.null_policy)).alias(f"null_{i}")
         for i, name in enumerate(suite.columns)
     ]
-    key = F.struct(*[F.col(f"`{name}`") for name in suite.primary_key])
-    return df.agg(
+    plain = df.agg(
         F.count("*").alias("row_count"),
         *nulls,
-        F.count_distinct(key).alias("unique_keys"),
-        F.count_distinct("row_hash").alias("unique_rows"),
-        F.count_distinct("source_file_hash").alias("source_hashes"),
         F.min("source_file_bytes").alias("bytes_min"),
         F.max("source_file_bytes").alias("bytes_max"),
         F.avg("source_file_bytes").alias("bytes_avg"),
         F.min("ingested_at").alias("first_ingested"),
         F.max("ingested_at").alias("last_ingested"),
-        F.count_distinct(F.col("ingested_at").cast("date")).alias("ingestion_days"),
+    )
+    key = [F.col(f"`{name}`").cast("string") for name in suite.primary_key]
+    return with_distinct_counts(
+        df,
+        plain,
+        {
+            # NULL is a value of a key, but not a value of a single hash or day.
+            "unique_keys": (F.to_json(F.struct(*key)) if len(key) > 1 else key[0], True),
+            "unique_rows": (F.col("row_hash"), False),
+            "source_hashes": (F.col("source_file_hash"), False),
+            "ingestion_days": (F.col("ingested_at").cast("date").cast("string"), False),
+        },
     )
 
 
-def _result(
-    suite: Suite, kind: str, success: Column, observed: Column, unexpected: Column | None = None,
-    percent: Column | None = None, column: str | None = None, **kwargs,
-) -> Column:
-    described = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in kwargs.items()])) if kwargs else F.lit("{}")
-    return F.struct(
-        F.lit(suite.dataset).alias("dataset"),
-        F.lit(kind).alias("expectation_type"),
-        F.lit(column).cast("string").alias("column"),
-        described.alias("kwargs"),
-        observed.cast("double").alias("observed_value"),
-        F.col("row_count").alias("element_count"),
-        (unexpected if unexpected is not None else F.lit(None)).cast("long").alias("unexpected_count"),
-        (percent if percent is not None else F.lit(None)).cast("double").alias("unexpected_percent"),
-        F.coalesce(success, F.lit(False)).alias("success"),
-        F.lit(kind in CRITICAL).alias("critical"),
+def with_distinct_counts(df: DataFrame, row: DataFrame, counted: dict[str, tuple[Column, bool]]) -> DataFrame:
+    """Add exact distinct counts of several expressions to a one-row table."""
+    pairs = F.array(
+        *[F.struct(F.lit(i).alias("kind"), value.alias("value")) for i, (value, _) in enumerate(counted.values())]
     )
+    distinct = df.select(F.inline(pairs)).distinct()
+    counts = distinct.agg(
+        *[
+            F.count_if((F.col("kind") == i) & (F.lit(nulls) | F.col("value").isNotNull())).alias(name)
+            for i, (name, (_, nulls)) in enumerate(counted.items())
+        ]
+    )
+    # Two tables of one row each, joined on a constant.
+    one = F.lit(1).alias("_one")
+    return row.select("*", one).join(counts.select("*", one), "_one").drop("_one")
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _result(
+    suite: Suite, kind: str, success: str, observed: str, unexpected: str = "null", percent: str = "null",
+    checked: str | None = None, **kwargs,
+) -> str:
+    """One expectation as a SQL struct over the measured row."""
+    fields = {
+        "dataset": _text(suite.dataset),
+        "expectation_type": _text(kind),
+        "column": f"cast({_text(checked) if checked else 'null'} as string)",
+        "kwargs": _text(json.dumps(kwargs)),
+        "observed_value": f"cast({observed} as double)",
+        "element_count": "row_count",
+        "unexpected_count": f"cast({unexpected} as bigint)",
+        "unexpected_percent": f"cast({percent} as double)",
+        "success": f"coalesce({success}, false)",
+        "critical": str(kind in CRITICAL).lower(),
+    }
+    return f"named_struct({', '.join(f'{_text(name)}, {value}' for name, value in fields.items())})"
+
+
+def _rate(part: str) -> str:
+    return f"({part} / cast(nullif(row_count, 0) as double))"
 
 
 def _share(part: Column) -> Column:
@@ -142,30 +178,28 @@ def _share(part: Column) -> Column:
 
 def expectations(stats: DataFrame, suite: Suite, expected_duplicates: int = 0) -> DataFrame:
     """One row per expectation. The null rate of an empty table is unknown and fails."""
-    rows = F.col("row_count")
-    results = [
-        _result(
-            suite, ROW_COUNT, rows.between(suite.min_rows, suite.max_rows), rows,
-            min_value=suite.min_rows, max_value=suite.max_rows,
-        )
-    ]
+    bounds = {"min_value": suite.min_rows, "max_value": suite.max_rows}
+    within = f"row_count between {suite.min_rows} and {suite.max_rows}"
+    results = [_result(suite, ROW_COUNT, within, "row_count", **bounds)]
     for i, name in enumerate(suite.columns):
-        nulls, limit = F.col(f"null_{i}"), suite.null_rate_max.get(name, MAX_NULL_RATE)
+        limit = suite.null_rate_max.get(name, MAX_NULL_RATE)
+        nulls, rate = f"null_{i}", _rate(f"null_{i}")
         results.append(
             _result(
-                suite, NOT_NULL, _share(nulls) <= limit, rows - nulls, nulls, _share(nulls) * 100, name,
+                suite, NOT_NULL, f"{rate} <= {limit}D", f"row_count - {nulls}", nulls, f"{rate} * 100", name,
                 column=name, mostly=1 - limit,
             )
         )
     for kind, unique, kwargs in (
-        (KEY_UNIQUE, F.col("unique_keys"), {"column_list": ",".join(suite.primary_key)}),
-        (ROW_HASH_UNIQUE, F.col("unique_rows"), {"column": "row_hash"}),
+        (KEY_UNIQUE, "unique_keys", {"column_list": list(suite.primary_key)}),
+        (ROW_HASH_UNIQUE, "unique_rows", {"column": "row_hash"}),
     ):
-        off = F.abs(rows - unique - expected_duplicates)
-        results.append(_result(suite, kind, off == 0, unique, off, _share(off) * 100, **kwargs))
-    one = F.col("source_hashes")
-    results.append(_result(suite, CONTENT_HASH, one == 1, one, expected_unique_hashes=1))
-    return stats.select(F.inline(F.array(*results)))
+        off = f"abs(row_count - {unique} - {int(expected_duplicates)})"
+        results.append(_result(suite, kind, f"{off} = 0", unique, off, f"{_rate(off)} * 100", **kwargs))
+    results.append(
+        _result(suite, CONTENT_HASH, "source_hashes = 1", "source_hashes", expected_unique_hashes=1)
+    )
+    return stats.selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def volume_metrics(stats: DataFrame) -> DataFrame:
@@ -304,8 +338,8 @@ def null_rates(df: DataFrame, columns: Sequence[str], null_policy: str = "null")
 
 def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows, distinct keys and the difference; NULLs count as values of a key."""
-    stats = df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct(F.struct(*[F.col(f"`{key}`") for key in keys])).alias("unique_keys"),
+    grouped = df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(F.count("*").alias("_n"))
+    stats = grouped.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.count("*").alias("unique_keys")
     )
     return stats.withColumn("duplicate_rows", F.col("total_rows") - F.col("unique_keys"))

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every column expression doubles the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
