@@ -7,6 +7,7 @@ sizes, and splits skewed partitions of a sort-merge join at run time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,9 +76,10 @@ def pair_results(
 ) -> DataFrame:
     """Every task with its result; a task without one is marked as interrupted."""
     fields = ["ok", "exit_code", "skipped", "error", "run_id", "manifest_path"]
-    found = results.select(*on, *fields, F.lit(True).alias("_found"))
-    condition = [tasks[name].eqNullSafe(found[name]) for name in on]
-    joined = tasks.join(found, condition, "left").drop(*[found[name] for name in on])
+    keys = {f"_on_{name}": F.col(name) for name in on}
+    found = results.select(*[value.alias(name) for name, value in keys.items()], *fields, F.lit(True).alias("_found"))
+    condition = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on])
+    joined = tasks.join(found, condition, "left").drop(*keys)
     missing = F.col("_found").isNull()
     result = F.struct(
         F.coalesce("ok", F.lit(False)).alias("ok"),

@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from silverline.operators.joins import not_in
 from silverline.operators.keyed import latest_per_key, oldest_first
 from silverline.operators.positions import with_positions, with_source_row
 from silverline.plans.consolidation import consolidate, consolidated_order
+from silverline.session import path_exists
 from silverline.sources.files import content_hashes, plain_path
 from silverline.sources.readers import read_bronze, read_csv_registry
 from silverline.sources.registry import FileSchema, schema_for
@@ -61,12 +61,9 @@ def bronze_metadata(
 
 def known_hashes(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """Content hashes already in bronze; empty before the first ingestion."""
-    try:
-        return read_bronze(spark, root, dataset).select("sha256").distinct()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not path_exists(spark, f"{root}/{dataset}"):
         return spark.createDataFrame([], "sha256 string")
+    return read_bronze(spark, root, dataset).select("sha256").distinct()
 
 
 def new_files(hashes: DataFrame, known: DataFrame) -> DataFrame:
@@ -154,13 +151,10 @@ def content_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def bronze_stats(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """What is in bronze per content: rows, distinct row hashes, run, first and last ingestion."""
-    try:
-        rows = read_bronze(spark, root, dataset)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not path_exists(spark, f"{root}/{dataset}"):
         empty = "sha256 string, row_count bigint, unique_rows bigint, run_id string, min_ingest timestamp, max_ingest timestamp"
         return spark.createDataFrame([], empty)
+    rows = read_bronze(spark, root, dataset)
     return write_back_stats(rows)
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.audit.ids import state_hash
 from silverline.audit.manifests import iso, silver_manifest
 from silverline.plans.silver import SilverRun, find
+from silverline.session import path_exists
 from silverline.sources.readers import latest_partition, read_bronze
 from silverline.sources.writers import write_manifest, write_silver_snapshot
 
@@ -20,12 +20,9 @@ MANIFEST = (
 
 def built_states(spark: SparkSession, audit_path: str) -> DataFrame:
     """Manifests of earlier builds; empty before the first."""
-    try:
-        return spark.read.schema(MANIFEST).json(audit_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, audit_path):
         return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).json(audit_path)
 
 
 def build_silver(

@@ -49,9 +49,15 @@ def _start(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoin
     return writer.trigger(availableNow=True).start()
 
 
-def daily_log_counts(logs: DataFrame, kind: str = "severity", lateness: str = "1 day") -> DataFrame:
-    """Records per day and kind, for a stream or a table of log records."""
-    timed = logs.withColumn("event_time", F.to_timestamp("timestamp")).withWatermark("event_time", lateness)
+def daily_log_counts(logs: DataFrame, kind: str = "severity", lateness: str | None = None) -> DataFrame:
+    """Records per day and kind, for a stream or a table of log records.
+
+    Nothing is dropped unless `lateness` is set: the state is one number per day and kind. With it,
+    days older than that leave the state, and records for them are ignored.
+    """
+    timed = logs.withColumn("event_time", F.to_timestamp("timestamp"))
+    if lateness:
+        timed = timed.withWatermark("event_time", lateness)
     counted = timed.groupBy(F.window("event_time", "1 day"), F.col(kind).alias("kind")).agg(F.count("*").alias("records"))
     return counted.select(F.col("window.start").cast("date").alias("day"), "kind", "records")
 
