@@ -6,15 +6,13 @@ sizes, and splits skewed partitions of a sort-merge join at run time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverline.operators.positions import SMALL_DOMAIN, dense_ids
-
-BROADCAST_ROWS = 200_000
+from silverline.operators.positions import BROADCAST_ROWS
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -32,21 +30,13 @@ def members(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys.select(*[F.col(f"`{name}`") for name in on]), list(on), "left_semi")
 
 
-def dimension(df: DataFrame, column: str, key: str, small: int = SMALL_DOMAIN) -> DataFrame:
-    """Distinct values of a column with surrogate ids."""
-    return dense_ids(df, column, key, small)
-
-
-def star_join(
-    fact: DataFrame, dimensions: Sequence[tuple[str, DataFrame]], null_safe: bool = False
-) -> DataFrame:
-    """Join a fact table with its dimensions on one column each.
+def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], null_safe: bool = False) -> DataFrame:
+    """Join a fact table with its dimensions, each on its own column.
 
     Rows with a NULL in a dimension column drop out unless `null_safe`.
     """
     out = fact
-    for column, dim in dimensions:
-        dim = sized(dim)
+    for column, dim in dims.items():
         if null_safe:
             renamed = dim.withColumnRenamed(column, "_dim")
             out = out.join(renamed, F.col(f"`{column}`").eqNullSafe(F.col("_dim")), "left").drop("_dim")

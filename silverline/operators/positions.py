@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from silverline.session import ensure_checkpointing
 
 # Below this many distinct values a plain rank in one task is cheap and safe.
 SMALL_DOMAIN = 1_000_000
+# Counted tables up to this size may be broadcast.
+BROADCAST_ROWS = 200_000
 _INDEX_MASK = (1 << 33) - 1
 
 
@@ -40,14 +42,16 @@ def with_positions(df: DataFrame, order: Sequence[Column], name: str = "position
 def with_source_row(df: DataFrame, name: str = "source_row") -> DataFrame:
     """1-based row number inside the file a row was read from. Call it right on the reader.
 
-    Large files are read in blocks. Rows are numbered inside their block; the sizes of the earlier
-    blocks of the file come from a count per block. Where a block starts is fixed by the file, so
-    reading the files for the count and again for the rows cannot disagree.
+    Adds `_source_path` and `_modified` (the time of the file) as well. Large files are read in
+    blocks. Rows are numbered inside their block; the sizes of the earlier blocks of the file come
+    from a count per block. Where a block starts is fixed by the file, so reading the files for the
+    count and again for the rows cannot disagree.
     """
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_modification_time").alias("_modified"),
         F.monotonically_increasing_id().alias("_index"),
     )
     blocks = tagged.groupBy("_file", "_block").agg(
@@ -55,21 +59,40 @@ def with_source_row(df: DataFrame, name: str = "source_row") -> DataFrame:
     )
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    # A file ends in at most one short block, and no task reads less than one full block.
+    most_blocks = len(df.inputFiles()) + df.rdd.getNumPartitions()
+    if most_blocks <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return (
         tagged.join(offsets, ["_file", "_block"])
         .withColumn(name, (F.col("_before") + F.col("_index") - F.col("_first") + 1).cast("long"))
-        .select(*[F.col(f"`{column}`") for column in df.columns], name, F.col("_file").alias("_source_path"))
+        .select(*[F.col(f"`{column}`") for column in df.columns], name, F.col("_file").alias("_source_path"), "_modified")
     )
 
 
-def dense_ids(values: DataFrame, column: str, name: str, small: int = SMALL_DOMAIN) -> DataFrame:
-    """Distinct values of a column with their rank, NULL last.
+def dimensions(df: DataFrame, keys: Mapping[str, str], small: int = SMALL_DOMAIN) -> dict[str, DataFrame]:
+    """Distinct values of several columns with their rank (NULL last), as one table per column.
 
-    The ranking runs over distinct values only. A domain too large for one task is ranked by a
-    distributed sort instead.
+    `keys` names the id of each column. The values of all columns are gathered in one pass and cut
+    off by a checkpoint, so that the input is read once and the sizes are known: a short list is
+    ranked in one task and marked for broadcast, a long one is ranked by a distributed sort.
     """
-    distinct = values.select(F.col(f"`{column}`")).distinct()
-    order = F.col(f"`{column}`").asc_nulls_last()
-    if distinct.limit(small + 1).count() > small:
-        return with_positions(distinct, [order], name)
-    return distinct.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long"))
+    ensure_checkpointing(df.sparkSession)
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("dimension"), F.col(f"`{c}`").cast("string").alias("value")) for c in keys]
+    )
+    values = df.select(F.inline(pairs)).distinct().checkpoint()
+    # One row per dimension.
+    sizes = {row["dimension"]: row["count"] for row in values.groupBy("dimension").count().collect()}
+    out = {}
+    for column, key in keys.items():
+        kind = df.schema[column].dataType
+        own = values.where(F.col("dimension") == column).select(F.col("value").cast(kind).alias(column))
+        order = F.col(f"`{column}`").asc_nulls_last()
+        size = sizes.get(column, 0)
+        if size > small:
+            out[column] = with_positions(own, [order], key)
+        else:
+            ranked = own.withColumn(key, F.row_number().over(Window.orderBy(order)).cast("long"))
+            out[column] = F.broadcast(ranked) if size <= BROADCAST_ROWS else ranked
+    return out

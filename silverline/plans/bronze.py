@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 
 from silverline.audit.ids import deterministic_run_id
 from silverline.functions.text import row_hash
-from silverline.operators.joins import not_in
+from silverline.operators.joins import members, not_in
 from silverline.operators.keyed import latest_per_key, oldest_first
-from silverline.operators.positions import with_positions, with_source_row
+from silverline.operators.positions import BROADCAST_ROWS, with_positions, with_source_row
 from silverline.plans.consolidation import consolidate, consolidated_order
 from silverline.session import path_exists
-from silverline.sources.files import content_hashes, plain_path
+from silverline.sources.files import content_hashes, list_files, plain_path
 from silverline.sources.readers import read_bronze, read_csv_registry
 from silverline.sources.registry import FileSchema, schema_for
 from silverline.sources.writers import write_bronze
 
+# Up to this many contents are named in the partition filter; beyond, they are joined.
+LISTED_PARTITIONS = 1_000
+
 
 @dataclass(frozen=True)
 class IngestRun:
@@ -63,7 +66,9 @@ def known_hashes(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """Content hashes already in bronze; empty before the first ingestion."""
     if not path_exists(spark, f"{root}/{dataset}"):
         return spark.createDataFrame([], "sha256 string")
-    return read_bronze(spark, root, dataset).select("sha256").distinct()
+    # The hashes are in the paths; no file is opened.
+    files = list_files(spark, f"{root}/{dataset}", "*.parquet")
+    return files.select(F.regexp_extract("path", "sha256=([0-9a-f]{64})", 1).alias("sha256")).distinct()
 
 
 def new_files(hashes: DataFrame, known: DataFrame) -> DataFrame:
@@ -77,9 +82,11 @@ def bronze_rows(
     """The rows of the given files with their bronze metadata."""
     numbered = with_source_row(read_csv_registry(spark, list(paths), schema, run.multiline))
     keyed = files.select(plain_path(F.col("path")).alias("_at"), "sha256", "source_file_bytes")
+    if len(paths) <= BROADCAST_ROWS:
+        keyed = F.broadcast(keyed)
     joined = numbered.withColumn("_at", plain_path(F.col("_source_path"))).join(keyed, "_at")
     metadata = bronze_metadata(schema.columns, run, F.col("_at"), F.col("sha256"), F.col("source_file_bytes"))
-    return joined.withColumns(metadata).drop("_at", "_source_path")
+    return joined.withColumns(metadata).drop("_at", "_source_path", "_modified")
 
 
 def ingest_files(
@@ -90,23 +97,24 @@ def ingest_files(
     hashes = content_hashes(spark, source, glob)
     known = known_hashes(spark, root, dataset)
     fresh = new_files(hashes, known)
-    # A list of file names, which the reader needs: it grows with files, not with rows.
-    names = [row.path for row in fresh.select("path").collect()]
-    if names:
-        write_bronze(bronze_rows(spark, fresh, names, schema, run), root, dataset)
-    listed = spark.createDataFrame([(name,) for name in names], "path string").withColumn("_new", F.lit(True))
+    # Names and hashes of the new files, which the reader needs: a list that grows with files, not rows.
+    found = fresh.select("path", "sha256").collect()
+    if found:
+        write_bronze(bronze_rows(spark, fresh, [row.path for row in found], schema, run), root, dataset)
+    listed = spark.createDataFrame(found, "path string, sha256 string")
+    stats = bronze_stats(spark, root, dataset, listed, [row.sha256 for row in found])
+    marked = hashes.join(listed.select("path", F.lit(True).alias("_new")), "path", "left")
     return (
-        hashes.join(listed, "path", "left")
-        .withColumn("skipped", F.col("_new").isNull())
-        .join(bronze_stats(spark, root, dataset), "sha256", "left")
+        marked.withColumn("skipped", F.col("_new").isNull())
+        .join(stats, "sha256", "left")
         .select(
             F.lit(dataset).alias("dataset"),
             plain_path(F.col("path")).alias("source_file"),
             F.col("sha256").alias("source_file_hash"),
             "source_file_bytes",
-            "row_count",
-            "unique_rows",
-            "run_id",
+            F.when(~F.col("skipped"), F.col("row_count")).alias("row_count"),
+            F.when(~F.col("skipped"), F.col("unique_rows")).alias("unique_rows"),
+            F.when(~F.col("skipped"), F.col("run_id")).alias("run_id"),
             F.lit(run.stamp).alias("ingested_at"),
             F.lit(run.schema_version).alias("schema_version"),
             "skipped",
@@ -128,7 +136,8 @@ def ingest_consolidated(rows: DataFrame, allowances: DataFrame, dataset: str, ro
             schema.columns, run, F.lit("consolidated"), F.lit(digest["content_hash"]), F.lit(digest["content_bytes"])
         )
         write_bronze(placed.withColumns(metadata), root, dataset)
-    stats = bronze_stats(spark, root, dataset).where(F.col("sha256") == digest["content_hash"])
+    listed = spark.createDataFrame([(digest["content_hash"],)], "sha256 string")
+    stats = bronze_stats(spark, root, dataset, listed, [digest["content_hash"]])
     return stats.withColumn("skipped", F.lit(skipped))
 
 
@@ -149,13 +158,20 @@ def content_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def bronze_stats(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """What is in bronze per content: rows, distinct row hashes, run, first and last ingestion."""
-    if not path_exists(spark, f"{root}/{dataset}"):
+def bronze_stats(
+    spark: SparkSession, root: str, dataset: str, contents: DataFrame, hashes: Sequence[str]
+) -> DataFrame:
+    """What was written for the given contents: rows, distinct row hashes, run, first and last ingestion.
+
+    Only the partitions of these contents are read.
+    """
+    if not hashes:
         empty = "sha256 string, row_count bigint, unique_rows bigint, run_id string, min_ingest timestamp, max_ingest timestamp"
         return spark.createDataFrame([], empty)
     rows = read_bronze(spark, root, dataset)
-    return write_back_stats(rows)
+    few = len(hashes) <= LISTED_PARTITIONS
+    picked = rows.where(F.col("sha256").isin(list(hashes))) if few else members(rows, contents, ["sha256"])
+    return write_back_stats(picked)
 
 
 def write_back_stats(rows: DataFrame, group: str = "sha256") -> DataFrame:

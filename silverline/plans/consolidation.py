@@ -19,15 +19,9 @@ COUNT = "Duplicate Count"
 
 def read_exports(spark, paths, schema: FileSchema) -> DataFrame:
     """All rows of all exports with the columns that order them."""
-    rows = read_csv_tolerant(spark, paths, schema)
-    modified = rows.select("*", "_metadata.file_modification_time", "_metadata.file_path")
-    days = (
-        modified.groupBy(F.col("file_path").alias("_source_path"))
-        .agg(F.min("file_modification_time").alias("_modified"))
-    )
-    numbered = with_source_row(rows.drop("_corrupt")).join(days, "_source_path")
+    numbered = with_source_row(read_csv_tolerant(spark, paths, schema))
     fields = path_fields(F.col("_source_path"), F.col("_modified"))
-    return numbered.withColumns({"_file_date": fields["file_date"], "_run_id": fields["run_id"]}).drop("_modified")
+    return numbered.withColumns({"_file_date": fields["file_date"], "_run_id": fields["run_id"]}).drop("_modified", "_corrupt")
 
 
 def consolidate(rows: DataFrame, allowances: DataFrame, key: str = "PO #", count: str = COUNT) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions import dates, numbers, rules, text
-from silverline.operators.joins import dimension, star_join
+from silverline.operators.joins import star_join
 from silverline.operators.keyed import with_instances
+from silverline.operators.positions import dimensions
 from silverline.plans.silver.common import (
     BRONZE_METADATA,
     SilverRun,
@@ -103,8 +104,7 @@ def v020_optimized(bronze: DataFrame, run: SilverRun, null_safe: bool = False) -
         "Department": "department_id",
         "Status": "status_id",
     }
-    dims = [(column, dimension(newest, column, key)) for column, key in keyed.items()]
-    rows = star_join(_parsed(newest, 12), dims, null_safe)
+    rows = star_join(_parsed(newest, 12), dimensions(newest, keyed), null_safe)
     day = F.col("_day")
     amount = F.coalesce(F.col("_amount"), F.lit(0).cast("decimal(12,2)"))
     out = rows.select(

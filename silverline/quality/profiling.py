@@ -59,12 +59,16 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def first_values(counts: DataFrame, k: int, name: str, present: Column | None = None) -> DataFrame:
-    """The k smallest values per column, as a sorted list. The limit applies before the shuffle."""
-    known = counts.where(present if present is not None else F.col("value").isNotNull())
-    ranked = known.select("column", "value").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("column").orderBy("value"))
+    """The k smallest present values per column, as a sorted list.
+
+    The rank limit applies before the shuffle. Values that are not present are ranked last instead
+    of being filtered, which leaves the counts as they are for whoever else uses them.
+    """
+    known = F.coalesce(present if present is not None else F.col("value").isNotNull(), F.lit(False))
+    ranked = counts.withColumn("_known", known).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("column").orderBy(F.col("_known").desc(), "value"))
     )
-    few = ranked.where(F.col("_rank") <= k)
+    few = ranked.where((F.col("_rank") <= k) & F.col("_known") & (F.col("n") > 0))
     return few.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias(name))
 
 
@@ -205,12 +209,17 @@ def exact_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """Recommended exact type, nullability, distinct values and cardinality of every column."""
     names = list(columns or business_columns(df))
     kinds = {field.name: field.dataType.typeName() for field in df.schema}
-    stats = column_stats(df, names)
+    measured = column_stats(df, names)
+    # One row per column. Values are listed only for the columns found to have few of them.
+    stats = df.sparkSession.createDataFrame(rows := measured.collect(), measured.schema)
+    short = [row["column"] for row in rows if 0 < row["filled_values"] <= STATUS_DOMAIN]
     filled = F.col("value").isNotNull() & (F.col("value") != "")
-    domains = first_values(value_counts(df, names), STATUS_DOMAIN + 1, "domain", filled)
-    joined = stats.join(domains, "column", "left").withColumn(
-        "domain", F.coalesce("domain", F.array().cast("array<string>"))
-    )
+    listed = first_values(value_counts(df, short), STATUS_DOMAIN, "domain", filled) if short else None
+    none = F.array().cast("array<string>")
+    if listed is None:
+        joined = stats.withColumn("domain", none)
+    else:
+        joined = stats.join(listed, "column", "left").withColumn("domain", F.coalesce("domain", none))
     required = F.when(F.col("non_null") == F.col("total_rows"), " NOT NULL").otherwise("")
     column = F.col("column")
     whole = [name for name in names if kinds[name] in ("byte", "short", "integer", "long")]
@@ -233,7 +242,8 @@ def exact_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def domains(df: DataFrame, columns: Sequence[str], most: int = STATUS_DOMAIN) -> DataFrame:
     """Sorted values of every column that has at most `most` of them."""
-    counts = value_counts(df, columns).where("value IS NOT NULL AND value <> ''")
-    sizes = counts.groupBy("column").agg(F.count("*").alias("unique_values"))
-    listed = first_values(counts, most + 1, "domain")
+    counts = value_counts(df, columns)
+    filled = F.col("value").isNotNull() & (F.col("value") != "")
+    sizes = counts.groupBy("column").agg(F.count_if(filled & (F.col("n") > 0)).alias("unique_values"))
+    listed = first_values(counts, most + 1, "domain", filled)
     return sizes.where(F.col("unique_values") <= most).join(listed, "column")

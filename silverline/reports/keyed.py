@@ -66,13 +66,11 @@ def duplicate_census(spark: SparkSession, d: str) -> DataFrame:
 
 def star_dimensions(spark: SparkSession, d: str) -> DataFrame:
     """AGG-09, WIN-04, SET-02: dimensions with surrogate ids."""
-    orders = S.purchase_orders(spark, d)
+    names = {"Organization": "id", "Department": "id", "Status": "id"}
     out = None
-    for column in ("Organization", "Department", "Status"):
-        dim = joins.dimension(orders, column, "id").select(
-            F.lit(column).alias("dimension"), F.col(column).alias("value"), "id"
-        )
-        out = dim if out is None else out.unionByName(dim)
+    for column, dim in positions.dimensions(S.purchase_orders(spark, d), names).items():
+        part = dim.select(F.lit(column).alias("dimension"), F.col(column).alias("value"), "id")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -87,9 +85,9 @@ def star_join(spark: SparkSession, d: str) -> DataFrame:
     """JN-01: a fact table joined with three dimensions, summed per dimension row."""
     orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
     fact = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    dims = [(c, joins.dimension(fact, c, f"{c}_id")) for c in ("c_mktsegment", "o_orderstatus", "o_orderpriority")]
-    joined = joins.star_join(fact, dims)
-    ids = [f"{c}_id" for c, _ in dims]
+    keys = {c: f"{c}_id" for c in ("c_mktsegment", "o_orderstatus", "o_orderpriority")}
+    joined = joins.star_join(fact, positions.dimensions(fact, keys))
+    ids = list(keys.values())
     return joined.groupBy(*ids).agg(
         F.count("*").alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")
     )

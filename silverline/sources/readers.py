@@ -22,6 +22,15 @@ RUN_MANIFEST = (
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread the rows of an input that arrives in fewer blocks than there are cores.
+
+    A large input has many blocks and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _csv(spark: SparkSession, options: dict[str, str], multiline: bool) -> DataFrameReader:
     return (
         spark.read.option("header", options.get("header", "true").lower())
