@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.audit.ids import state_hash
@@ -39,8 +39,7 @@ def build_silver(
     """Transform a dataset's bronze data, unless this state and version were built before.
 
     `bronze` is `all` (every file) or `latest` (the newest content only). Returns the manifest row,
-    with `skipped` telling whether an earlier build was found. The silver rows are counted by the
-    job that writes them.
+    with `skipped` telling whether an earlier build was found.
     """
     transform = find(dataset, version, variant)
     rows = read_bronze(spark, bronze_root, dataset)
@@ -58,10 +57,10 @@ def build_silver(
     if not earlier.isEmpty():
         return earlier.withColumn("skipped", F.lit(True))
 
-    counted = Observation("silver")
-    silver = transform(rows, run).observe(counted, F.count(F.lit(1)).alias("rows"))
     order = transform.sort_columns() if sort else None
+    silver = transform(rows, run)
     path = write_silver_snapshot(silver, silver_root, dataset, transform.version, run.snapshot_id, order)
+    written = f"{path}/version={transform.version}/snapshot={run.snapshot_id}"
     fields = {
         "dataset": F.lit(dataset),
         "snapshot_id": F.lit(run.snapshot_id),
@@ -69,9 +68,12 @@ def build_silver(
         "bronze_state_hash": F.lit(state["bronze_state_hash"]),
         "bronze_files": F.lit(state["bronze_files"]).cast("long"),
         "created_at": F.lit(iso(run.processed_at)),
-        "silver_path": F.lit(f"{path}/version={transform.version}/snapshot={run.snapshot_id}"),
+        "silver_path": F.lit(written),
     }
-    counts = F.lit(rows.count()).cast("long"), F.lit(counted.get["rows"]).cast("long")
+    # Both counts come from Parquet footers. Counting inside the writing job would count rows again
+    # when a task is repeated or the data is sampled for sorting.
+    kept = spark.read.schema(silver.schema).parquet(written).count()
+    counts = F.lit(rows.count()).cast("long"), F.lit(kept).cast("long")
     manifest = spark.range(1).select(*silver_manifest(*counts, fields))
     write_manifest(manifest, audit_path)
     return manifest.withColumn("skipped", F.lit(False))
