@@ -1,7 +1,7 @@
 """Joins, and set differences expressed as joins.
 
-No side is broadcast by hint unless its size was counted: Spark picks a broadcast from measured
-sizes, and splits skewed partitions of a sort-merge join at run time.
+No side is broadcast by hint here: Spark picks a broadcast from measured sizes, and splits skewed
+partitions of a sort-merge join at run time.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverline.operators.positions import BROADCAST_ROWS
 
 
-def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`df`, marked for broadcast when it has at most `limit` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """The columns of several one-row tables as one row, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.first(F.col(f"`{name}`"), ignorenulls=True).alias(name) for name in stacked.columns])
 
 
 def not_in(df: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:

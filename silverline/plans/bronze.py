@@ -14,7 +14,7 @@ from silverline.functions.text import row_hash
 from silverline.operators.joins import members, not_in
 from silverline.operators.keyed import latest_per_key, oldest_first
 from silverline.operators.positions import BROADCAST_ROWS, with_positions, with_source_row
-from silverline.plans.consolidation import consolidate, consolidated_order
+from silverline.plans.consolidation import AGE, consolidate, consolidated_order
 from silverline.session import path_exists
 from silverline.sources.files import content_hashes, list_files, plain_path
 from silverline.sources.readers import read_bronze, read_csv_registry
@@ -126,8 +126,11 @@ def ingest_consolidated(rows: DataFrame, allowances: DataFrame, dataset: str, ro
     """Consolidate purchase order exports, put them in order, and land them as one bronze content."""
     schema = schema_for(dataset, run.schema_version)
     spark = rows.sparkSession
-    picked = consolidate(rows, allowances).select(*[F.col(f"`{name}`") for name in schema.columns])
-    placed = with_positions(picked, consolidated_order(), "source_row")
+    names = [F.col(f"`{name}`") for name in schema.columns]
+    # The age of a row settles ties, which also lets a much repeated record be sorted by many tasks.
+    kept = consolidate(rows, allowances).select(*names, *AGE[:-1], F.col(AGE[-1]).alias("_export_row"))
+    order = [*consolidated_order(), *oldest_first([*AGE[:-1], "_export_row"])]
+    placed = with_positions(kept, order, "source_row").select(*names, "source_row")
     digest = content_digest(placed, schema.columns).first()
     known = known_hashes(spark, root, dataset).where(F.col("sha256") == digest["content_hash"])
     skipped = not known.isEmpty()

@@ -52,7 +52,7 @@ def v010(bronze: DataFrame, run: SilverRun) -> DataFrame:
         raw("source_row"),
         raw("ingested_at"),
         raw("row_hash").alias("bronze_row_hash"),
-        *silver_stamp("v0.1.0", run, "bids_v0.1.0.sql"),
+        *silver_stamp("v0.1.0", run, "bids"),
     )
     opening = F.col("bid_opening_date")
     in_range = opening.between(

@@ -58,9 +58,10 @@ class Transform:
         return self.build(bronze, run)
 
     def sort_columns(self) -> list[Column]:
+        """The output order, with the key last so that equal values can be split over tasks."""
+        ways = [*self.order, (self.primary_key, "asc")]
         return [
-            F.col(name).desc_nulls_last() if way == "desc" else F.col(name).asc_nulls_last()
-            for name, way in self.order
+            F.col(name).desc_nulls_last() if way == "desc" else F.col(name).asc_nulls_last() for name, way in ways
         ]
 
 
@@ -84,10 +85,11 @@ def lineage(version: str, run: SilverRun) -> list[Column]:
     ]
 
 
-def silver_stamp(version: str, run: SilverRun, source: str | None = None) -> list[Column]:
+def silver_stamp(version: str, run: SilverRun, named_after: str | None = None) -> list[Column]:
+    """Version, time and snapshot; first-generation transforms add a name made of dataset and version."""
     columns = [F.lit(version).alias("transform_version")]
-    if source:
-        columns.append(F.lit(source).alias("transform_sql"))
+    if named_after:
+        columns.append(F.lit(f"{named_after}_{version}.sql").alias("transform_sql"))
     return [*columns, run.now.alias("transformed_at"), F.lit(run.snapshot_id).alias("snapshot_id")]
 
 

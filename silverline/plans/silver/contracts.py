@@ -49,7 +49,7 @@ def v010(bronze: DataFrame, run: SilverRun) -> DataFrame:
         dates.days_between(begin, end).alias("contract_duration_days"),
         *[raw(name) for name in ("source_system", "source_file", "source_file_hash", "source_row", "ingested_at", "bronze_run_id")],
         raw("row_hash").alias("bronze_row_hash"),
-        *silver_stamp("v0.1.0", run, "contracts_v0.1.0.sql"),
+        *silver_stamp("v0.1.0", run, "contracts"),
     )
     earliest = F.lit(EARLIEST_KNOWN).cast("date")
     spent = F.col("dollars_spent")

@@ -37,7 +37,7 @@ def v010(bronze: DataFrame, run: SilverRun) -> DataFrame:
         F.substring(text.drop_first_non_digit(raw("Postal Code")), 1, 5).alias("zip5"),
         *[raw(name) for name in ("source_system", "source_file", "source_file_hash", "source_row", "ingested_at", "bronze_run_id")],
         raw("row_hash").alias("bronze_row_hash"),
-        *silver_stamp("v0.1.0", run, "vendors_v0.1.0.sql"),
+        *silver_stamp("v0.1.0", run, "vendors"),
     )
     return out.where(
         (F.col("vendor_id") != "")

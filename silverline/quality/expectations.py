@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions.text import is_missing
+from silverline.operators.joins import side_by_side
 
 # Names of the expectations, default limits, and limits per dataset.
 ROW_COUNT = "expect_table_row_count_to_be_between"
@@ -139,9 +140,7 @@ def with_distinct_counts(df: DataFrame, row: DataFrame, counted: dict[str, tuple
             for i, (name, (_, nulls)) in enumerate(counted.items())
         ]
     )
-    # Two tables of one row each, joined on a constant.
-    one = F.lit(1).alias("_one")
-    return row.select("*", one).join(counts.select("*", one), "_one").drop("_one")
+    return side_by_side(row, counts)
 
 
 def _text(value: str) -> str:

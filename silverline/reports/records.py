@@ -195,12 +195,63 @@ def content_totals(spark: SparkSession, d: str) -> DataFrame:
     return same.select("content_bytes", (F.col("content_bytes") == F.col("_b")).alias("order_free"))
 
 
+def run_manifests(spark: SparkSession, d: str) -> DataFrame:
+    """AUD-06: nested run manifests, one per order, with their files."""
+    start = F.col("o_orderdate").cast("timestamp")
+    none = F.lit(None).cast("string")
+    runs = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderpriority").alias("dataset"), F.lit("all").alias("label"),
+        start.alias("start_time"), F.when(F.col("o_orderstatus") != "P", start + F.expr("interval 90 second")).alias("end_time"),
+        F.when(F.col("o_orderstatus") == "P", "error").otherwise("success").alias("status"), none.alias("error"),
+        none.alias("start_date"), none.alias("end_date"), none.alias("filter"),
+    )
+    files = table(spark, d, "orders").where("o_orderstatus <> 'O'").select(
+        F.col("o_orderkey").cast("string").alias("run_id"), F.lit("a.csv").alias("name"), F.col("o_custkey").alias("size_bytes"),
+        F.lit("csv").alias("kind"), F.col("o_custkey").alias("records"), (F.col("o_orderstatus") == "P").alias("partial"),
+    )
+    rows = manifests.run_manifest(runs, files)
+    return rows.select(
+        F.col("run.id").alias("run_id"), "run.dataset", "run.status", "run.duration_ms",
+        F.size("files").cast("long").alias("files"), F.get("files", F.lit(0))["records"].alias("records"),
+    )
+
+
+def batch_summary(spark: SparkSession, d: str) -> DataFrame:
+    """AUD-05: one summary over the validated datasets."""
+    from silverline.reports.checks import _results
+
+    statuses = Q.severity(_results(spark, d)).select("dataset", F.col("passed").alias("success"), (F.col("status") == "healthy").alias("skipped"))
+    summary = manifests.batch_summary(statuses, "batch_1", S.NOW)
+    names = F.array_sort(F.transform("results", lambda r: r["dataset"]))
+    return summary.select("run_id", "timestamp", "datasets_processed", "successful", "skipped", "failed", F.concat_ws(",", names).alias("datasets"))
+
+
+def consolidation_report(spark: SparkSession, d: str) -> DataFrame:
+    """AUD-11: consolidated lines against the number of orders."""
+    from silverline.operators.keyed import consolidation_stats
+    from silverline.reports.keyed import _allowances
+
+    stats = consolidation_stats(table(spark, d, "lineitem"), ["l_orderkey"], _allowances(spark, d), "allowed_rows")
+    report = manifests.consolidation_report(stats, table(spark, d, "orders").count(), S.NOW)
+    return report.select("final_rows", "external_count", "difference", "percent_captured", "verdict")
+
+
+def sorted_silver(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-01: silver orders by date, newest first, then by key."""
+    from silverline.operators.positions import with_positions
+
+    transform = find("purchase_orders", "v0.4.0")
+    rows = transform(S.purchase_orders(spark, d), S.RUN).select("po_id", "sent_date")
+    return flat(with_positions(rows, transform.sort_columns()))
+
+
 QUERIES = {
     "state_digest": state_digest, "run_ids": run_ids, "bronze_manifest": bronze_manifest, "silver_manifest": silver_manifest,
     "status_rollup": status_rollup, "availability": availability, "total_records": total_records, "task_results": task_results,
     "orchestration_summary": orchestration_summary, "validation_attached": validation_attached, "reconcile": reconcile,
     "coverage_counts": coverage_counts_report, "lineage_events": lineage_events, "validation_events": validation_events,
     "log_records": log_records, "error_records": error_records, "content_totals": content_totals,
+    "run_manifests": run_manifests, "batch_summary": batch_summary, "consolidation_report": consolidation_report, "sorted_silver": sorted_silver,
 }
 
 _PATHS = "SELECT source, lang || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') || '.parquet' AS path FROM documents"
@@ -229,6 +280,30 @@ def _silver_counts() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _more_sql() -> dict[str, str]:
+    from silverline.reports.checks import SQL as CHECKS
+    from silverline.reports.keyed import SQL as KEYED
+    from silverline.reports.silver import SQL as SILVER
+
+    return {
+        "run_manifests": """
+SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS dataset, CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(90000 AS BIGINT) END AS duration_ms, CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS BIGINT) AS files,
+       CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS records FROM orders""",
+        "batch_summary": f"""
+SELECT 'batch_1' AS run_id, '2024-01-20T12:00:00.000Z' AS timestamp, count(*) AS datasets_processed,
+       count(*) FILTER (passed AND status <> 'healthy') AS successful, count(*) FILTER (status = 'healthy') AS skipped,
+       count(*) FILTER (NOT passed) AS failed, string_agg(dataset, ',' ORDER BY dataset) AS datasets FROM ({CHECKS['severity']})
+HAVING count(*) FILTER (status <> 'healthy') > 0""",
+        "consolidation_report": f"""
+SELECT final_rows, n AS external_count, n - final_rows AS difference, round(final_rows / n * 100, 2) AS percent_captured,
+       CASE WHEN n > final_rows THEN 'missing' WHEN n < final_rows THEN 'extra' ELSE 'match' END AS verdict
+FROM ({KEYED['consolidation_stats']}), (SELECT count(*) AS n FROM orders)""",
+        "sorted_silver": f"""
+SELECT po_id, sent_date, row_number() OVER (ORDER BY sent_date DESC NULLS LAST, po_id) AS position FROM ({SILVER['po_v040']})""",
+    }
+
+
 def _validation_sql() -> str:
     from silverline.reports.checks import SQL as CHECKS
 
@@ -288,3 +363,4 @@ SELECT CASE WHEN user_id % 2 = 0 THEN 'TimeoutError' ELSE 'Error' END AS name, p
 FROM events WHERE event_type = 'error'""",
     "content_totals": "SELECT sum(octet_length(encode(url || '|' || html)))::BIGINT AS content_bytes, true AS order_free FROM pages",
 }
+SQL.update(_more_sql())

@@ -87,6 +87,10 @@ def _stamp(version: str) -> str:
     return f"'{version}' AS transform_version, '{S.RUN.snapshot_id}' AS snapshot_id"
 
 
+def named(dataset: str) -> str:
+    return f"{dataset}_v0.1.0.sql"
+
+
 def _lineage(version: str) -> str:
     return _LINEAGE.format(t="ingested_at") + ", " + _stamp(version)
 
@@ -182,7 +186,7 @@ SELECT "Bid Solicitation #" AS bid_id, "Organization Name" AS organization, "Buy
        CASE WHEN {listed} THEN '{HOLDER_LIST_PATH}' END AS bid_holder_list_url_path,
        CASE WHEN "Status" = 'Awarded' THEN true WHEN "Status" IN ('Sent', 'Open') THEN false END AS is_awarded,
        source_system, source_file, source_row, {_INGESTED} AS ingested_at, row_hash AS bronze_row_hash,
-       'bids_v0.1.0.sql' AS transform_sql, {_stamp('v0.1.0')}
+       '{named("bids")}' AS transform_sql, {_stamp('v0.1.0')}
 FROM (SELECT *, try_strptime("Bid Opening Date", '%m/%d/%Y %H:%M:%S') AS opening FROM {S.BIDS_SQL} r) b
 WHERE "Bid Solicitation #" <> '' AND (opening IS NULL OR opening BETWEEN {FLOOR_DAY} AND {TODAY} + INTERVAL 365 DAY)"""
 
@@ -225,7 +229,7 @@ SELECT "Contract #" AS contract_id, "Bid Solicitation #" AS bid_solicitation_id,
             WHEN "Status" IN ('Expired', 'Terminated', 'Cancelled', 'Closed') THEN false END AS is_active,
        CAST(e - b AS BIGINT) AS contract_duration_days, source_system, source_file, source_file_hash, source_row,
        {_INGESTED} AS ingested_at, bronze_run_id, row_hash AS bronze_row_hash,
-       'contracts_v0.1.0.sql' AS transform_sql, {_stamp('v0.1.0')}
+       '{named("contracts")}' AS transform_sql, {_stamp('v0.1.0')}
 FROM (SELECT *, {_CONTRACT_DAYS}, {_SPENT.format(p=18)} FROM {S.CONTRACTS_SQL} r) c
 WHERE "Contract #" <> '' AND coalesce(b, DATE '2001-01-01') BETWEEN DATE '2000-01-01' AND {TODAY} + 365
   AND coalesce(e, DATE '2001-01-01') >= DATE '2000-01-01' AND coalesce(spent, 0) >= 0
@@ -260,7 +264,7 @@ SELECT {_VENDOR_PLAIN}, coalesce("State" IN ('NV', 'Nevada'), false) AS is_nevad
        regexp_replace("Phone", '[^0-9]', '') AS phone_digits_only,
        left(regexp_replace("Postal Code", '[^0-9]', ''), 5) AS zip5,
        source_system, source_file, source_file_hash, source_row, {_INGESTED} AS ingested_at, bronze_run_id,
-       row_hash AS bronze_row_hash, 'vendors_v0.1.0.sql' AS transform_sql, {_stamp('v0.1.0')}
+       row_hash AS bronze_row_hash, '{named("vendors")}' AS transform_sql, {_stamp('v0.1.0')}
 FROM {S.VENDORS_SQL} v
 WHERE "Vendor ID" <> '' AND "Vendor Name" <> '' AND NOT regexp_matches("Vendor Name", 'TEST|DEMO|DO NOT USE')"""
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.audit.lineage import log_records as make_logs
+from silverline.operators.joins import side_by_side
 from silverline.plans import bronze as B
 from silverline.plans import consolidation
 from silverline.plans.silver import SilverRun
@@ -72,8 +73,7 @@ def file_inventory(spark: SparkSession, d: str) -> DataFrame:
     lines = files.checksum_lines(files.content_hashes(spark, path, "*.csv"), path)
     good = lines.agg(F.every(F.col("line").rlike("^[0-9a-f]{64}  .+[.]csv$")).alias("checksums_ok"))
     totals = data.agg(F.sum("records").alias("records"), F.every(F.col("size_bytes") > 0).alias("sized"), F.every(~F.col("partial")).alias("whole"))
-    one = F.lit(1).alias("_one")
-    return totals.select("*", one).join(good.select("*", one), "_one").drop("_one")
+    return side_by_side(totals, good)
 
 
 _PO_MAP = TypedMap(
@@ -124,8 +124,7 @@ def bronze_ingest(spark: SparkSession, d: str) -> DataFrame:
         F.sum(F.when(F.col("turn") == 1, F.col("row_count"))).alias("manifest_rows"),
         F.every((F.col("turn") == 1) | F.col("skipped")).alias("repeat_skipped"),
     )
-    one = F.lit(1).alias("_one")
-    return numbered.select("*", one).join(totals.select("*", one), "_one").drop("_one")
+    return side_by_side(numbered, totals)
 
 
 def latest_content(spark: SparkSession, d: str) -> DataFrame:
@@ -206,11 +205,49 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     return back.groupBy("State").agg(F.count("*").alias("n"), F.count("Vendor ID").alias("with_id"))
 
 
+def config_freshness(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-12: an allowance file written from the orders, checked for presence, size and age."""
+    path = scratch_path(spark, "allowances")
+    rows = _po_allowances(S.purchase_orders(spark, d))
+    writers.write_csv_ordered(rows, path, ["PO #", consolidation.COUNT])
+    listed = files.list_files(spark, path, "*.csv")
+    fresh = files.config_freshness(listed, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), min_bytes=10)
+    back = readers.read_csv_inferred(spark, path)
+    extra = back.agg(F.sum(F.col(f"`{consolidation.COUNT}`") - 1).cast("long").alias("extra_rows"))
+    return side_by_side(fresh.select("exists", "has_content", "is_recent", "needs_refresh"), extra)
+
+
+def discovered_runs(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-04, SRC-07: files of the runs whose manifest reports success, counted per run."""
+    base = scratch_path(spark, "runs")
+    orders = table(spark, d, "orders")
+    status = F.when(F.max("o_totalprice") > 0, F.when(F.col("o_orderpriority") < "3", "success").otherwise("error"))
+    runs = orders.groupBy("o_orderpriority").agg(status.alias("status")).select(
+        F.concat(F.lit("run_"), F.substring("o_orderpriority", 1, 1)).alias("run"),
+        F.struct(F.struct(F.col("o_orderpriority").alias("dataset"), "status").alias("run")).alias("m"),
+    )
+    # One manifest per run: a handful, named the way the reader looks for them.
+    for row in runs.select("run", F.to_json("m").alias("text")).collect():
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{row['run']}/manifest.json")
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        stream = system.create(folder)
+        stream.write(bytearray(row["text"], "utf-8"))
+        stream.close()
+        part = orders.where(F.substring("o_orderpriority", 1, 1) == row["run"][-1])
+        writers.write_csv_ordered(part, f"{base}/{row['run']}/files", ["o_orderkey", "o_orderpriority"])
+    found = files.discover_files(files.list_files(spark, base, "*.csv"), readers.read_manifests(spark, base))
+    named = found.select(files.plain_path(F.col("path")).alias("at"), "run_id")
+    schema = FileSchema(("o_orderkey", "o_orderpriority"), "o_orderkey")
+    counts = files.csv_record_counts(spark, f"{base}/*/files", schema).select(files.plain_path(F.col("path")).alias("at"), "records")
+    return named.join(counts, "at").groupBy("run_id").agg(F.sum("records").alias("records"))
+
+
 QUERIES = {
     "csv_roundtrip": csv_roundtrip, "csv_tolerant": csv_tolerant, "csv_inferred": csv_inferred, "file_inventory": file_inventory,
     "year_month_export": year_month_export, "typed_rows": typed_rows, "typed_table": typed_table, "bronze_ingest": bronze_ingest,
     "latest_content": latest_content, "consolidated_bronze": consolidated_bronze, "silver_build": silver_build,
     "ndjson_events": ndjson_events, "stream_logs": stream_logs, "stream_ingest": stream_ingest,
+    "config_freshness": config_freshness, "discovered_runs": discovered_runs,
 }
 _VENDOR = ", ".join(f'"{c}"' for c in schema_for("vendors").columns)
 _OPENING = "try_strptime(\"Bid Opening Date\", '%m/%d/%Y %H:%M:%S')"
@@ -251,4 +288,8 @@ SELECT "PO #", CASE WHEN contains("PO #", 'SWC') THEN count(*) ELSE 1 END AS n F
     "ndjson_events": "SELECT strftime(ts, '%Y-%m-%d') AS date, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS severity, event_type AS body, count(*) AS n FROM events GROUP BY ALL",
     "stream_logs": "SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS kind, count(*) AS records FROM events GROUP BY ALL",
     "stream_ingest": f"""SELECT "State", count(*) AS n, count("Vendor ID") AS with_id FROM {S.VENDORS_SQL} v GROUP BY 1""",
+    "config_freshness": f"""
+SELECT true AS exists, true AS has_content, true AS is_recent, false AS needs_refresh, sum(n - 1)::BIGINT AS extra_rows
+FROM (SELECT count(*) AS n FROM {S.PO_SQL} p WHERE contains("PO #", 'SWC') GROUP BY "PO #" HAVING count(*) > 1)""",
+    "discovered_runs": "SELECT left(o_orderpriority, 1) AS run_id, count(*) AS records FROM orders WHERE o_orderpriority < '3' GROUP BY 1",
 }

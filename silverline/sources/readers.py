@@ -23,12 +23,12 @@ RUN_MANIFEST = (
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread the rows of an input that arrives in fewer blocks than there are cores.
+    """Spread the rows of an input that arrives in so few blocks that most cores would idle.
 
-    A large input has many blocks and is returned as it is.
+    Anything larger than a block for every fourth core is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
 def _csv(spark: SparkSession, options: dict[str, str], multiline: bool) -> DataFrameReader:
