@@ -231,7 +231,7 @@ def _domain_sql(column: str) -> str:
 def _type_sql(column: str, source: str, kind: str) -> str:
     """Type rules for one column, chosen here by its name."""
     v = f'"{column}"'
-    pct = f"printf('%.2f%%', count(DISTINCT {v}) / count(*) * 100)"
+    pct = f"printf('%.2f%%', round(count(DISTINCT {v}) / count(*) * 100, 2))"
     req = f"CASE WHEN count({v}) = count(*) THEN ' NOT NULL' ELSE '' END"
     width = f"coalesce(max(length({v})) FILTER ({v} <> ''), 0)"
     values = f"list_sort(list(DISTINCT {v}) FILTER ({v} <> ''))"
