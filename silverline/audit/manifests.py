@@ -16,7 +16,7 @@ def iso(moment: dt.datetime) -> str:
     return moment.isoformat(timespec="milliseconds") + "Z"
 
 
-def run_status(groups: Sequence[str] = ()) -> list[Column]:
+def run_status() -> list[Column]:
     """Counters over results with `success` and `skipped` flags."""
     ok, skipped = F.coalesce(F.col("success"), F.lit(False)), F.coalesce(F.col("skipped"), F.lit(False))
     return [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.audit.ids import state_hash
+from silverline.audit.ids import state_of
 from silverline.audit.manifests import iso, silver_manifest
 from silverline.plans.silver import SilverRun, find
 from silverline.session import path_exists
@@ -49,7 +49,7 @@ def build_silver(
         raise ValueError(f"unknown bronze selection: {bronze}")
     audit_path = f"{silver_root}/_manifests/{dataset}"
     files = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
-    state = state_hash(files, transform.version).first()
+    state = state_of(files, transform.version).first()
     same = (F.col("bronze_state_hash") == state["bronze_state_hash"]) & (
         F.col("transform_version") == transform.version
     )
