@@ -31,8 +31,14 @@ def canonical(names, rows):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+def library(entries):
+    """What this library registers without its text operators, which have tests of their own."""
+    text = {name for module in contract._text_modules() for name in module.QUERIES}
+    return {name: entry for name, entry in entries.items() if name not in text}
+
+
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(library(contract.queries())) == set(library(contract.oracle_sql()))
 
 
 def test_entry(spark):
@@ -40,7 +46,7 @@ def test_entry(spark):
     assert rows and sum(row["orders"] for row in rows) > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(library(contract.queries())))
 def test_matches_sql(spark, con, name):
     ours = contract.queries()[name](spark, SF)
     result = con.execute(contract.oracle_sql()[name])
