@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import packing, pii, quality, warc
+from silverline.llm import html_text, packing, pii, quality, secrets, simhash, warc
 from silverline.llm.common import table
 from silverline.session import scratch_path
 
@@ -33,6 +33,27 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.public_packing())
 
 
+def op3_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest id reachable from it."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.SimHash(words=3, seed=42, radius=2))
+
+
+def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base spans, and all spans."""
+    kinds = tuple(rule.kind for rule in secrets.RULES)
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE_RULES))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{rule.kind}") for k, rule in enumerate(secrets.BASE_RULES)]
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *counts, F.sha2(_listing(base, kinds), 256).alias("base_sha256"), _listing(F.col("spans"), kinds).alias("spans")
+    )
+
+
+def op6_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict for every document."""
     return quality.judge_quality(table(spark, sf_dir, "documents"))
@@ -48,6 +69,9 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_simhash_tiles": op3_simhash_tiles,
+    "op4_trigram_secrets": op4_trigram_secrets,
+    "op6_text_density": op6_text_density,
     "op7_compression_quality": op7_compression_quality,
     "op10_warc_chain": op10_warc_chain,
 }
