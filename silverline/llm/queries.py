@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import html_text, packing, pii, quality, secrets, simhash, warc
+from silverline.llm import decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, warc
 from silverline.llm.common import table
 from silverline.session import scratch_path
 
@@ -49,6 +49,13 @@ def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of repeated line runs: counts and digest of what stays."""
+    kept = line_runs.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", "n_lines", "n_removed", "n_runs", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op6_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.main_text(table(spark, sf_dir, "pages"))
@@ -59,6 +66,11 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document repeats."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written to the shared folder and read back."""
     path = scratch_path(spark, "archives")
@@ -71,9 +83,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash_tiles": op3_simhash_tiles,
     "op4_trigram_secrets": op4_trigram_secrets,
+    "op5_line_runs": op5_line_runs,
     "op6_text_density": op6_text_density,
     "op7_compression_quality": op7_compression_quality,
+    "op9_benchmark_windows": op9_benchmark_windows,
     "op10_warc_chain": op10_warc_chain,
 }
 
-SQL: dict[str, str] = {}
+# Words and white space as the operators split them.
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+OP5_SQL = rf"""
+with split as (
+  select doc_id, string_split(text, chr(10)) as lines from documents
+), every as (
+  select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as no from split
+), worded as (
+  select *, len(regexp_extract_all(line, '{_WORDS}')) as words, row_number() over (partition by doc_id order by no) as pos
+  from every where regexp_matches(line, '{_WORDS}')
+), near as (
+  select doc_id, pos, list(line) over ahead as la, list(words) over ahead as wa, list(line) over behind as lb, list(words) over behind as wb
+  from worded
+  window ahead as (partition by doc_id order by pos rows between current row and 9 following),
+         behind as (partition by doc_id order by pos rows between 9 preceding and current row)
+), sizes as (
+  select *, list_filter(range(1, len(wa) + 1), lambda k: list_sum(wa[1:k]) >= 10)[1] as ka,
+    list_filter(range(1, len(wb) + 1), lambda k: list_sum(wb[len(wb) - k + 1:len(wb)]) >= 10)[1] as kb
+  from near
+), stretches as (
+  select doc_id, pos as first_pos, ka as k, la[1:ka] as part from sizes where ka is not null
+  union
+  select doc_id, pos - kb + 1, kb, lb[len(lb) - kb + 1:len(lb)] from sizes where kb is not null
+), ranked as (
+  select *, row_number() over (partition by part order by doc_id, first_pos) as copy from stretches
+), gone as (
+  select distinct doc_id, unnest(range(first_pos, first_pos + k)) as pos from ranked where copy > 1
+), runs as (
+  select doc_id, count(*) as n_removed, count(*) filter (before is null or before <> pos - 1) as n_runs
+  from (select *, lag(pos) over (partition by doc_id order by pos) as before from gone) group by doc_id
+), kept as (
+  select e.doc_id, string_agg(e.line, chr(10) order by e.no) as text
+  from every e left join worded w on w.doc_id = e.doc_id and w.no = e.no left join gone g on g.doc_id = e.doc_id and g.pos = w.pos
+  where g.pos is null group by e.doc_id
+)
+select d.doc_id, coalesce(len(s.lines), 0)::bigint as n_lines, coalesce(r.n_removed, 0)::bigint as n_removed, coalesce(r.n_runs, 0)::bigint as n_runs,
+  length(coalesce(k.text, ''))::bigint as n_chars, sha256(coalesce(k.text, '')) as kept_sha256
+from documents d left join split s using (doc_id) left join runs r using (doc_id) left join kept k using (doc_id)
+"""
+
+SQL: dict[str, str] = {"op5_line_runs": OP5_SQL}
