@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, warc
+from silverline.llm import decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, suffix_dedup, warc
 from silverline.llm.common import table
 from silverline.session import scratch_path
 
@@ -66,6 +66,11 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that start anywhere else too."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that each document repeats."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_runs": op5_line_runs,
     "op6_text_density": op6_text_density,
     "op7_compression_quality": op7_compression_quality,
+    "op8_suffix_repeats": op8_suffix_repeats,
     "op9_benchmark_windows": op9_benchmark_windows,
     "op10_warc_chain": op10_warc_chain,
 }
