@@ -160,3 +160,8 @@ def drop_repeated_lines(docs: DataFrame, how: LineRuns | None = None) -> DataFra
         F.coalesce("__runs", F.lit(0)).cast("long").alias("n_runs"),
     ]
     return joined.select(*[whole.alias("text") if c == "text" else F.col(f"`{c}`") for c in own], *counts)
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """The documents with n_chars of their text, where they have such a column."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
