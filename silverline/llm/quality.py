@@ -36,8 +36,8 @@ class Band:
 class CompressionRules:
     """Bands for whole documents and for chunks, in order of size; the share of bad chunks that rejects."""
 
-    document: tuple[Band, ...] = (Band(0, 0.0, 9.0), Band(256, 0.25, 1.0), Band(1024, 0.22, 0.90), Band(8192, 0.18, 0.85))
-    chunk: tuple[Band, ...] = (Band(0, 0.0, 9.0), Band(1024, 0.18, 0.92), Band(4096, 0.15, 0.88))
+    document: tuple[Band, ...] = (Band(0, 0.0, 9.0), Band(256, 0.25, 0.95), Band(1024, 0.22, 0.75), Band(8192, 0.18, 0.70))
+    chunk: tuple[Band, ...] = (Band(0, 0.0, 9.0), Band(1024, 0.18, 0.80), Band(4096, 0.15, 0.74))
     chunk_bytes: int = 4096
     bad_chunk_share: float = 0.25
     level: int = 3
