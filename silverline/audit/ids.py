@@ -29,21 +29,16 @@ def snapshot_id(created: dt.datetime, token: str | None = None) -> str:
 def state_hash(files: DataFrame, version: str, path: str = "path") -> DataFrame:
     """One row: hash of a bronze state, from its sorted file names, their number and the version.
 
-    Holds the list of file names in one task; `state_of` keeps long lists away from it.
+    A form for comparing with states hashed elsewhere: it holds the list of file names in one task.
+    Builds identify their input by `state_of`.
     """
     listed = files.agg(F.array_sort(F.collect_list(path)).alias("files"))
     state = F.struct(F.col("files"), F.lit(version).alias("transform"), F.size("files").alias("count"))
     return listed.select(F.sha2(F.to_json(state), 256).alias("bronze_state_hash"), F.size("files").alias("bronze_files"))
 
 
-# Longer lists of files are hashed in buckets.
-LISTED_FILES = 100_000
-
-
-def state_of(files: DataFrame, version: str, path: str = "path", most: int = LISTED_FILES) -> DataFrame:
-    """One row: the hash of a bronze state, by `state_hash` for a short list of files, else by `state_digest`."""
-    if files.count() <= most:
-        return state_hash(files, version, path)
+def state_of(files: DataFrame, version: str, path: str = "path") -> DataFrame:
+    """One row: the hash of a bronze state, for any number of files."""
     return state_digest(files, version, [], path)
 
 
@@ -60,6 +55,6 @@ def state_digest(files: DataFrame, version: str, groups: list[str], path: str =
     )
     pairs = F.array_sort(F.collect_list(F.concat_ws(":", "_bucket", "_hash")))
     return buckets.groupBy(*groups).agg(
-        F.sum("_n").alias("bronze_files"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("bronze_files"),
         F.sha2(F.concat_ws("\n", F.lit(version), F.concat_ws("\n", pairs)), 256).alias("bronze_state_hash"),
     )

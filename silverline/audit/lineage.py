@@ -59,7 +59,7 @@ def _event(producer: Producer, kind: Column, job: Column, job_facets: Column, ru
 
 def start_events(runs: DataFrame, producer: Producer = Producer()) -> DataFrame:
     """START events. Needs dataset, source_path, run_id, event_time."""
-    about = F.concat(F.lit("Ingest "), "dataset", F.lit(" CSV to Bronze layer with content-addressed storage"))
+    about = F.concat(F.lit("Land the exports of "), "dataset", F.lit(" in bronze, each content once"))
     source = _facet(
         producer, "DatasourceDatasetFacet", name=F.lit("filesystem"), uri=F.concat(F.lit("file://"), "source_path")
     )
@@ -151,7 +151,7 @@ def validation_events(
         F.every("success").alias("_success"),
     )
     rows = runs.join(assertions, "dataset")
-    about = F.concat(F.lit("Validate Bronze layer data quality for "), "dataset")
+    about = F.concat(F.lit("Check the bronze rows of "), "dataset")
     checks = _facet(producer, "DataQualityAssertionsRunFacet", assertions=F.col("_assertions"))
     metrics = quality_facet(producer, F.col("row_count"), F.col("byte_size"), F.col("_success"))
     return rows.select(

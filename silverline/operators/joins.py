@@ -75,7 +75,7 @@ def pair_results(
         F.coalesce("ok", F.lit(False)).alias("ok"),
         F.col("exit_code"),
         F.coalesce("skipped", F.lit(False)).alias("skipped"),
-        F.when(missing, "Task interrupted - no result available").otherwise(F.col("error")).alias("error"),
+        F.when(missing, "no result was recorded for this task").otherwise(F.col("error")).alias("error"),
         F.col("run_id"),
         F.col("manifest_path"),
     )

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline.functions.text import is_missing
+from silverline.session import ensure_checkpointing
 
-# Largest rank that Spark limits ahead of the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-MAP_SIDE_RANK_LIMIT = 1000
+# Parts that a key's rows are ranked in first, so that a large key is cut down by many tasks.
+RANKED_PARTS = 64
 
 
 def _quoted(name: str) -> Column:
@@ -58,19 +59,28 @@ def with_instances(
     """Number the rows of every key, and give the size of its group.
 
     `slice_by` cuts a group into consecutive slices of its order (it must never decrease along
-    `order`). Rows are numbered inside a slice; the sizes of the earlier slices, found by a
-    combined count, are added. No task sees more than one slice of a key.
+    `order`; NULL slices come last). Rows are numbered inside a slice; the sizes of the earlier
+    slices, found by a combined count, are added. No task sees more than one slice of a key, and the
+    slice sizes are themselves summed in two levels: along the parts of a sort, then over the parts.
     """
     slices = {f"_slice{i}": column for i, column in enumerate(slice_by)}
     tagged = df.withColumns({"_key": F.struct(*[_quoted(key) for key in keys]), **slices})
 
     sizes = tagged.groupBy("_key", *slices).agg(F.count("*").alias("_size"))
-    along = Window.partitionBy("_key").orderBy(*[F.col(name).asc_nulls_first() for name in slices])
-    offsets = sizes.select(
-        F.struct("_key", *slices).alias("_slice"),
-        F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_upto"),
-        F.col("_size"),
-        F.sum("_size").over(Window.partitionBy("_key")).alias("_total"),
+    ordered = [F.col(name).asc_nulls_last() for name in slices]
+    ensure_checkpointing(df.sparkSession)
+    # A sort that ran twice might cut elsewhere; stored, every slice keeps its part.
+    placed = sizes.orderBy(F.col("_key"), *ordered).checkpoint().withColumn("_at", F.struct("_key", F.spark_partition_id().alias("_part")))
+    parts = placed.groupBy("_at").agg(F.sum("_size").alias("_sum"))
+    earlier = Window.partitionBy("_at._key").orderBy("_at._part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_at", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    totals = parts.groupBy(F.col("_at._key").alias("_key")).agg(F.sum("_sum").alias("_total"))
+    along = Window.partitionBy("_at").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = (
+        placed.withColumn("_in_part", F.sum("_size").over(along))
+        .join(starts, "_at")
+        .join(totals, "_key")
+        .select(F.struct("_key", *slices).alias("_slice"), (F.col("_start") + F.col("_in_part")).alias("_upto"), "_size", "_total")
     )
     inside = Window.partitionBy("_slice").orderBy(*order)
     local = tagged.withColumn("_slice", F.struct("_key", *slices)).withColumn(
@@ -101,31 +111,21 @@ def with_allowance(
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("long")))
 
 
-def keep_last_n(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    allowances: DataFrame,
-    count: str,
-    slice_by: Sequence[Column] | None = None,
-) -> DataFrame:
+def keep_last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], allowances: DataFrame, count: str) -> DataFrame:
     """The last N rows of every key along `order`, N coming from `allowances` (one where a key has none).
 
-    The largest N is read first (one number). While it is small the rank limit runs ahead of the
-    shuffle; beyond that the rows are numbered slice by slice, for which `slice_by` is needed.
+    Every key is cut by its own N, twice: inside parts of the key, dealt by a hash of the order, and
+    then over what the parts kept. A row among the last N of its key is among the last N of its part,
+    so a key of any size comes down to N rows a part before its rows meet.
     """
-    most = max(allowances.agg(F.max(_quoted(count))).first()[0] or 1, 1)
     columns = [_quoted(name) for name in df.columns]
-    if most <= MAP_SIDE_RANK_LIMIT:
-        window = Window.partitionBy(*[_quoted(key) for key in keys]).orderBy(*newest_first(order))
-        near = df.withColumn("_from_end", F.row_number().over(window)).where(F.col("_from_end") <= int(most))
-    else:
-        if not slice_by:
-            raise ValueError(f"allowances up to {most} need slice_by")
-        near = with_instances(df, keys, oldest_first(order), slice_by, number="_number", total="_size")
-        near = near.withColumn("_from_end", F.col("_size") - F.col("_number") + 1)
-    kept = with_allowance(near, allowances, keys, count, name="_allowed")
-    return kept.where(F.col("_from_end") <= F.col("_allowed")).select(*columns)
+    by = [_quoted(key) for key in keys]
+    sized = with_allowance(df, allowances, keys, count, name="_allowed")
+    dealt = sized.withColumn("_dealt", F.pmod(F.xxhash64(*[_quoted(name) for name in order]), F.lit(RANKED_PARTS)))
+    for group in ([*by, F.col("_dealt")], by):
+        window = Window.partitionBy(*group).orderBy(*newest_first(order))
+        dealt = dealt.withColumn("_from_end", F.row_number().over(window)).where(F.col("_from_end") <= F.col("_allowed"))
+    return dealt.select(*columns)
 
 
 def duplicate_census(

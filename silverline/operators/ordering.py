@@ -33,21 +33,18 @@ def first_sample(
 ) -> DataFrame:
     """The first `size` rows, topped up so that at least `minimum` come from a stratum.
 
-    Both inputs are cut to a constant number of rows before they meet.
+    Both inputs are cut to a constant number of rows before they meet. Ties are settled by all other
+    columns, so only equal rows are interchangeable; each counts as a row of its own.
     """
-    head = df.withColumn("in_stratum", F.coalesce(in_stratum, F.lit(False))).orderBy(*order)
-    picked = head.limit(size).withColumn("_picked", F.lit(1))
-    spare = head.where("in_stratum").limit(size + minimum).withColumn("_picked", F.lit(0))
-    names = [F.col(f"`{name}`") for name in df.columns]
-    both = (
-        picked.unionByName(spare)
-        .groupBy(*names, "in_stratum")
-        .agg(F.max("_picked").alias("_picked"))
-        .withColumn("_have", F.sum(F.col("_picked") * F.col("in_stratum").cast("int")).over(Window.partitionBy()))
-        .withColumn("_next", F.row_number().over(Window.partitionBy("_picked").orderBy(*order)))
-    )
-    keep = (F.col("_picked") == 1) | (F.col("_next") <= minimum - F.col("_have"))
-    return both.where(keep).select(*names, "in_stratum")
+    ties = [F.col(f"`{name}`").asc_nulls_first() for name in df.columns]
+    head = df.withColumn("in_stratum", F.coalesce(in_stratum, F.lit(False))).orderBy(*order, *ties)
+    picked = head.limit(size)
+    # The stratum's rows in the same order: those already picked come first.
+    spare = head.where("in_stratum").limit(size + minimum)
+    spare = spare.withColumn("_next", F.row_number().over(Window.partitionBy("in_stratum").orderBy(*order, *ties)))
+    have = picked.agg(F.count_if("in_stratum").alias("_have"))
+    more = spare.join(F.broadcast(have)).where((F.col("_next") > F.col("_have")) & (F.col("_next") <= minimum))
+    return picked.unionByName(more.drop("_next", "_have"))
 
 
 def latest_by(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from silverline.session import ensure_checkpointing
 
-# Below this many distinct values a plain rank in one task is cheap and safe.
-SMALL_DOMAIN = 1_000_000
-# Counted tables up to this size may be broadcast.
-BROADCAST_ROWS = 200_000
 _INDEX_MASK = (1 << 33) - 1
 
 
@@ -59,10 +55,6 @@ def with_source_row(df: DataFrame, name: str = "source_row") -> DataFrame:
     )
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    # A file ends in at most one short block, and no task reads less than one full block.
-    most_blocks = len(df.inputFiles()) + df.rdd.getNumPartitions()
-    if most_blocks <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     return (
         tagged.join(offsets, ["_file", "_block"])
         .withColumn(name, (F.col("_before") + F.col("_index") - F.col("_first") + 1).cast("long"))
@@ -70,29 +62,24 @@ def with_source_row(df: DataFrame, name: str = "source_row") -> DataFrame:
     )
 
 
-def dimensions(df: DataFrame, keys: Mapping[str, str], small: int = SMALL_DOMAIN) -> dict[str, DataFrame]:
+def dimensions(df: DataFrame, keys: Mapping[str, str]) -> dict[str, DataFrame]:
     """Distinct values of several columns with their rank (NULL last), as one table per column.
 
-    `keys` names the id of each column. The values of all columns are gathered in one pass and cut
-    off by a checkpoint, so that the input is read once and the sizes are known: a short list is
-    ranked in one task and marked for broadcast, a long one is ranked by a distributed sort.
+    `keys` names the id of each column. The values of all columns are gathered in one pass, placed by
+    one distributed sort along (column, value), and ranked by their distance from the first value of
+    their column: the same for a domain of any size.
     """
-    ensure_checkpointing(df.sparkSession)
     pairs = F.array(
         *[F.struct(F.lit(c).alias("dimension"), F.col(f"`{c}`").cast("string").alias("value")) for c in keys]
     )
-    values = df.select(F.inline(pairs)).distinct().checkpoint()
-    # One row per dimension.
-    sizes = {row["dimension"]: row["count"] for row in values.groupBy("dimension").count().collect()}
-    out = {}
-    for column, key in keys.items():
-        kind = df.schema[column].dataType
-        own = values.where(F.col("dimension") == column).select(F.col("value").cast(kind).alias(column))
-        order = F.col(f"`{column}`").asc_nulls_last()
-        size = sizes.get(column, 0)
-        if size > small:
-            out[column] = with_positions(own, [order], key)
-        else:
-            ranked = own.withColumn(key, F.row_number().over(Window.orderBy(order)).cast("long"))
-            out[column] = F.broadcast(ranked) if size <= BROADCAST_ROWS else ranked
-    return out
+    values = df.select(F.inline(pairs)).distinct()
+    # Values are compared as what they are, not as text.
+    typed = [F.when(F.col("dimension") == c, F.col("value").cast(df.schema[c].dataType)).asc_nulls_last() for c in keys]
+    placed = with_positions(values, [F.col("dimension"), *typed], "_at")
+    first = {row["dimension"]: row["_first"] for row in placed.groupBy("dimension").agg(F.min("_at").alias("_first")).collect()}
+    return {
+        column: placed.where(F.col("dimension") == column).select(
+            F.col("value").cast(df.schema[column].dataType).alias(column), (F.col("_at") - first.get(column, 1) + 1).alias(key)
+        )
+        for column, key in keys.items()
+    }

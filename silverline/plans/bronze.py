@@ -13,16 +13,18 @@ from silverline.audit.ids import deterministic_run_id
 from silverline.functions.text import row_hash
 from silverline.operators.joins import members, not_in
 from silverline.operators.keyed import latest_per_key, oldest_first
-from silverline.operators.positions import BROADCAST_ROWS, with_positions, with_source_row
+from silverline.operators.positions import with_positions, with_source_row
 from silverline.plans.consolidation import AGE, consolidate, consolidated_order
-from silverline.session import path_exists
+from silverline.session import ensure_checkpointing, path_exists, remove_path
 from silverline.sources.files import content_hashes, list_files, plain_path
 from silverline.sources.readers import read_bronze, read_csv_registry
 from silverline.sources.registry import FileSchema, schema_for
-from silverline.sources.writers import write_bronze
+from silverline.sources.writers import write_bronze, write_manifest
 
-# Up to this many contents are named in the partition filter; beyond, they are joined.
-LISTED_PARTITIONS = 1_000
+MANIFEST = (
+    "dataset string, source_file string, source_file_hash string, source_file_bytes bigint, row_count bigint, "
+    "unique_rows bigint, run_id string, ingested_at string, schema_version string"
+)
 
 
 @dataclass(frozen=True)
@@ -62,13 +64,62 @@ def bronze_metadata(
     }
 
 
+def manifest_path(root: str, dataset: str) -> str:
+    return f"{root}/_manifests/{dataset}"
+
+
+def bronze_manifests(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """The committed contents of a dataset; empty before the first ingestion."""
+    path = manifest_path(root, dataset)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).json(path)
+
+
 def known_hashes(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Content hashes already in bronze; empty before the first ingestion."""
-    if not path_exists(spark, f"{root}/{dataset}"):
-        return spark.createDataFrame([], "sha256 string")
-    # The hashes are in the paths; no file is opened.
-    files = list_files(spark, f"{root}/{dataset}", "*.parquet")
-    return files.select(F.regexp_extract("path", "sha256=([0-9a-f]{64})", 1).alias("sha256")).distinct()
+    """Hashes of the contents that bronze holds whole: those with a manifest."""
+    return bronze_manifests(spark, root, dataset).select(F.col("source_file_hash").alias("sha256")).distinct()
+
+
+def drop_uncommitted(spark: SparkSession, root: str, dataset: str, contents: DataFrame) -> None:
+    """Remove what an interrupted ingestion left of the given contents, on whatever date it ran."""
+    base = f"{root}/{dataset}"
+    if not path_exists(spark, base):
+        return
+    at = list_files(spark, base, "*.parquet").select(
+        F.regexp_extract("path", "^(.*/sha256=[0-9a-f]{64})/", 1).alias("folder"), F.regexp_extract("path", "sha256=([0-9a-f]{64})", 1).alias("sha256")
+    )
+    # Usually none: one folder for each content of a run that broke off.
+    for row in members(at, contents, ["sha256"]).select("folder").distinct().toLocalIterator():
+        remove_path(spark, row["folder"])
+
+
+def commit(spark: SparkSession, root: str, dataset: str, contents: DataFrame, run: IngestRun) -> DataFrame:
+    """Write the manifests of contents just landed, once their rows are seen to be complete.
+
+    Rows are numbered from 1 in each content, so a row that is missing or there twice shows in the
+    numbers. `contents` has sha256, source_file and source_file_bytes; a content without rows counts.
+    """
+    landed = bronze_stats(spark, root, dataset, contents)
+    rows = contents.join(landed, "sha256", "left").select(
+        F.lit(dataset).alias("dataset"),
+        "source_file",
+        F.col("sha256").alias("source_file_hash"),
+        "source_file_bytes",
+        F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+        F.coalesce("unique_rows", F.lit(0)).cast("long").alias("unique_rows"),
+        "run_id",
+        F.lit(run.stamp).alias("ingested_at"),
+        F.lit(run.schema_version).alias("schema_version"),
+        (F.coalesce("row_count", F.lit(0)) != F.coalesce("last_row", F.lit(0))).alias("_holes"),
+    )
+    ensure_checkpointing(spark)
+    rows = rows.checkpoint()
+    broken = rows.where("_holes").select("source_file").first()
+    if broken:
+        raise RuntimeError(f"not all rows of {broken['source_file']} have landed; it stays uncommitted")
+    write_manifest(rows.drop("_holes"), manifest_path(root, dataset))
+    return rows.drop("_holes")
 
 
 def new_files(hashes: DataFrame, known: DataFrame) -> DataFrame:
@@ -82,8 +133,6 @@ def bronze_rows(
     """The rows of the given files with their bronze metadata."""
     numbered = with_source_row(read_csv_registry(spark, list(paths), schema, run.multiline))
     keyed = files.select(plain_path(F.col("path")).alias("_at"), "sha256", "source_file_bytes")
-    if len(paths) <= BROADCAST_ROWS:
-        keyed = F.broadcast(keyed)
     joined = numbered.withColumn("_at", plain_path(F.col("_source_path"))).join(keyed, "_at")
     metadata = bronze_metadata(schema.columns, run, F.col("_at"), F.col("sha256"), F.col("source_file_bytes"))
     return joined.withColumns(metadata).drop("_at", "_source_path", "_modified")
@@ -92,32 +141,38 @@ def bronze_rows(
 def ingest_files(
     spark: SparkSession, source: str | Sequence[str], dataset: str, root: str, run: IngestRun, glob: str = "*.csv"
 ) -> DataFrame:
-    """Ingest every file not yet in bronze. Returns one manifest row per file, new or skipped."""
+    """Ingest every file not yet committed to bronze. Returns one manifest row per file, new or skipped.
+
+    Files are hashed once. A content is known when its manifest is written, which comes last: rows of
+    a run that broke off are replaced. One ingestion of a dataset runs at a time.
+    """
     schema = schema_for(dataset, run.schema_version)
-    hashes = content_hashes(spark, source, glob)
-    known = known_hashes(spark, root, dataset)
-    fresh = new_files(hashes, known)
-    # Names and hashes of the new files, which the reader needs: a list that grows with files, not rows.
-    found = fresh.select("path", "sha256").collect()
-    if found:
-        write_bronze(bronze_rows(spark, fresh, [row.path for row in found], schema, run), root, dataset)
-    listed = spark.createDataFrame(found, "path string, sha256 string")
-    stats = bronze_stats(spark, root, dataset, listed, [row.sha256 for row in found])
-    marked = hashes.join(listed.select("path", F.lit(True).alias("_new")), "path", "left")
+    ensure_checkpointing(spark)
+    hashes = content_hashes(spark, source, glob).checkpoint()
+    fresh = new_files(hashes, known_hashes(spark, root, dataset)).checkpoint()
+    # Names of the new files, which the reader needs: a list that grows with files, not rows.
+    paths = [row.path for row in fresh.select("path").toLocalIterator()]
+    if paths:
+        drop_uncommitted(spark, root, dataset, fresh)
+        write_bronze(bronze_rows(spark, fresh, paths, schema, run), root, dataset)
+        added = commit(spark, root, dataset, fresh.withColumn("source_file", plain_path(F.col("path"))), run)
+    else:
+        added = spark.createDataFrame([], MANIFEST)
+    done = added.select(F.col("source_file").alias("_at"), "row_count", "unique_rows", "run_id", F.lit(True).alias("_new"))
     return (
-        marked.withColumn("skipped", F.col("_new").isNull())
-        .join(stats, "sha256", "left")
+        hashes.withColumn("_at", plain_path(F.col("path")))
+        .join(done, "_at", "left")
         .select(
             F.lit(dataset).alias("dataset"),
-            plain_path(F.col("path")).alias("source_file"),
+            F.col("_at").alias("source_file"),
             F.col("sha256").alias("source_file_hash"),
             "source_file_bytes",
-            F.when(~F.col("skipped"), F.col("row_count")).alias("row_count"),
-            F.when(~F.col("skipped"), F.col("unique_rows")).alias("unique_rows"),
-            F.when(~F.col("skipped"), F.col("run_id")).alias("run_id"),
+            "row_count",
+            "unique_rows",
+            "run_id",
             F.lit(run.stamp).alias("ingested_at"),
             F.lit(run.schema_version).alias("schema_version"),
-            "skipped",
+            F.col("_new").isNull().alias("skipped"),
         )
     )
 
@@ -132,16 +187,18 @@ def ingest_consolidated(rows: DataFrame, allowances: DataFrame, dataset: str, ro
     order = [*consolidated_order(), *oldest_first([*AGE[:-1], "_export_row"])]
     placed = with_positions(kept, order, "source_row").select(*names, "source_row")
     digest = content_digest(placed, schema.columns).first()
-    known = known_hashes(spark, root, dataset).where(F.col("sha256") == digest["content_hash"])
-    skipped = not known.isEmpty()
+    listed = spark.createDataFrame(
+        [(digest["content_hash"], "consolidated", digest["content_bytes"])], "sha256 string, source_file string, source_file_bytes bigint"
+    )
+    skipped = not members(known_hashes(spark, root, dataset), listed, ["sha256"]).isEmpty()
     if not skipped:
         metadata = bronze_metadata(
             schema.columns, run, F.lit("consolidated"), F.lit(digest["content_hash"]), F.lit(digest["content_bytes"])
         )
+        drop_uncommitted(spark, root, dataset, listed)
         write_bronze(placed.withColumns(metadata), root, dataset)
-    listed = spark.createDataFrame([(digest["content_hash"],)], "sha256 string")
-    stats = bronze_stats(spark, root, dataset, listed, [digest["content_hash"]])
-    return stats.withColumn("skipped", F.lit(skipped))
+        commit(spark, root, dataset, listed, run)
+    return bronze_stats(spark, root, dataset, listed).drop("last_row").withColumn("skipped", F.lit(skipped))
 
 
 def content_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -161,26 +218,22 @@ def content_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def bronze_stats(
-    spark: SparkSession, root: str, dataset: str, contents: DataFrame, hashes: Sequence[str]
-) -> DataFrame:
-    """What was written for the given contents: rows, distinct row hashes, run, first and last ingestion.
+def bronze_stats(spark: SparkSession, root: str, dataset: str, contents: DataFrame) -> DataFrame:
+    """What was written for the given contents: rows, distinct row hashes, last row number, run, first and last ingestion.
 
-    Only the partitions of these contents are read.
+    The join prunes partitions at run time, so only those of these contents are read.
     """
-    if not hashes:
-        empty = "sha256 string, row_count bigint, unique_rows bigint, run_id string, min_ingest timestamp, max_ingest timestamp"
+    if not path_exists(spark, f"{root}/{dataset}"):
+        empty = "sha256 string, row_count bigint, unique_rows bigint, last_row bigint, run_id string, min_ingest timestamp, max_ingest timestamp"
         return spark.createDataFrame([], empty)
-    rows = read_bronze(spark, root, dataset)
-    few = len(hashes) <= LISTED_PARTITIONS
-    picked = rows.where(F.col("sha256").isin(list(hashes))) if few else members(rows, contents, ["sha256"])
-    return write_back_stats(picked)
+    return write_back_stats(members(read_bronze(spark, root, dataset), contents, ["sha256"]))
 
 
 def write_back_stats(rows: DataFrame, group: str = "sha256") -> DataFrame:
     """Row statistics per content, counted from per-hash counts so that copies collapse early."""
     per_hash = rows.groupBy(group, "row_hash").agg(
         F.count("*").alias("_n"),
+        F.max("source_row").alias("_last"),
         F.min("bronze_run_id").alias("run_id"),
         F.min("ingested_at").alias("_min"),
         F.max("ingested_at").alias("_max"),
@@ -188,6 +241,7 @@ def write_back_stats(rows: DataFrame, group: str = "sha256") -> DataFrame:
     return per_hash.groupBy(group).agg(
         F.sum("_n").alias("row_count"),
         F.count("row_hash").alias("unique_rows"),
+        F.max("_last").alias("last_row"),
         F.min("run_id").alias("run_id"),
         F.min("_min").alias("min_ingest"),
         F.max("_max").alias("max_ingest"),

@@ -13,7 +13,6 @@ from silverline.sources.registry import FileSchema
 
 # Order of the exports, oldest first: day of the export, run, file, row in the file.
 AGE = ["_file_date", "_run_id", "_source_path", "source_row"]
-SLICE_ROWS = 10_000
 COUNT = "Duplicate Count"
 
 
@@ -26,8 +25,7 @@ def read_exports(spark, paths, schema: FileSchema) -> DataFrame:
 
 def consolidate(rows: DataFrame, allowances: DataFrame, key: str = "PO #", count: str = COUNT) -> DataFrame:
     """Keep the newest instance of every record, or the newest N where the allowances say so."""
-    slices = [F.col(name) for name in AGE[:-1]] + [F.expr(f"source_row div {SLICE_ROWS}")]
-    return keep_last_n(drop_keyless(rows, [key], "blank"), [key], AGE, allowances, count, slices)
+    return keep_last_n(drop_keyless(rows, [key], "blank"), [key], AGE, allowances, count)
 
 
 def consolidated_order(date_column: str = "Sent Date", key: str = "PO #") -> list:

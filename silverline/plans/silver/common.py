@@ -23,6 +23,9 @@ BRONZE_METADATA = [
     "row_hash",
 ]
 
+# Newest first, down to rows that are equal in every business column.
+NEWEST = ["ingested_at", "source_row", "source_file", "source_file_hash", "row_hash"]
+
 
 @dataclass(frozen=True)
 class SilverRun:
@@ -71,8 +74,12 @@ def raw(name: str) -> Column:
 
 
 def newest_version(bronze: DataFrame, key: str) -> DataFrame:
-    """The newest bronze row of every record."""
-    return latest_per_key(bronze, [key], newest_first(["ingested_at", "source_row"]))
+    """The newest bronze row of every record.
+
+    Files of one run share their time, and their rows their numbers: file, content and row hash make
+    the order total, so the winner does not depend on which task comes first.
+    """
+    return latest_per_key(bronze, [key], newest_first(NEWEST))
 
 
 def lineage(version: str, run: SilverRun) -> list[Column]:

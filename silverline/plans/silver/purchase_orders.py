@@ -201,14 +201,20 @@ def v040(bronze: DataFrame, run: SilverRun) -> DataFrame:
 def v050(bronze: DataFrame, run: SilverRun) -> DataFrame:
     """No deduplication: repeated records are numbered instead.
 
-    Rows are numbered by `source_row`; the file and the row hash only settle ties.
+    Rows are numbered by `source_row`; the file and the row hash only settle ties. A slice of rows
+    spans all files, so its step shrinks with their number; at one row a step it is cut by file too.
     """
     ties = ["source_row", "source_file_hash", "row_hash"]
+    files = bronze.select("source_file_hash").distinct().count()
+    step = max(1, SLICE_ROWS // max(1, files))
+    slices = [F.expr(f"source_row div {step}")]
+    if step == 1:
+        slices.append(F.substring("source_file_hash", 1, 3))
     numbered = with_instances(
         bronze,
         [KEY],
         [F.col(name).asc_nulls_last() for name in ties],
-        slice_by=[F.expr(f"source_row div {SLICE_ROWS}")],
+        slice_by=slices,
     )
     rows = _parsed(numbered, 15)
     day, amount = F.col("_day"), F.col("_amount")

@@ -9,6 +9,7 @@ from silverline.audit.ids import state_of
 from silverline.audit.manifests import iso, silver_manifest
 from silverline.plans.silver import SilverRun, find
 from silverline.session import path_exists
+from silverline.sources.files import list_files
 from silverline.sources.readers import latest_partition, read_bronze
 from silverline.sources.writers import write_manifest, write_silver_snapshot
 
@@ -43,12 +44,17 @@ def build_silver(
     """
     transform = find(dataset, version, variant)
     rows = read_bronze(spark, bronze_root, dataset)
+    # What is there is listed, not read: the state is made of file names.
+    files = list_files(spark, f"{bronze_root}/{dataset}", "*.parquet").select("path")
     if bronze == "latest":
-        rows = latest_partition(rows)
+        parts = {name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1) for name in ("ingest_date", "sha256")}
+        newest = files.agg(F.max(F.struct(*[part.alias(name) for name, part in parts.items()])).alias("p")).first()["p"]
+        rows = latest_partition(rows, newest=newest)
+        for name, part in parts.items():
+            files = files.where(part == (newest[name] if newest else ""))
     elif bronze != "all":
         raise ValueError(f"unknown bronze selection: {bronze}")
     audit_path = f"{silver_root}/_manifests/{dataset}"
-    files = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
     state = state_of(files, transform.version).first()
     same = (F.col("bronze_state_hash") == state["bronze_state_hash"]) & (
         F.col("transform_version") == transform.version

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -133,10 +134,11 @@ def typed_projection(df: DataFrame, mapping: TypedMap, run_id: str | None = None
 
 
 def export_typed(
-    df: DataFrame, mapping: TypedMap, path: str, run_id: str | None = None, by_date: bool = True
+    df: DataFrame, mapping: TypedMap, path: str, converted_at: dt.datetime, run_id: str | None = None, by_date: bool = True
 ) -> str:
     """Write the typed rows, by year and month where the map names a date column."""
-    typed = typed_projection(df, mapping, run_id).withColumn("converted_at", F.current_timestamp())
+    stamp = F.lit(converted_at.isoformat(sep=" ")).cast("timestamp")
+    typed = typed_projection(df, mapping, run_id).withColumn("converted_at", stamp)
     if by_date and mapping.partition_by:
         return write_year_month(typed, path, mapping.partition_by)
     return write_typed(typed, path)

@@ -96,10 +96,11 @@ def month_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def day_difference(spark: SparkSession, d: str) -> DataFrame:
-    """SET-03: days with orders of one kind but not of another, for all pairs of kind and day."""
+    """SET-03: the (kind, day) pairs of days on which some kind had no orders."""
     days = _daily(spark, d)
+    kinds = days.select(F.col(days.columns[0])).distinct().count()
     everywhere = days.groupBy("day").agg(F.count("*").alias("_kinds"))
-    full = everywhere.where("_kinds = 5").select("day")
+    full = everywhere.where(F.col("_kinds") == kinds).select("day")
     return flat(not_in(days, full, ["day"]))
 
 

@@ -257,7 +257,7 @@ QUERIES = {
 _PATHS = "SELECT source, lang || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') || '.parquet' AS path FROM documents"
 _TASKS = f"""(
 SELECT t.*, coalesce(ok, false) AS ok, exit_code, coalesce(skipped, false) AS skipped,
-       CASE WHEN exit_code IS NULL THEN 'Task interrupted - no result available' END AS error,
+       CASE WHEN exit_code IS NULL THEN 'no result was recorded for this task' END AS error,
        CASE WHEN exit_code IS NOT NULL THEN 'run_' || label END AS run_id
 FROM (SELECT DISTINCT o_orderpriority AS dataset, 'window' AS kind, strftime({DAY_SQL}, '%Y-%m') AS label FROM orders) t
 LEFT JOIN (SELECT dataset AS ds, label AS lb, p % 7 <> 0 AS ok, p AS exit_code, p % 5 = 0 AS skipped

@@ -58,7 +58,8 @@ def fq(day: str) -> str:
 def newest(source: str, key: str) -> str:
     return (
         f"(SELECT * FROM {source} QUALIFY row_number() OVER "
-        f'(PARTITION BY "{key}" ORDER BY ingested_at DESC NULLS LAST, source_row DESC NULLS LAST) = 1)'
+        f'(PARTITION BY "{key}" ORDER BY ingested_at DESC NULLS LAST, source_row DESC NULLS LAST, '
+        "source_file DESC NULLS LAST, source_file_hash DESC NULLS LAST, row_hash DESC NULLS LAST) = 1)"
     )
 
 

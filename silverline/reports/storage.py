@@ -90,8 +90,8 @@ def year_month_export(spark: SparkSession, d: str) -> DataFrame:
     """SRC-14, PRJ-01, PIPE-16, DAT-11: typed orders by year and month; the second run replaces its months."""
     path = scratch_path(spark, "typed")
     rows = S.purchase_orders(spark, d)
-    export_typed(rows, _PO_MAP, path, "run_a")
-    export_typed(rows.where("`Sent Date` LIKE '%/2023'"), _PO_MAP, path, "run_b")
+    export_typed(rows, _PO_MAP, path, S.NOW, "run_a")
+    export_typed(rows.where("`Sent Date` LIKE '%/2023'"), _PO_MAP, path, S.NOW, "run_b")
     back = spark.read.schema("po_id string, total_amount decimal(18,2), run_id string, year string, month string").parquet(path)
     return back.groupBy("year", "month", "run_id").agg(
         F.count("*").alias("n"), F.count("po_id").alias("with_id"), F.sum("total_amount").cast("double").alias("total")

@@ -66,3 +66,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whichever file system the path names."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system the path names."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,12 +105,14 @@ def read_bronze(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return rows.withColumns({name: F.col(name).cast("string") for name in ("ingest_date", "sha256")})
 
 
-def latest_partition(df: DataFrame, columns: Sequence[str] = ("ingest_date", "sha256")) -> DataFrame:
+def latest_partition(df: DataFrame, columns: Sequence[str] = ("ingest_date", "sha256"), newest: Row | None = None) -> DataFrame:
     """Rows of the newest partition by path order.
 
-    The newest partition is read as one row first, so that the filter prunes partitions.
+    The newest partition is known first, so that the filter prunes partitions: from a listing of the
+    files where the caller has one, else from the partition columns alone.
     """
-    newest = df.agg(F.max(F.struct(*columns)).alias("p")).first()["p"]
+    if newest is None:
+        newest = df.agg(F.max(F.struct(*columns)).alias("p")).first()["p"]
     if newest is None:
         return df.limit(0)
     for name in columns:

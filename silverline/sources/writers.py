@@ -1,7 +1,7 @@
 """Writing bronze, silver, typed and audit data.
 
-Partitioned writes ask for a rebalance instead of one task per partition value: small partitions are
-joined, a partition holding much of the data is split over several tasks.
+Writes by date ask for a rebalance instead of one task per date: small dates are joined, a date
+holding much of the data is split over several tasks.
 """
 
 from __future__ import annotations
@@ -22,20 +22,23 @@ def _parquet(df: DataFrame, mode: str):
 
 
 def write_bronze(df: DataFrame, root: str, dataset: str) -> str:
-    """Append below `ingest_date=…/sha256=…`. Content-addressed: a content lands once."""
+    """Write below `ingest_date=…/sha256=…`; a content that is written again replaces itself."""
     path = f"{root}/{dataset}"
-    _parquet(df, "append").partitionBy("ingest_date", "sha256").parquet(path)
+    writer = _parquet(df, "overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("ingest_date", "sha256").parquet(path)
     return path
 
 
 def write_silver_snapshot(
     df: DataFrame, root: str, dataset: str, version: str, snapshot: str, sort: Sequence | None = None
 ) -> str:
-    """Append one snapshot below `version=…/snapshot=…`, globally sorted if asked for."""
+    """Write one snapshot as `version=…/snapshot=…`, globally sorted if asked for.
+
+    The folder is replaced whole, so a build that is run again leaves one copy, also an empty one.
+    """
     path = f"{root}/{dataset}"
     rows = df.orderBy(*sort) if sort else df
-    stamped = rows.withColumns({"version": F.lit(version), "snapshot": F.lit(snapshot)})
-    _parquet(stamped, "append").partitionBy("version", "snapshot").parquet(path)
+    _parquet(rows, "overwrite").parquet(f"{path}/version={version}/snapshot={snapshot}")
     return path
 
 
@@ -67,8 +70,8 @@ def write_csv_ordered(df: DataFrame, path: str, columns: Sequence[str]) -> str:
 
 
 def append_ndjson(df: DataFrame, path: str, date_column: str = "date") -> str:
-    """One JSON object per line, in a folder per day."""
-    df.write.mode("append").partitionBy(date_column).json(path)
+    """One JSON object per line, in a folder per day; days are gathered before they are written."""
+    df.hint("rebalance", F.col(date_column)).write.mode("append").partitionBy(date_column).json(path)
     return path
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from silverline.operators.joins import members, not_in
 from silverline.plans.bronze import IngestRun, ingest_files
+from silverline.session import ensure_checkpointing, path_exists
 
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
 EVENT_LOG = (
@@ -68,12 +70,20 @@ def stream_log_counts(
 ) -> StreamingQuery:
     """Keep daily counts of a folder of NDJSON logs up to date.
 
-    Each batch rewrites the days it touched, from the state that the stream keeps.
+    Each batch rewrites the days it touched: its counts replace those of the same day and kind, and
+    the day's other kinds stay. A batch that is repeated writes the same days again.
     """
     logs = spark.readStream.schema(schema).option("recursiveFileLookup", True).json(source)
 
     def batch(rows: DataFrame, number: int) -> None:
-        rows.withColumn("batch", F.lit(number)).write.mode("append").parquet(target)
+        session = rows.sparkSession
+        ensure_checkpointing(session)
+        fresh = rows.checkpoint()
+        if path_exists(session, target):
+            earlier = members(current_log_counts(session, target), fresh.select("day").distinct(), ["day"])
+            fresh = fresh.unionByName(not_in(earlier, fresh, ["day", "kind"])).checkpoint()
+        writer = fresh.withColumn("at", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("at").parquet(target)
 
     writer = daily_log_counts(logs, kind).writeStream.outputMode("update").foreachBatch(batch)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -81,5 +91,4 @@ def stream_log_counts(
 
 def current_log_counts(spark: SparkSession, target: str) -> DataFrame:
     """The newest count per day and kind."""
-    rows = spark.read.parquet(target)
-    return rows.groupBy("day", "kind").agg(F.max_by("records", "batch").alias("records"))
+    return spark.read.parquet(target).select("day", "kind", "records")

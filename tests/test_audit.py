@@ -30,10 +30,8 @@ def test_state_hash_is_that_of_the_json_text(spark):
     row = ids.state_hash(df, "v0.5.0").first()
     assert row["bronze_state_hash"] == hashlib.sha256(text.encode()).hexdigest() and row["bronze_files"] == 2
     assert ids.state_hash(df, "v0.4.0").first()[0] != row[0]
-    assert ids.state_of(df, "v0.5.0").first() == row
-    long = ids.state_of(df, "v0.5.0", most=1).first()
-    assert long["bronze_files"] == 2 and long["bronze_state_hash"] != row["bronze_state_hash"]
-    assert ids.state_of(df.repartition(5), "v0.5.0", most=1).first() == long
+    state = ids.state_of(df, "v0.5.0").first()
+    assert state == ids.state_digest(df.repartition(5), "v0.5.0", []).first() and state["bronze_files"] == 2
 
 
 def test_state_digest_ignores_order_and_notices_changes(spark):
