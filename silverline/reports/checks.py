@@ -105,7 +105,8 @@ def exact_types(spark: SparkSession, d: str) -> DataFrame:
 
 def domains(spark: SparkSession, d: str) -> DataFrame:
     """AGG-17: values of columns that have few of them."""
-    rows = profiling.domains(table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"])
+    orders = table(spark, d, "orders")
+    rows = profiling.domains(orders, orders.columns)
     return rows.withColumn("domain", F.concat_ws("~", "domain"))
 
 
@@ -317,7 +318,7 @@ FROM {S.PO_SQL} p GROUP BY 1""",
     "exact_types": " UNION ALL ".join(
         [_type_sql(c, S.PO_SQL, k) for c, k in _PO_KINDS.items()] + [_type_sql(c, "part", k) for c, k in _PART_KINDS.items()]
     ),
-    "domains": " UNION ALL ".join(_domain_sql(c) for c in ("o_orderstatus", "o_orderpriority", "o_custkey")),
+    "domains": " UNION ALL ".join(_domain_sql(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")),
     "key_discovery": f"SELECT *, (SELECT count(*) FROM lineitem) AS total_rows FROM ({_combos('lineitem', ['l_orderkey', 'l_linenumber', 'l_returnflag', 'l_shipdate'])})",
     "key_matches": f"""
 SELECT *, unique_count - n AS diff, CASE WHEN unique_count = n THEN 'exact' ELSE 'close' END AS match

@@ -120,6 +120,20 @@ def first_sample(spark: SparkSession, d: str) -> DataFrame:
     return ordering.first_sample(events, [F.col("event_id")], 5, F.col("event_type") == "purchase", 2)
 
 
+def large_allowance(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-05: the last N lines of every return flag; one flag keeps 1,500, the others one."""
+    rows = table(spark, d, "lineitem")
+    allowances = rows.where("l_returnflag = 'R'").select("l_returnflag").distinct().withColumn("allowed_rows", F.lit(1500))
+    return flat(keyed.keep_last_n(rows, ["l_returnflag"], [*_KEEP_ORDER, "l_orderkey"], allowances, "allowed_rows"))
+
+
+def repeated_sample(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-05: the first seven of many equal rows, with at least nine of the last kind among the result."""
+    events = table(spark, d, "events").select("event_type")
+    last = events.agg(F.max("event_type")).first()[0]
+    return ordering.first_sample(events, [F.col("event_type")], 7, F.col("event_type") == last, 9)
+
+
 _SAMPLE_SQL = """
 WITH head AS (SELECT event_id, event_type, user_id, event_type = 'purchase' AS in_stratum FROM events ORDER BY event_id LIMIT 5),
 spare AS (SELECT *, row_number() OVER (ORDER BY event_id) AS n
@@ -201,7 +215,7 @@ QUERIES = {
     "star_dimensions": star_dimensions,
     "star_join": star_join,
     "sorted_text_dates": sorted_text_dates,
-    "first_sample": first_sample,
+    "first_sample": first_sample, "large_allowance": large_allowance, "repeated_sample": repeated_sample,
     "latest_run": latest_run,
     "anti_ingest": anti_ingest,
     "semi_members": semi_members,
@@ -239,6 +253,16 @@ SELECT "PO #", "Sent Date", source_row,
        row_number() OVER (ORDER BY try_strptime("Sent Date", '%m/%d/%Y') NULLS LAST, "PO #" NULLS FIRST, source_row) AS position
 FROM {S.PO_SQL} p""",
     "first_sample": _SAMPLE_SQL,
+    "large_allowance": f"""
+SELECT {_LINE_COLUMNS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY {_DESC}, l_linenumber DESC, l_orderkey DESC) AS n FROM lineitem)
+WHERE n <= CASE WHEN l_returnflag = 'R' THEN 1500 ELSE 1 END""",
+    "repeated_sample": """
+SELECT event_type, event_type = (SELECT max(event_type) FROM events) AS in_stratum
+FROM (SELECT event_type FROM events ORDER BY 1 LIMIT 7)
+UNION ALL
+SELECT event_type, true FROM (SELECT event_type, row_number() OVER () AS n FROM events WHERE event_type = (SELECT max(event_type) FROM events))
+WHERE n > (SELECT count(*) FROM (SELECT event_type FROM events ORDER BY 1 LIMIT 7) WHERE event_type = (SELECT max(event_type) FROM events)) AND n <= 9""",
     "latest_run": _LATEST_RUN_SQL,
     "anti_ingest": """
 SELECT min(doc_id) AS doc_id, sha256(text) AS sha256 FROM documents

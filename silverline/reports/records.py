@@ -33,7 +33,7 @@ def bronze_manifest(spark: SparkSession, d: str) -> DataFrame:
     """AGG-06, AUD-03: rows and distinct row hashes per bronze content."""
     rows = S.purchase_orders(spark, d).drop("row_hash").withColumn("row_hash", F.md5("Buyer"))
     stats = write_back_stats(rows, "source_file_hash")
-    return flat(stats)
+    return flat(stats, "last_row")
 
 
 def silver_manifest(spark: SparkSession, d: str) -> DataFrame:

@@ -114,7 +114,7 @@ def date_arithmetic(spark: SparkSession, d: str) -> DataFrame:
 
 def row_hash(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-03, STR-13, COL-01: whole-row and first-column hashes."""
-    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    rows = table(spark, d, "customer")
     return rows.select(
         "c_custkey",
         text.row_hash(rows.columns).alias("row_hash"),
@@ -126,7 +126,7 @@ def row_hash(spark: SparkSession, d: str) -> DataFrame:
 def change_detection(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-02, PRJ-03: order lines that changed between the first and the last version."""
     lines = table(spark, d, "lineitem")
-    columns = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+    columns = [name for name in lines.columns if name not in ("l_orderkey", "l_linenumber", "l_shipdate")]
     hashed = lines.select("l_orderkey", "l_linenumber", "l_shipdate", text.row_hash(columns).alias("h"))
     at = F.struct("l_shipdate", "h")
     grouped = hashed.groupBy("l_orderkey", "l_linenumber").agg(
@@ -294,12 +294,12 @@ FROM (SELECT CAST(o_orderdate AS DATE) AS a, CAST(l_shipdate AS DATE) AS b, DATE
              sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)""",
     "row_hash": """
-SELECT c_custkey, md5(concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)) AS row_hash,
+SELECT c_custkey, md5(concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)) AS row_hash,
        md5(CAST(c_custkey AS VARCHAR)) AS key_hash, sha256(c_name) AS name_sha256 FROM customer""",
     "change_detection": """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, arg_min(h, (l_shipdate, h)) AS first_hash,
        arg_max(h, (l_shipdate, h)) AS last_hash, count(*) AS versions
-FROM (SELECT *, md5(concat_ws('|', l_partkey, l_suppkey, l_returnflag, l_linestatus)) AS h FROM lineitem)
+FROM (SELECT *, md5(concat_ws('|', l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus)) AS h FROM lineitem)
 GROUP BY 1, 2 HAVING arg_min(h, (l_shipdate, h)) <> arg_max(h, (l_shipdate, h))""",
     "url_build": f"""
 SELECT source_row, {_PO_LINK.format(x='"PO #"')} AS po_url, {_PO_LINK.format(x="""split_part("PO #", ':', 1)""")} AS contract_url,

@@ -11,15 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.audit.lineage import log_records as make_logs
+from silverline.audit.manifests import batch_summary
 from silverline.operators.joins import side_by_side
 from silverline.plans import bronze as B
 from silverline.plans import consolidation
 from silverline.plans.silver import SilverRun
+from silverline.plans.silver.common import newest_version
 from silverline.plans.silver_build import build_silver
 from silverline.plans.typed_export import TYPED_MAPS, TypedColumn, TypedMap, export_typed, typed_projection
 from silverline.reports import shapes as S
 from silverline.reports.shapes import flat, table
-from silverline.session import scratch_path
+from silverline.session import remove_path, scratch_path
 from silverline.sources import files, readers, writers
 from silverline.sources.registry import FileSchema, schema_for
 from silverline.streaming.ingest import current_log_counts, stream_bronze, stream_log_counts
@@ -127,6 +129,57 @@ def bronze_ingest(spark: SparkSession, d: str) -> DataFrame:
     return side_by_side(numbered, totals)
 
 
+def bronze_manifest_written(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-18, AUD-03, AUD-05: manifests and the batch summary of an ingestion, as they lie on disk."""
+    path, schema = _export(spark, d, "vendors")
+    root = scratch_path(spark, "bronze")
+    done = B.ingest_files(spark, path, "vendors", root, RUN)
+    batch = batch_summary(done.select("dataset", F.lit(True).alias("success"), "skipped"), "batch_1", RUN.event_time)
+    written = writers.write_manifest(batch, f"{root}/_manifests/_batches")
+    back = B.bronze_manifests(spark, root, "vendors")
+    content = back.agg(
+        F.sum("row_count").alias("row_count"), F.every(F.col("source_file_hash").rlike("^[0-9a-f]{64}$")).alias("hashed"),
+        F.every(F.col("run_id").rlike("^bronze-[0-9a-f]{16}$")).alias("named"), F.count_distinct("ingested_at").alias("stamps"),
+    )
+    batches = spark.read.schema("run_id string, skipped bigint, failed bigint").json(written)
+    return side_by_side(content, batches.select(F.col("run_id").alias("batch"), F.col("skipped").alias("batch_skipped"), F.col("failed").alias("batch_failed")))
+
+
+def bronze_recovery(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-12, PIPE-15: a content of which a third had landed on an earlier day is completed, once."""
+    path, schema = _export(spark, d, "vendors")
+    whole, root = scratch_path(spark, "bronze"), scratch_path(spark, "bronze")
+    B.ingest_files(spark, path, "vendors", whole, RUN)
+    part = readers.read_bronze(spark, whole, "vendors").where("source_row % 3 = 0").withColumn("ingest_date", F.lit("2024-01-18"))
+    writers.write_bronze(part, root, "vendors")
+    B.ingest_files(spark, path, "vendors", root, RUN)
+    back = readers.read_bronze(spark, root, "vendors")
+    return back.groupBy("State", "ingest_date").agg(F.count("*").alias("n"), F.count("Vendor ID").alias("with_id"))
+
+
+def silver_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-13, AUD-04: a snapshot built again after its manifest was lost has the same rows."""
+    root, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    rows = S.vendors(spark, d).withColumns({"ingest_date": F.lit("2024-01-19"), "sha256": F.col("source_file_hash")})
+    writers.write_bronze(rows, root, "vendors")
+    run = SilverRun("snapshot_a", S.ASOF, S.NOW)
+    build_silver(spark, "vendors", root, silver, run, "v0.2.0")
+    remove_path(spark, f"{silver}/_manifests")
+    again = build_silver(spark, "vendors", root, silver, run, "v0.2.0")
+    return again.select("dataset", "transform_version", "snapshot_id", "bronze_rows", "silver_rows", "filtered_rows", "filter_rate", "skipped")
+
+
+def latest_over_files(spark: SparkSession, d: str) -> DataFrame:
+    """PIPE-13: three files of one run with equal times and row numbers; which row wins does not depend on their order."""
+    rows = S.vendors(spark, d).where("`Vendor ID` IS NOT NULL")
+    parts = [
+        rows.where(keep).withColumns({"source_file": F.lit(name), "source_row": F.lit(1).cast("long"), "Vendor Name": F.lit(name)})
+        for name, keep in (("b.csv", "source_row % 2 = 0"), ("a.csv", "true"), ("c.csv", "source_row % 3 = 0"))
+    ]
+    tied = parts[0].unionByName(parts[1]).unionByName(parts[2]).repartition(7)
+    return newest_version(tied, "Vendor ID").select("Vendor ID", "Vendor Name", "row_hash")
+
+
 def latest_content(spark: SparkSession, d: str) -> DataFrame:
     """SRC-06: two bronze contents, of which the newest is picked."""
     root = scratch_path(spark, "bronze")
@@ -245,7 +298,8 @@ def discovered_runs(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "csv_roundtrip": csv_roundtrip, "csv_tolerant": csv_tolerant, "csv_inferred": csv_inferred, "file_inventory": file_inventory,
     "year_month_export": year_month_export, "typed_rows": typed_rows, "typed_table": typed_table, "bronze_ingest": bronze_ingest,
-    "latest_content": latest_content, "consolidated_bronze": consolidated_bronze, "silver_build": silver_build,
+    "bronze_manifest_written": bronze_manifest_written, "bronze_recovery": bronze_recovery, "silver_rerun": silver_rerun,
+    "latest_over_files": latest_over_files, "latest_content": latest_content, "consolidated_bronze": consolidated_bronze, "silver_build": silver_build,
     "ndjson_events": ndjson_events, "stream_logs": stream_logs, "stream_ingest": stream_ingest,
     "config_freshness": config_freshness, "discovered_runs": discovered_runs,
 }
@@ -253,13 +307,13 @@ _VENDOR = ", ".join(f'"{c}"' for c in schema_for("vendors").columns)
 _OPENING = "try_strptime(\"Bid Opening Date\", '%m/%d/%Y %H:%M:%S')"
 
 
-def _silver_build_sql() -> str:
+def _silver_build_sql(turns: str = "(VALUES (false), (true))") -> str:
     from silverline.reports.silver import SQL as SILVER
 
     return f"""
 SELECT 'vendors' AS dataset, 'v0.2.0' AS transform_version, 'snapshot_a' AS snapshot_id, b AS bronze_rows, s AS silver_rows,
        b - s AS filtered_rows, round((b - s) / b * 100, 1) AS filter_rate, skipped
-FROM (SELECT count(*) AS b FROM {S.VENDORS_SQL} v), (SELECT count(*) AS s FROM ({SILVER['vendors_v020']})), (VALUES (false), (true)) x(skipped)"""
+FROM (SELECT count(*) AS b FROM {S.VENDORS_SQL} v), (SELECT count(*) AS s FROM ({SILVER['vendors_v020']})), {turns} x(skipped)"""
 
 
 SQL = {
@@ -281,6 +335,16 @@ SELECT "Bid Solicitation #" AS bid_id, "Organization Name" AS organization, null
        "Status" AS status, nullif("Alternate Id", '') AS alternate_id FROM {S.BIDS_SQL} b""",
     "typed_table": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1",
     "bronze_ingest": f"SELECT true AS numbered, count(*) AS rows, count(*) AS manifest_rows, true AS repeat_skipped FROM {S.VENDORS_SQL} v",
+    "bronze_manifest_written": f"""
+SELECT count(*) AS row_count, true AS hashed, true AS named, 1::BIGINT AS stamps, 'batch_1' AS batch, 0::BIGINT AS batch_skipped,
+       0::BIGINT AS batch_failed FROM {S.VENDORS_SQL} v""",
+    "bronze_recovery": f"""SELECT "State", '2024-01-20' AS ingest_date, count(*) AS n, count("Vendor ID") AS with_id FROM {S.VENDORS_SQL} v GROUP BY 1""",
+    "silver_rerun": _silver_build_sql("(VALUES (false))"),
+    "latest_over_files": f"""
+SELECT "Vendor ID", name AS "Vendor Name", row_hash
+FROM {S.VENDORS_SQL} v JOIN (VALUES ('a.csv', 1), ('b.csv', 2), ('c.csv', 3)) f(name, step) ON source_row % step = 0
+WHERE "Vendor ID" IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY "Vendor ID" ORDER BY name DESC, row_hash DESC) = 1""",
     "latest_content": "SELECT '2024-01-20' AS ingest_date, count(*) AS n, min(c_nationkey)::BIGINT AS lowest FROM customer WHERE c_nationkey >= 12",
     "consolidated_bronze": f"""
 SELECT "PO #", CASE WHEN contains("PO #", 'SWC') THEN count(*) ELSE 1 END AS n FROM {S.PO_SQL} p WHERE trim("PO #") <> '' GROUP BY 1""",
