@@ -36,7 +36,7 @@ class IngestRun:
     code_version: str = "unknown"
     schema_version: str = "v0.1.0"
     row_hash_mode: str = "row"
-    multiline: bool = True
+    multiline: bool | None = None
 
     @property
     def ingest_date(self) -> str:

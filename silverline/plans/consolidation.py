@@ -16,9 +16,9 @@ AGE = ["_file_date", "_run_id", "_source_path", "source_row"]
 COUNT = "Duplicate Count"
 
 
-def read_exports(spark, paths, schema: FileSchema) -> DataFrame:
+def read_exports(spark, paths, schema: FileSchema, multiline: bool | None = None) -> DataFrame:
     """All rows of all exports with the columns that order them."""
-    numbered = with_source_row(read_csv_tolerant(spark, paths, schema))
+    numbered = with_source_row(read_csv_tolerant(spark, paths, schema, multiline))
     fields = path_fields(F.col("_source_path"), F.col("_modified"))
     return numbered.withColumns({"_file_date": fields["file_date"], "_run_id": fields["run_id"]}).drop("_modified", "_corrupt")
 

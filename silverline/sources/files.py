@@ -44,9 +44,11 @@ def content_hashes(spark: SparkSession, paths: str | Sequence[str], glob: str =
     )
 
 
-def csv_record_counts(spark: SparkSession, paths: str | Sequence[str], schema: FileSchema) -> DataFrame:
+def csv_record_counts(
+    spark: SparkSession, paths: str | Sequence[str], schema: FileSchema, multiline: bool | None = None
+) -> DataFrame:
     """Data rows per file (header and blank lines not counted)."""
-    rows = read_csv_tolerant(spark, paths, schema)
+    rows = read_csv_tolerant(spark, paths, schema, multiline)
     return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("records"))
 
 

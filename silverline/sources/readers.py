@@ -43,23 +43,23 @@ def _csv(spark: SparkSession, options: dict[str, str], multiline: bool) -> DataF
 
 
 def read_csv_registry(
-    spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool = True
+    spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool | None = None
 ) -> DataFrame:
     """Read with a fixed schema; a renamed, missing or extra column fails the job.
 
-    `multiline` allows line breaks inside quotes, at the price of one task per file. Files known to
-    have none should be read without it, so that large files are split.
+    `multiline` allows line breaks inside quotes, at the price of one task per file; without it large
+    files are split. The schema decides unless it is given.
     """
-    reader = _csv(spark, schema.options, multiline).schema(schema.struct())
+    reader = _csv(spark, schema.options, _multiline(schema, multiline)).schema(schema.struct())
     return reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(paths)
 
 
 def read_csv_tolerant(
-    spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool = True
+    spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool | None = None
 ) -> DataFrame:
     """Read what can be read: short rows are padded, long rows cut, odd rows shown in `_corrupt`."""
     struct = T.StructType([*schema.struct().fields, T.StructField("_corrupt", T.StringType())])
-    reader = _csv(spark, schema.options, multiline).schema(struct).option("mode", "PERMISSIVE")
+    reader = _csv(spark, schema.options, _multiline(schema, multiline)).schema(struct).option("mode", "PERMISSIVE")
     return reader.option("columnNameOfCorruptRecord", "_corrupt").csv(paths)
 
 
@@ -68,9 +68,13 @@ def read_csv_inferred(spark: SparkSession, paths: Sequence[str] | str) -> DataFr
     return _csv(spark, {}, True).option("inferSchema", True).option("samplingRatio", 1.0).csv(paths)
 
 
-def union_csv_files(spark: SparkSession, paths: Sequence[str], schema: FileSchema) -> DataFrame:
+def _multiline(schema: FileSchema, asked: bool | None) -> bool:
+    return schema.multiline if asked is None else asked
+
+
+def union_csv_files(spark: SparkSession, paths: Sequence[str], schema: FileSchema, multiline: bool | None = None) -> DataFrame:
     """Rows of all files under one header, matched by position; blank lines drop out."""
-    return read_csv_tolerant(spark, list(paths), schema).drop("_corrupt")
+    return read_csv_tolerant(spark, list(paths), schema, multiline).drop("_corrupt")
 
 
 def path_fields(path: Column, modified: Column | None = None) -> dict[str, Column]:
@@ -85,9 +89,11 @@ def path_fields(path: Column, modified: Column | None = None) -> dict[str, Colum
     }
 
 
-def raw_with_provenance(spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema) -> DataFrame:
+def raw_with_provenance(
+    spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool | None = None
+) -> DataFrame:
     """Every raw row, with where it came from."""
-    rows = read_csv_tolerant(spark, paths, schema).drop("_corrupt")
+    rows = read_csv_tolerant(spark, paths, schema, multiline).drop("_corrupt")
     named = rows.select("*", F.col("_metadata.file_path").alias("_full_path"), "_metadata.file_modification_time")
     fields = path_fields(F.col("_full_path"))
     return named.select(

@@ -11,11 +11,15 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class FileSchema:
-    """Columns and CSV options of one dataset version. Every exported column is text."""
+    """Columns and CSV options of one dataset version. Every exported column is text.
+
+    `multiline` says that quoted fields may hold line breaks; such files can't be split over tasks.
+    """
 
     columns: tuple[str, ...]
     primary_key: str
     options: dict[str, str] = field(default_factory=dict)
+    multiline: bool = True
 
     def struct(self) -> T.StructType:
         return T.StructType([T.StructField(name, T.StringType()) for name in self.columns])

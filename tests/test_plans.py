@@ -161,3 +161,40 @@ def test_typed_projection_with_sql_expression(spark):
     assert tuple(typed_projection(df, mapping, "r").first()) == ("a", 10, "r")
     assert mapping.primary_key == "key" and mapping.id_column == "K"
     assert TYPED_MAPS["vendors"].partition_by is None and TYPED_MAPS["bids"].primary_key == "bid_id"
+
+
+def test_half_landed_content_is_completed(spark, tmp_path):
+    schema = schema_for("vendors")
+    write(f"{tmp_path}/raw/a.csv", [vendor(f"VEN{k}", "A") for k in range(10)], schema)
+    whole, root = scratch_path(spark, "bronze"), scratch_path(spark, "bronze")
+    bronze.ingest_files(spark, f"{tmp_path}/raw", "vendors", whole, RUN)
+    part = readers.read_bronze(spark, whole, "vendors").where("source_row <= 3")
+    for day in ("2025-08-20", RUN.ingest_date):
+        part.withColumn("ingest_date", F.lit(day)).write.mode("append").partitionBy("ingest_date", "sha256").parquet(f"{root}/vendors")
+    got = bronze.ingest_files(spark, f"{tmp_path}/raw", "vendors", root, RUN).first()
+    assert not got["skipped"] and got["row_count"] == 10
+    assert sorted(r["source_row"] for r in readers.read_bronze(spark, root, "vendors").collect()) == list(range(1, 11))
+    assert bronze.ingest_files(spark, f"{tmp_path}/raw", "vendors", root, RUN).first()["skipped"]
+
+
+def test_rows_with_holes_are_not_committed(spark, tmp_path):
+    schema = schema_for("vendors")
+    write(f"{tmp_path}/raw/a.csv", [vendor(f"VEN{k}", "A") for k in range(10)], schema)
+    root = scratch_path(spark, "bronze")
+    bronze.ingest_files(spark, f"{tmp_path}/raw", "vendors", root, RUN)
+    rows = readers.read_bronze(spark, root, "vendors").where("source_row <> 4")
+    other = scratch_path(spark, "bronze")
+    rows.write.partitionBy("ingest_date", "sha256").parquet(f"{other}/vendors")
+    contents = rows.select("sha256", "source_file", "source_file_bytes").distinct()
+    with pytest.raises(RuntimeError):
+        bronze.commit(spark, other, "vendors", contents, RUN)
+    assert bronze.known_hashes(spark, other, "vendors").isEmpty()
+
+
+def test_slices_stay_small_over_many_files(spark):
+    from silverline.plans.silver import purchase_orders as P
+
+    rows = spark.range(50_000).selectExpr("cast(null as string) as `PO #`", "id div 500 + 1 as source_row", "md5(cast(id % 500 as string)) as source_file_hash")
+    step = max(1, P.SLICE_ROWS // 500)
+    largest = rows.groupBy(F.expr(f"source_row div {step}")).count().agg(F.max("count")).first()[0]
+    assert largest <= P.SLICE_ROWS

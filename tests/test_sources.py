@@ -171,3 +171,17 @@ def test_registry_file(spark, tmp_path):
     assert tuple(readers.read_csv_registry(spark, data, schema).first()) == ("1", "2")
     with pytest.raises(KeyError):
         schema_for("x", "v2", registry)
+
+
+def test_large_files_are_split_without_line_breaks(spark, tmp_path):
+    with open(f"{tmp_path}/big.csv", "w") as f:
+        f.write("ID #,Name\n" + "".join(f"{k},name {k}\n" for k in range(40_000)))
+    schema = FileSchema(("ID #", "Name"), "ID #", multiline=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        rows = readers.read_csv_registry(spark, str(tmp_path), schema)
+        assert rows.rdd.getNumPartitions() > 3 and rows.count() == 40_000
+        assert files.csv_record_counts(spark, str(tmp_path), schema).first()["records"] == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
