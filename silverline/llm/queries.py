@@ -18,10 +18,14 @@ def _listing(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(spans: str, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    counts = [_count("base", k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     every = F.array_sort(F.concat("base", "more"))
     return found.select(
         "doc_id", *counts, F.sha2(_listing(F.col("base"), pii.KINDS), 256).alias("base_sha256"), _listing(every, pii.KINDS).alias("spans")
@@ -42,7 +46,7 @@ def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: counts and digest of the base spans, and all spans."""
     kinds = tuple(rule.kind for rule in secrets.RULES)
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE_RULES))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{rule.kind}") for k, rule in enumerate(secrets.BASE_RULES)]
+    counts = [_count("spans", k).alias(f"n_{rule.kind}") for k, rule in enumerate(secrets.BASE_RULES)]
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", *counts, F.sha2(_listing(base, kinds), 256).alias("base_sha256"), _listing(F.col("spans"), kinds).alias("spans")
@@ -137,4 +141,46 @@ select d.doc_id, coalesce(len(s.lines), 0)::bigint as n_lines, coalesce(r.n_remo
 from documents d left join split s using (doc_id) left join runs r using (doc_id) left join kept k using (doc_id)
 """
 
-SQL: dict[str, str] = {"op5_line_runs": OP5_SQL}
+
+
+def _secret_spans(number: int, rule: secrets.Rule) -> str:
+    """Spans of one rule as a list of (start, kind, end): gaps between matches and the matches themselves add up to places."""
+    expression = rule.expression.removeprefix("(?<![0-9a-f])").replace("'", "''")
+    return f"""list_filter(list_transform(
+      list_zip(string_split_regex(text, '{expression}'), regexp_extract_all(text, '{expression}'), regexp_extract_all(text, '{expression}', {rule.group}),
+               range(1, len(string_split_regex(text, '{expression}')))),
+      lambda p: {{'first': (coalesce(list_sum(list_transform(string_split_regex(text, '{expression}')[1:p[4]], lambda x: length(x))), 0)
+                          + coalesce(list_sum(list_transform(regexp_extract_all(text, '{expression}')[1:p[4] - 1], lambda x: length(x))), 0))::bigint,
+                 'kind': {number}, 'size': length(p[2]), 'good': length(p[3]) >= {rule.least}}}), lambda s: s.good is true)"""
+
+
+_KIND_NAMES = "[" + ", ".join(f"'{rule.kind}'" for rule in secrets.RULES) + "]"
+_JOIN_SPANS = f"array_to_string(list_transform({{spans}}, lambda s: {_KIND_NAMES}[s.kind + 1] || ':' || s.first || ':' || (s.first + s.size)), ',')"
+
+OP4_SQL = f"""
+with found as (
+  select doc_id, list_sort(flatten([{", ".join(_secret_spans(number, rule) for number, rule in enumerate(secrets.RULES))}])) as spans
+  from (select doc_id, coalesce(text, '') as text from documents)
+)
+select doc_id,
+  {", ".join(f"len(list_filter(spans, lambda s: s.kind = {number}))::bigint as n_{rule.kind}" for number, rule in enumerate(secrets.BASE_RULES))},
+  sha256({_JOIN_SPANS.format(spans=f"list_filter(spans, lambda s: s.kind < {len(secrets.BASE_RULES)})")}) as base_sha256,
+  {_JOIN_SPANS.format(spans="spans")} as spans
+from found
+"""
+
+OP10_SQL = """
+with payloads as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as digest from pages
+), largest as (
+  select html, max(page_id) as top from payloads group by html
+)
+select page_id, strlen(html)::bigint as payload_bytes,
+  array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda b:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(digest, g * 5 + 1, 5))::bigint >> b) & 31)::bigint + 1, 1)), '')), '') as payload_digest,
+  case when top is null or page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id <> top then top end as refers_to
+from payloads join largest using (html)
+"""
+
+SQL: dict[str, str] = {"op4_trigram_secrets": OP4_SQL, "op5_line_runs": OP5_SQL, "op10_warc_chain": OP10_SQL}
