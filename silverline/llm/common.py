@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.session import ensure_checkpointing
+from silverline.session import ensure_checkpointing, scratch_path
 
 # The white space that separates words: \x20 and \x09-\x0D. bytes.split() splits at exactly these.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -28,12 +28,21 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: like `cut`, but compressed and read by column."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """16 bytes that name a document: rows equal in id and text share it, NULL text counts as empty."""
     return F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.coalesce(text, F.lit("")))))
 
 
-def map_rows(frame: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]]], schema: str) -> DataFrame:
+def map_rows(
+    frame: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]]], schema: str, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """Rows from rows, in Python. `make` runs once a task and gives the function for a list of rows.
 
     Batches are bounded in bytes by slicing what Spark hands over, so long texts never pile up as
@@ -45,7 +54,7 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[list[dict]], list[di
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, batch_bytes):
                 rows = work(part.to_pylist())
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=out)
@@ -53,9 +62,9 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[list[dict]], list[di
     return frame.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     rows = batch.num_rows
-    step = rows if batch.nbytes <= BATCH_BYTES else max(1, rows * BATCH_BYTES // batch.nbytes)
+    step = rows if batch.nbytes <= most else max(1, rows * most // batch.nbytes)
     for start in range(0, rows, step):
         yield batch.slice(start, step)
 

@@ -24,8 +24,10 @@ def components(links: DataFrame) -> DataFrame:
         )
         parents = cut(ends.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("parent")))
         while True:
+            # Two jumps a pass: trees of depth four are flat after the first.
             above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
-            jumped = cut(parents.join(above, "parent").select("node", F.col("over").alias("parent"), (F.col("over") != F.col("parent")).alias("moved")))
+            twice = above.join(above.select(F.col("parent").alias("over"), F.col("over").alias("top")), "over").select("parent", "over", "top")
+            jumped = cut(parents.join(twice, "parent").select("node", F.col("top").alias("parent"), (F.col("top") != F.col("over")).alias("moved")))
             parents = jumped.select("node", "parent")
             if jumped.filter("moved").isEmpty():
                 break

@@ -41,8 +41,8 @@ class NearTexts:
     print_words: int = 3
     similarity: float = 0.8
     radius: int = 34
-    block: int = 4096
-    partners: int = 3
+    block: int = 16_384
+    partners: int = 2
 
     @property
     def band(self) -> int:
@@ -99,7 +99,8 @@ def propose(left: dict, right: dict, same: bool, partners: int, how: NearTexts)
     ids_b, low_b, high_b, size_b, root_b, after_b = arrays(right)
     low_a, high_a, low_b, high_b = (x.view(np.uint64) for x in (low_a, high_a, low_b, high_b))
     found: list[tuple] = []
-    rows = max(1, (1 << 20) // max(1, len(ids_b)))
+    # A large group makes nearly every pair of a strip a candidate, so strips are narrow.
+    rows = max(1, (1 << 18) // max(1, len(ids_b)))
     for begin in range(0, len(ids_a), rows):
         part = slice(begin, begin + rows)
         bits = np.bitwise_count(low_a[part, None] ^ low_b[None, :]) + np.bitwise_count(high_a[part, None] ^ high_b[None, :])
@@ -166,7 +167,7 @@ def _proposals(nodes: DataFrame, partners: int, how: NearTexts) -> DataFrame:
 
         return work
 
-    found = map_rows(pairs, make, "id long, other long, key long")
+    found = map_rows(pairs, make, "id long, other long, key long", batch_bytes=1)
     ordered = F.array_sort(F.collect_list(F.struct("key", "other")))
     return found.groupBy("id").agg(F.slice(ordered, 1, partners).alias("partners"))
 
@@ -249,7 +250,7 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
         )
         if state.filter(F.col("after") < _DONE).isEmpty():
             break
-        partners *= 4
+        partners *= 8
     return texts.select("id", "key", "doc_id").join(state.select("id", F.col("root").alias("group")), "id").drop("id")
 
 
