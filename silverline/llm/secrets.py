@@ -71,7 +71,8 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         for alternative, way in enumerate(trigrams.query(rule.expression))
         for gram in sorted(way)
     ]
-    wanted = index.sparkSession.createDataFrame(terms, "rule int, alternative int, trigram string, terms int")
+    # A few hundred rows at most, however many texts: the rules alone decide.
+    wanted = F.broadcast(index.sparkSession.createDataFrame(terms, "rule int, alternative int, trigram string, terms int"))
     met = (
         index.join(wanted, "trigram")
         .groupBy(_KEY, "rule", "alternative", "terms")
