@@ -11,8 +11,9 @@ windows can only be equal if the suffixes at their anchors begin alike.
 2. Records whose whole contexts agree are repeats, byte for byte, without moving text.
 3. Where leading bytes agree and contexts differ, each distinct context is sent once. Sampled
    splitters range-partition these suffixes by their leading bytes; each bucket sorts its suffixes by
-   multikey quicksort, resolves the windows inside it, and hands the windows of its first and last
-   group, which may go on in the neighbours, to a comparison across boundaries.
+   multikey quicksort and resolves the windows inside it. A window can only go on in a neighbour if
+   its part behind the anchor is a common prefix with the bucket's first or last suffix; such windows
+   go to a comparison across boundaries.
 4. Documents take their repeated windows back, and what no window covers is kept.
 """
 
@@ -42,6 +43,11 @@ class Repeats:
         """Bytes after an anchor that lie in all of its windows."""
         return self.length - self.choices + 1
 
+    @property
+    def sorted_bytes(self) -> int:
+        """Leading bytes by which suffixes are dealt: twice those, so that a frequent start is dealt by what follows."""
+        return 2 * self.lead
+
 
 # Window starts whose anchors are chosen at once.
 _CHUNK = 1 << 20
@@ -51,7 +57,7 @@ _ANCHORS = "key binary, lo int, off int, size int, lead long, body long"
 _SPAN = "array<struct<s:int, e:int>>"
 _CHECKED = f"doc_id long, key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text binary, known {_SPAN}, mixed array<struct<lo:int, off:int, size:int, lead:long, body:long>>"
 _CONTEXTS = "lead long, body long, n long, off int, context binary"
-_RESOLVED = "lead long, body long, s int, e int, h1 long, h2 long"
+_RESOLVED = "lead long, body long, s int, e int, h1 long, h2 long, open boolean"
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -233,8 +239,16 @@ def _window_prints(data: object, places: object, length: int) -> tuple[object, o
     return found[0], found[1]
 
 
-def resolve_bucket(lead: list, body: list, n: list, off: list, contexts: list[bytes], how: Repeats) -> pa.Table:
-    """Repeated windows of a bucket's classes, and the windows of its first and last group for the comparison across boundaries."""
+def resolve_bucket(
+    lead: list, body: list, n: list, off: list, contexts: list[bytes], how: Repeats, begun: bool = False, goes_on: bool = False
+) -> pa.Table:
+    """Repeated windows of a bucket's classes, and what it sends to the comparison across boundaries.
+
+    That is each different window that may go on in a neighbour, once; those that the bucket itself
+    found repeated only bear witness for others and are not open. Splitters never part suffixes with
+    equal sorted bytes; `begun` and `goes_on` say that the bucket was cut out of one that held more,
+    where they may be parted.
+    """
     import numpy as np
 
     count = len(contexts)
@@ -242,12 +256,18 @@ def resolve_bucket(lead: list, body: list, n: list, off: list, contexts: list[by
     starts = np.cumsum([0, *(len(c) for c in contexts)])
     data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     # Suffixes by their leading bytes, eight in a token.
-    width = -(-how.lead // 8) * 8
-    heads = b"".join(c[o : o + how.lead].ljust(width, b"\0") for c, o in zip(contexts, off, strict=True))
+    depth = how.sorted_bytes
+    width = -(-depth // 8) * 8
+    heads = b"".join(c[o : o + depth].ljust(width, b"\0") for c, o in zip(contexts, off, strict=True))
     tokens = np.frombuffer(heads, dtype=">u8").reshape(count, width // 8).astype(np.uint64)
     order = multikey_order(tokens)
-    same_first = (tokens == tokens[order[0]]).all(axis=1)
-    same_last = (tokens == tokens[order[-1]]).all(axis=1)
+    letters = np.frombuffer(heads, dtype=np.uint8).reshape(count, width)[:, :depth]
+    # Bytes behind the anchor that a class may share with a suffix of a neighbour.
+    shared = np.zeros(count, dtype=np.int64)
+    for edge_row, parted in ((order[0], begun), (order[-1], goes_on)):
+        differs = letters != letters[edge_row]
+        common = np.where(differs.any(axis=1), differs.argmax(axis=1), how.length if parted else depth - 1)
+        shared = np.maximum(shared, common)
     owner = np.repeat(np.arange(count), sizes)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     h1, h2 = _window_prints(data, starts[owner] + inner, how.length)
@@ -258,12 +278,15 @@ def resolve_bucket(lead: list, body: list, n: list, off: list, contexts: list[by
     repeated[by[1:][equal]] = True
     repeated[by[:-1][equal]] = True
     repeated |= np.array(n)[owner] > 1
+    leads = np.ones(len(owner), dtype=bool)
+    leads[by[1:][equal]] = False
     lead_of, body_of = np.array(lead, dtype=np.int64), np.array(body, dtype=np.int64)
     # Runs of repeated windows inside a class.
     edge = repeated & np.concatenate([[True], ~repeated[:-1] | (owner[1:] != owner[:-1])])
     final = repeated & np.concatenate([~repeated[1:] | (owner[1:] != owner[:-1]), [True]])
     at, to = np.nonzero(edge)[0], np.nonzero(final)[0]
-    border = np.nonzero((same_first | same_last)[owner])[0]
+    behind = how.length - (np.array(off)[owner] - inner)
+    border = np.nonzero((behind <= shared[owner]) & leads)[0]
     none = np.zeros(len(at), dtype=np.int64)
     rows = np.concatenate([at, border])
     missing = np.concatenate([np.ones(len(at), dtype=bool), np.zeros(len(border), dtype=bool)])
@@ -275,6 +298,7 @@ def resolve_bucket(lead: list, body: list, n: list, off: list, contexts: list[by
             "e": pa.array(inner[np.concatenate([to, border])], pa.int32()),
             "h1": pa.array(np.concatenate([none, h1[border].view(np.int64)]), pa.int64(), mask=missing),
             "h2": pa.array(np.concatenate([none, h2[border].view(np.int64)]), pa.int64(), mask=missing),
+            "open": np.concatenate([np.zeros(len(at), dtype=bool), ~repeated[border]]),
         }
     )
 
@@ -288,11 +312,11 @@ def _resolve(classes: DataFrame, how: Repeats) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[list] = [[], [], [], [], []]
-        held = 0
+        held, begun = 0, False
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush(goes_on: bool) -> Iterator[pa.RecordBatch]:
             if rows[0]:
-                table = resolve_bucket(*rows, how).select(out.names).cast(out)
+                table = resolve_bucket(*rows, how, begun, goes_on).select(out.names).cast(out)
                 yield from table.to_batches(max_chunksize=1 << 16)
 
         for batch in batches:
@@ -301,11 +325,11 @@ def _resolve(classes: DataFrame, how: Repeats) -> DataFrame:
                     column.append(value)
                 held += len(row[4])
                 if held > _BUCKET:
-                    yield from flush()
-                    rows, held = [[], [], [], [], []], 0
-        yield from flush()
+                    yield from flush(goes_on=True)
+                    rows, held, begun = [[], [], [], [], []], 0, True
+        yield from flush(goes_on=False)
 
-    suffix = F.expr(f"substring(context, off + 1, {2 * how.lead})")
+    suffix = F.expr(f"substring(context, off + 1, {how.sorted_bytes})")
     bucketed = classes.withColumn("suffix", suffix).repartitionByRange("suffix").sortWithinPartitions("suffix").drop("suffix")
     return bucketed.mapInArrow(run, _RESOLVED)
 
@@ -356,9 +380,8 @@ def remove_repeats(docs: DataFrame, how: Repeats | None = None) -> DataFrame:
     resolved = _stored(_resolve(_contexts(waiting, how), how), "resolved")
     inside = resolved.filter("h1 is null").select("lead", "body", "s", "e")
     border = resolved.filter("h1 is not null")
-    name = F.struct("lead", "body")
-    across = border.groupBy("h1", "h2").agg(F.min(name).alias("low"), F.max(name).alias("high")).filter("low <> high").select("h1", "h2")
-    found = inside.unionByName(border.join(across, ["h1", "h2"], "left_semi").select("lead", "body", "s", "e"))
+    across = border.groupBy("h1", "h2").agg(F.count("*").alias("buckets")).filter("buckets > 1").select("h1", "h2")
+    found = inside.unionByName(border.filter("open").join(across, ["h1", "h2"], "left_semi").select("lead", "body", "s", "e"))
     spans = found.groupBy("lead", "body").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     places = waiting.select("key", F.explode("mixed").alias("m")).select("key", "m.lo", "m.lead", "m.body").distinct()
     by_text = places.join(spans, ["lead", "body"]).groupBy("key").agg(F.collect_list(F.struct("lo", "spans")).alias("found"))

@@ -226,3 +226,46 @@ def test_block_index_returns_all_within_radius():
         for place in rng.sample(range(64), 18):
             bits ^= 1 << place
         assert index.within(bits) == {k for k, p in enumerate(prints) if (p ^ bits).bit_count() <= 20}
+
+
+def test_windows_across_buckets():
+    """Buckets parted where sorted bytes differ, or anywhere if they say so, find what one bucket finds."""
+    import random
+
+    rng = random.Random(11)
+    how = suffix_dedup.Repeats(20, 12)
+    for _ in range(60):
+        classes = {}
+        for number in range(rng.randrange(2, 40)):
+            context = bytes(rng.choice(b"ab") if rng.random() < 0.08 else 97 + k % 2 for k in range(rng.randrange(20, 32)))
+            off = rng.randrange(len(context) - 20, 12)
+            classes[number] = (number, number, rng.choice([1, 1, 1, 2]), off, context)
+        rows = sorted(classes.values(), key=lambda c: c[4][c[3] : c[3] + how.sorted_bytes])
+
+        def repeated(buckets):
+            found, border = set(), defaultdict(list)
+            for bucket, begun, goes_on in buckets:
+                table = suffix_dedup.resolve_bucket(*map(list, zip(*bucket, strict=True)), how, begun, goes_on)
+                for r in table.to_pylist():
+                    if r["h1"] is None:
+                        found |= {(r["lead"], k) for k in range(r["s"], r["e"] + 1)}
+                    else:
+                        border[r["h1"], r["h2"]].append((r["lead"], r["s"], r["open"]))
+            return found | {(lead, s) for same in border.values() if len(same) > 1 for lead, s, is_open in same if is_open}
+
+        # Only windows that name the same anchor are compared: as in the operator, by place behind the anchor.
+        windows = Counter()
+        for number, _, n, off, context in rows:
+            for k in range(min(off, len(context) - 20) + 1):
+                windows[off - k, context[k : k + 20]] += n
+        if len({context for *_, context in rows}) < len(rows) or any(off > 11 for _, _, _, off, _ in rows):
+            continue
+        cuts = sorted({0, len(rows), *(rng.randrange(1, len(rows)) for _ in range(3))})
+        buckets = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            head = lambda k: rows[k][4][rows[k][3] : rows[k][3] + how.sorted_bytes]
+            buckets.append((rows[a:b], a > 0 and head(a - 1) == head(a), b < len(rows) and head(b - 1) == head(b)))
+        whole = repeated([(rows, False, False)])
+        parted = repeated(buckets)
+        want = {(number, k) for number, _, _, off, context in rows for k in range(len(context) - 19) if k <= off and windows[off - k, context[k : k + 20]] > 1}
+        assert want <= whole and want <= parted
