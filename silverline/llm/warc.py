@@ -22,14 +22,17 @@ _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 def base32_sha1(payload: Column) -> Column:
     """Bare upper-case base32 of the SHA-1: five hex digits at a time are four base32 digits."""
-    digest = F.sha1(payload)
 
-    def digits(group: Column) -> Column:
-        value = F.conv(F.substring(digest, group * 5 + 1, 5), 16, 10).cast("int")
-        one = [F.substring(F.lit(_ALPHABET), F.shiftright(value, shift).bitwiseAND(F.lit(31)) + 1, 1) for shift in (15, 10, 5, 0)]
-        return F.concat(*one)
+    def spelled(digest: Column) -> Column:
+        def digits(group: Column) -> Column:
+            value = F.conv(F.substring(digest, group * 5 + 1, 5), 16, 10).cast("int")
+            one = [F.substring(F.lit(_ALPHABET), F.shiftright(value, shift).bitwiseAND(F.lit(31)) + 1, 1) for shift in (15, 10, 5, 0)]
+            return F.concat(*one)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), digits), "")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), digits), "")
+
+    # The lambda's variable holds the hash, so it is computed once per payload.
+    return F.transform(F.array(F.sha1(payload)), spelled)[0]
 
 
 def _line(name: str, value: Column) -> Column:
@@ -97,29 +100,41 @@ def _with_offsets(segments: DataFrame) -> DataFrame:
     return local.join(starts, ["file", "block"]).withColumn("offset", F.col("base") + F.col("local") - len(MAGIC)).drop("base", "local")
 
 
-def _header(name: str) -> Column:
-    found = F.regexp_extract("head", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
-    return F.when(found != "", found)
+def _fields(head: Column) -> Column:
+    """What the headers of a segment say."""
+
+    def line(name: str) -> Column:
+        found = F.regexp_extract(head, rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
+        return F.when(found != "", found)
+
+    def page(name: str) -> Column:
+        return F.regexp_extract(head, rf"{name}: <urn:page:(-?\d+)>", 1).try_cast("long")
+
+    return F.struct(
+        (F.octet_length(head) + len(_END)).cast("long").alias("body"),
+        line("Content-Length").try_cast("long").alias("size"),
+        line("WARC-Type").alias("record_type"),
+        page("WARC-Record-ID").alias("page_id"),
+        page("WARC-Refers-To").alias("refers_to"),
+        F.regexp_replace(line("WARC-Payload-Digest"), "^sha1:", "").alias("stated_digest"),
+    )
 
 
 def _parsed(segments: DataFrame) -> DataFrame:
-    """Header fields of each segment; `claimed` is the length of the record it would begin, NULL if it can't begin one."""
-    text = segments.withColumn("bytes", F.octet_length("value").cast("long"))
-    text = text.withColumn("head", F.substring_index(F.col("value").cast("string"), _END, 1))
-    # Headers are taken as bytes again: a payload may hold anything, and it may hold no end of headers.
-    size = _header("Content-Length").try_cast("long")
-    body = F.octet_length("head").cast("long") + len(_END)
-    claimed = F.when(body <= F.col("bytes"), body + size + len(_END) + len(MAGIC))
+    """Header fields of each segment; `claimed` is the length of the record it would begin, NULL if it can't begin one.
+
+    A payload may hold anything, so headers end at the first empty line and all lengths are bytes.
+    """
+    head = F.substring_index(F.col("value").cast("string"), _END, 1)
+    read = segments.select(
+        "file", "block", "row", F.octet_length("value").cast("long").alias("bytes"), "value", F.inline(F.transform(F.array(head), _fields))
+    )
+    claimed = F.when(F.col("body") <= F.col("bytes"), F.col("body") + F.col("size") + len(_END) + len(MAGIC))
     whole = F.coalesce(claimed == F.col("bytes") + len(MAGIC), F.lit(False))
-    payload = F.when(whole, F.expr("substring(value, cast(octet_length(head) + 5 as int), cast(bytes - octet_length(head) - 8 as int))"))
-    return text.select(
-        "file", "block", "row", "bytes", claimed.alias("claimed"), whole.alias("whole"),
-        _header("WARC-Type").alias("record_type"),
-        F.regexp_extract("head", r"WARC-Record-ID: <urn:page:(-?\d+)>", 1).try_cast("long").alias("page_id"),
-        F.regexp_extract("head", r"WARC-Refers-To: <urn:page:(-?\d+)>", 1).try_cast("long").alias("refers_to"),
-        F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", "").alias("stated_digest"),
-        body.alias("body"), size.alias("size"),
-        F.when(whole, base32_sha1(payload)).alias("digest"),
+    payload = F.expr("substring(value, cast(body + 1 as int), cast(size as int))")
+    return read.select(
+        "file", "block", "row", "bytes", claimed.alias("claimed"), whole.alias("whole"), "record_type", "page_id", "refers_to",
+        "stated_digest", "body", "size", F.when(whole, base32_sha1(payload)).alias("digest"),
     )
 
 
