@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silverline.llm.common import cut
+from silverline.llm.common import cut, stored
 
 MAGIC = "WARC/1.1\r\n"
 _END = "\r\n\r\n"
@@ -53,7 +53,9 @@ def write_archives(pages: DataFrame, path: str, max_records: int = 50_000) -> No
         "digest", base32_sha1(F.col("payload"))
     )
     largest = rows.select("page_id", "digest").groupBy("digest").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).filter("n > 1")
-    marked = rows.join(largest.drop("n"), "digest", "left").withColumn(
+    # Stored, so that Spark knows its size before payloads move: few repeats are sent round instead.
+    largest = stored(largest.drop("n"), "largest")
+    marked = rows.join(largest, "digest", "left").withColumn(
         "revisit", F.coalesce(~F.col("page_id").eqNullSafe(F.col("largest")) & F.col("largest").isNotNull(), F.lit(False))
     )
     body = F.when(F.col("revisit"), F.lit("")).otherwise(F.decode("payload", "UTF-8"))
