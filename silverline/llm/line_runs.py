@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silverline.llm.common import SPACE_PATTERN, cut, text_key
+from silverline.llm.common import SPACE_PATTERN, cut, stored, text_key
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,8 @@ def _stretches(rows: DataFrame, how: LineRuns) -> DataFrame:
 def removed_lines(docs: DataFrame, how: LineRuns | None = None) -> DataFrame:
     """(key, removed, n_runs): for each document that loses lines, their numbers and how many maximal runs they make."""
     how = how or LineRuns()
-    rows = _repeated(_lines(docs))
+    # Texts are split and hashed once; what follows reads the hashes.
+    rows = _repeated(stored(_lines(docs), "lines"))
     levels = how.min_words.bit_length() - 1
     for level in range(levels):
         rows = _double(rows, level)
