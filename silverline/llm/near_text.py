@@ -1,6 +1,7 @@
 """Groups of near-duplicate texts: SimHash tiles propose links, exact shingle similarity decides.
 
-Distinct texts get 128-bit fingerprints of their 3-word shingles. Texts whose 5-word shingle sets
+Distinct texts get 128-bit fingerprints of their sets of 5-word shingles, the same sets that decide,
+so repeats inside a text weigh nothing. Texts whose sets
 have a similarity of at least s have set sizes within that ratio, so tiles are size classes, cut into
 bands of population counts; tile pairs whose sizes or counts lie too far apart are never compared,
 all others are, block against block, with exclusive-or and bit counts.
@@ -30,17 +31,20 @@ _PLACE = 57  # bits of a text's number; the distance stands above them
 
 @dataclass(frozen=True)
 class NearTexts:
-    """Words in a verified shingle and in a fingerprinted one, similarity, bits of 128, texts in a block, first round's partners.
+    """Words in a shingle, similarity, bits of 128, bits and size for small sets, texts in a block, first round's partners.
 
-    A fingerprint bit differs with probability angle / pi. At similarity 0.8 that is 0.15 at most, or
-    19 bits with a deviation of 4, so 34 bits miss one link in ten thousand at the limit and fewer
-    above it; unrelated texts come that close once in ten million pairs.
+    A bit is the majority over a set's hashes. At similarity 0.8 two sets differ in a bit with a
+    probability of 0.15 to 0.16, or 20 bits with a deviation of 4, so 37 bits miss at most one link in
+    ten thousand at the limit and fewer above it; unrelated texts come that close once in a million
+    pairs. Of 4 shingles against 5, the smallest sets that can be near without being equal, ties make
+    it 0.19, so sets below 5 shingles are compared within 42 bits.
     """
 
     words: int = 5
-    print_words: int = 3
     similarity: float = 0.8
-    radius: int = 34
+    radius: int = 37
+    small_radius: int = 42
+    small_size: int = 5
     block: int = 16_384
     partners: int = 2
 
@@ -48,6 +52,10 @@ class NearTexts:
     def band(self) -> int:
         return max(1, self.radius // 2)
 
+    @property
+    def most(self) -> int:
+        return max(self.radius, self.small_radius)
+
 
 def _prints(how: NearTexts) -> Callable[[], Callable[[list[dict]], list[dict]]]:
     def make() -> Callable[[list[dict]], list[dict]]:
@@ -57,9 +65,7 @@ def _prints(how: NearTexts) -> Callable[[], Callable[[list[dict]], list[dict]]]:
         digest = xxhash.xxh3_128_digest
 
         def one(row: dict) -> dict:
-            text = row["text"] or ""
-            parts = shingles(text, how.print_words)
-            size = len(set(shingles(text, how.words)))
+            parts = set(shingles(row["text"] or "", how.words))
             halves = [0, 0]
             if parts:
                 raw = np.frombuffer(b"".join(map(digest, parts)), dtype=np.uint8).reshape(len(parts), 16)
@@ -67,7 +73,7 @@ def _prints(how: NearTexts) -> Callable[[], Callable[[list[dict]], list[dict]]]:
                 for start in range(0, len(raw), 1 << 14):
                     ones += np.unpackbits(raw[start : start + (1 << 14)], axis=1).sum(axis=0, dtype=np.int64)
                 halves = np.packbits(2 * ones > len(raw)).view("<i8").tolist()
-            return {"key": row["key"], "doc_id": row["doc_id"], "low": halves[0], "high": halves[1], "size": size}
+            return {"key": row["key"], "doc_id": row["doc_id"], "low": halves[0], "high": halves[1], "size": len(parts)}
 
         return lambda rows: [one(row) for row in rows]
 
@@ -104,7 +110,7 @@ def propose(left: dict, right: dict, same: bool, partners: int, how: NearTexts)
     for begin in range(0, len(ids_a), rows):
         part = slice(begin, begin + rows)
         bits = np.bitwise_count(low_a[part, None] ^ low_b[None, :]) + np.bitwise_count(high_a[part, None] ^ high_b[None, :])
-        i, j = np.nonzero(bits <= how.radius)
+        i, j = np.nonzero(bits <= how.most)
         d = bits[i, j].astype(np.int64)
         i = i + begin
         keep = root_a[i] != root_b[j]
@@ -112,6 +118,7 @@ def propose(left: dict, right: dict, same: bool, partners: int, how: NearTexts)
             keep &= i < j
         small, large = np.minimum(size_a[i], size_b[j]), np.maximum(size_a[i], size_b[j])
         keep &= small >= how.similarity * large - 1e-9
+        keep &= d <= np.where(small < how.small_size, how.small_radius, how.radius)
         i, j, d = i[keep], j[keep], d[keep]
         for own, other, after in ((ids_a[i], ids_b[j], after_a[i]), (ids_b[j], ids_a[i], after_b[j])):
             key = (d << _PLACE) | other
@@ -143,7 +150,7 @@ def _proposals(nodes: DataFrame, partners: int, how: NearTexts) -> DataFrame:
     )
     blocks = cut(blocks)
     # Bands differ by two or three at most within the radius; of a step and its reverse only one is taken.
-    reach = how.radius // how.band + 1
+    reach = how.most // how.band + 1
     steps = [(g, b) for g in (0, 1) for b in range(-reach, reach + 1) if (g, b) >= (0, 0)]
     moves = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(b).alias("b")) for g, b in steps])
     left = blocks.withColumn("move", F.explode(moves)).select(

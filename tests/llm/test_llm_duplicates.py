@@ -73,6 +73,26 @@ def test_near_texts(spark):
     assert near_text.keep_one_of_each(empty(spark)).count() == 0
 
 
+def test_near_texts_that_repeat_a_phrase_unequally(spark):
+    """Sets agree where repeat counts differ, and the smallest sets that can be near without being equal."""
+    rest = corpus()[0][2:]
+    rows = []
+    for k in range(12):
+        for at, (size, phrase, times) in enumerate([(300, 8, 20), (300, 8, 10), (1000, 9, 60)]):
+            body, again = prose(3000 + 10 * k + at, size), prose(4000 + 10 * k + at, phrase)
+            rows += [(6 * k + 2 * at, f"{body} {again}", *rest), (6 * k + 2 * at + 1, f"{body} {' '.join([again] * times)}", *rest)]
+    for k in range(60):
+        short = prose(5000 + k, 9)
+        rows += [(1000 + 2 * k, short.rsplit(" ", 1)[0], *rest), (1001 + 2 * k, short, *rest)]
+    sets = [shingle_set(row[1]) for row in rows]
+    label = roots(len(rows), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    want = defaultdict(list)
+    for row, root in zip(rows, label, strict=True):
+        want[root].append(row[0])
+    kept = near_text.keep_one_of_each(documents(spark, rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(min(group) for group in want.values())
+
+
 def brute_lines(rows, least):
     """Removed line numbers of each distinct (id, text), by trying every stretch with enough words."""
     order = sorted({(r[0] is not None, r[0] or 0, hashlib.md5(f"{'-' if r[0] is None else r[0]}\x1f{r[1] or ''}".encode()).digest(), r[1] or "") for r in rows if r[1] is not None})
