@@ -3,7 +3,7 @@
 Markup becomes a tree with implied end tags. Every node gets its characters per tag, lowered by the
 share of its characters and tags that belong to links. A parent's density sum adds up its children;
 the node with the largest sum holds the main text. The least density on the path from the body to it
-is the threshold that other parts of the page must reach.
+is the threshold that other parts of the page must reach. Parts chosen inside an <article> grow to it.
 """
 
 from __future__ import annotations
@@ -251,9 +251,6 @@ def main_parts(tree: Tree) -> list[int]:
         if not tree.beside[node] and sums[best[node]] >= sums[best[up]]:
             best[up] = best[node]
     target = best[body] if sums[best[body]] > 0 else body
-    for node in _ancestors(tree, target):
-        if tree.tag[node] in ("article", "main"):
-            return [node]
     path = [node for node in _ancestors(tree, target) if tree.tag[node] not in ("html", "#root") or node == body]
     threshold = min(density[node] for node in path)
     after = list(range(1, n + 1))  # the first node past each subtree; nodes are in document order
@@ -269,8 +266,11 @@ def main_parts(tree: Tree) -> list[int]:
         if not taken[part]:
             chosen.append(part)
             taken[part : after[part]] = [True] * (after[part] - part)
-    chosen.sort()
-    return chosen
+    parts: list[int] = []
+    for part in sorted({next((k for k in _ancestors(tree, node) if tree.tag[k] == "article"), node) for node in chosen}):
+        if not parts or part >= after[parts[-1]]:
+            parts.append(part)
+    return parts
 
 
 def extract(page: str) -> str:

@@ -166,6 +166,16 @@ def test_page_text(page, text):
     assert html_text.extract(page or "") == text
 
 
+def test_page_text_of_several_articles_and_of_none():
+    part = "".join(f"<p>{'several words of text ' * 6}{k}</p>" for k in range(3))
+    want = "\n".join(f"{'several words of text ' * 6}{k}" for k in range(3))
+    links = "<ul>" + "".join(f"<li><a href={k}>go to {k}</a></li>" for k in range(20)) + "</ul>"
+    many = "".join(f"<article><h2>Part {k}</h2>{part}</article>" for k in range(3))
+    assert html_text.extract(f"<body>{many}{links}") == "\n".join(f"Part {k}\n{want}" for k in range(3))
+    assert html_text.extract(f"<body><main><article>{part}</article><div>{part}</div>{links}</main>") == f"{want}\n{want}"
+    assert html_text.extract(f"<body><div>{part}</div><div>{links}</div><div>{part}</div>") == f"{want}\n{want}"
+
+
 def test_page_text_of_deep_and_broken_pages():
     assert html_text.extract("<div>" * 20000 + "deep") == "deep"
     assert html_text.extract("<p title='" * 3000) is not None
