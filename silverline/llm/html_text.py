@@ -4,6 +4,9 @@ Markup becomes a tree with implied end tags. Every node gets its characters per
 share of its characters and tags that belong to links. A parent's density sum adds up its children;
 the node with the largest sum holds the main text. The least density on the path from the body to it
 is the threshold that other parts of the page must reach. Parts chosen inside an <article> grow to it.
+
+Parts beside the main text count for nothing: elements such as <nav>, hidden ones, and those whose
+class or id names such a part, unless these wrap the main text.
 """
 
 from __future__ import annotations
@@ -67,14 +70,16 @@ class Tree:
         self.tag = ["#root"]
         self.parent = [-1]
         self.beside = [False]
+        self.named = [False]  # by class or id alone
         self.first = [0]  # of the node's events
         self.last = [0]
         self.events: list[tuple[int, str | None]] = []  # (node, text), or (node, None) for a block break
 
-    def open(self, tag: str, parent: int, beside: bool) -> int:
+    def open(self, tag: str, parent: int, beside: bool, named: bool = False) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.beside.append(beside)
+        self.named.append(named)
         self.first.append(len(self.events))
         self.last.append(len(self.events))
         return len(self.tag) - 1
@@ -121,24 +126,57 @@ def _pieces(page: str) -> Iterator[tuple[str, str, str]]:
             at = size if end is None else end.start()
 
 
-def _is_beside(tag: str, attributes: str, inside_article: bool) -> bool:
+def _is_beside(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element lies beside the main text, and whether its class or id says so."""
     if tag in ASIDE or (tag == "header" and not inside_article):
-        return True
+        return True, False
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    named = False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
             words = {w.lower() for w in _WORD.findall(value)}
-            if words & BESIDE or ("header" in words and not inside_article and tag != "h1"):
-                return True
+            named = named or bool(words & BESIDE) or ("header" in words and not inside_article and tag != "h1")
         elif name == "role" and value.lower() in ROLES:
-            return True
+            return True, named
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, named
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return True, named
+    return False, named
+
+
+def _apply_names(tree: Tree) -> None:
+    """Parts named beside the main text become it, save wrappers of the main text.
+
+    A wrapper holds a <main>, or an <article> with at least half the unlinked text of the longest; on
+    pages without either, more than half of the page's unlinked text.
+    """
+    if not any(tree.named):
+        return
+    n = len(tree.tag)
+    sizes, linked = [0] * n, [False] * n
+    for node in range(1, n):
+        linked[node] = linked[tree.parent[node]] or tree.tag[node] == "a"
+    for node, text in tree.events:
+        if text and not tree.beside[node] and not linked[node]:
+            sizes[node] += len("".join(text.split()))
+    for node in range(n - 1, 0, -1):
+        sizes[tree.parent[node]] += sizes[node]
+    seen = [k for k in range(1, n) if not tree.beside[k] and sizes[k]]
+    longest = max((sizes[k] for k in seen if tree.tag[k] == "article"), default=0)
+    kept = [k for k in seen if tree.tag[k] == "main" or (tree.tag[k] == "article" and 2 * sizes[k] >= longest)]
+    wraps = [False] * n
+    for node in kept:
+        up = tree.parent[node]
+        while up > 0 and not wraps[up]:
+            wraps[up] = True
+            up = tree.parent[up]
+    for node in range(1, n):
+        wrapper = wraps[node] if kept else 2 * sizes[node] > sizes[0]
+        if tree.beside[tree.parent[node]] or (tree.named[node] and not wrapper):
+            tree.beside[node] = True
 
 
 def parse(page: str) -> Tree:
@@ -188,15 +226,16 @@ def parse(page: str) -> Tree:
                 tree.events.append((stack[-1], None if name == "hr" else " " if name == "br" else ""))
                 node = tree.open(name, stack[-1], True)
                 continue
-            beside = tree.beside[stack[-1]] or _is_beside(name, attributes, articles > 0)
+            beside, named = _is_beside(name, attributes, articles > 0)
             if name in BLOCKS:
                 tree.events.append((stack[-1], None))
-            node = tree.open(name, stack[-1], beside)
+            node = tree.open(name, stack[-1], beside or tree.beside[stack[-1]], named)
             stack.append(node)
             open_tags[name] = open_tags.get(name, 0) + 1
             articles += name in ("article", "main")
     shut(1)
     tree.last[0] = len(tree.events)
+    _apply_names(tree)
     return tree
 
 

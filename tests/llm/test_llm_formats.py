@@ -166,6 +166,13 @@ def test_page_text(page, text):
     assert html_text.extract(page or "") == text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-banner", "with-comments", "social-news", "discussion"])
+@pytest.mark.parametrize("inner", [ARTICLE, f"<main>{ARTICLE}</main>", ARTICLE.replace("article", "div")])
+def test_page_text_in_a_wrapper_with_a_layout_name(name, inner):
+    beside = "<div class='comments'><article><p>so</p></article></div><div class='sidebar'><p>other</p></div>" if "article" in inner else ""
+    assert html_text.extract(f"<body><nav>n</nav><div class='{name}'><div>{inner}</div>{beside}</div><footer>f</footer>") == MAIN
+
+
 def test_page_text_of_several_articles_and_of_none():
     part = "".join(f"<p>{'several words of text ' * 6}{k}</p>" for k in range(3))
     want = "\n".join(f"{'several words of text ' * 6}{k}" for k in range(3))
