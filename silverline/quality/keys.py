@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most columns, and how far a count may be off to be a close match.
+# Most columns unless a largest size is named, and how far a count may be off to be a close match.
 MAX_COLUMNS = 12
 CLOSE = 5
 
@@ -32,20 +32,24 @@ def _distinct_counts(df: DataFrame, combos: list[tuple[str, ...]]) -> dict[tuple
     return {combo: found.get(i, 0) for i, combo in enumerate(combos)}
 
 
-def combination_counts(df: DataFrame, columns: Sequence[str] | None = None, batch: int = 64) -> DataFrame:
-    """Distinct count of every non-empty combination of columns (NULL counts as empty text).
+def combination_counts(df: DataFrame, columns: Sequence[str] | None = None, batch: int = 64, max_size: int | None = None) -> DataFrame:
+    """Distinct count of every non-empty combination of up to `max_size` columns (NULL counts as empty text).
+
+    All sizes unless `max_size` is given. Combinations double with every column, so tables of more than
+    12 columns must name it; any size up to the number of columns will do.
 
     Works upwards by size. A combination is counted on the data only when its count does not follow
     from smaller ones: one that contains a key has as many values as there are rows, and a column
     that the rest already determines adds nothing.
     """
     names = list(columns or df.columns)
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"{len(names)} columns give {2 ** len(names) - 1} combinations; pick at most {MAX_COLUMNS}")
+    if max_size is None and len(names) > MAX_COLUMNS:
+        raise ValueError(f"{len(names)} columns give {2 ** len(names) - 1} combinations; name the largest size with max_size")
+    largest = len(names) if max_size is None else min(max_size, len(names))
     total = df.count()
     counts: dict[tuple[str, ...], int] = {}
     how: dict[tuple[str, ...], str] = {}
-    for size in range(1, len(names) + 1):
+    for size in range(1, largest + 1):
         open_combos = []
         for combo in combinations(names, size):
             known = _implied(combo, counts, total)

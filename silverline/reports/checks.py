@@ -136,13 +136,37 @@ def closest_counts(spark: SparkSession, d: str) -> DataFrame:
     return flat(keys.closest(counts, target, 3), "source", "total_rows")
 
 
+def key_discovery_all_columns(spark: SparkSession, d: str) -> DataFrame:
+    """PRF-04: distinct counts of all combinations of all columns."""
+    return flat(keys.combination_counts(table(spark, d, "lineitem")), "source")
+
+
+def key_matches_all_columns(spark: SparkSession, d: str) -> DataFrame:
+    """PRF-04: combinations of all columns that identify a row, or nearly do."""
+    return flat(keys.matches(keys.combination_counts(table(spark, d, "customer"))), "source", "total_rows")
+
+
+def common_counts_all_columns(spark: SparkSession, d: str) -> DataFrame:
+    """PRF-05, SRT-04: distinct counts that many combinations of all columns share."""
+    return keys.common_counts(keys.combination_counts(table(spark, d, "orders")))
+
+
+def closest_counts_all_columns(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-04: combinations of all columns nearest to a target count."""
+    orders = table(spark, d, "orders")
+    target = orders.select("o_custkey").distinct().count()
+    return flat(keys.closest(keys.combination_counts(orders), target, 3), "source", "total_rows")
+
+
 QUERIES = {
     "null_rates": null_rates, "expectations": expectations, "severity": severity, "worst_severity": worst_severity,
     "failed_checks": failed_checks, "volume": volume, "freshness": freshness, "service_levels": service_levels,
     "key_duplicates": key_duplicates, "required_rows": required_rows, "content_consistency": content_consistency,
     "column_profile": column_profile, "column_stats": column_stats, "exact_types": exact_types, "domains": domains,
     "key_discovery": key_discovery, "key_matches": key_matches, "common_counts": common_counts,
-    "closest_counts": closest_counts,
+    "closest_counts": closest_counts, "key_discovery_all_columns": key_discovery_all_columns,
+    "key_matches_all_columns": key_matches_all_columns, "common_counts_all_columns": common_counts_all_columns,
+    "closest_counts_all_columns": closest_counts_all_columns,
 }
 
 
@@ -199,6 +223,16 @@ def _combos(table_name: str, columns: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _cube(table_name: str, columns: list[str]) -> str:
+    """Like `_combos`, in one pass over all combinations."""
+    listed, names = ", ".join(columns), ", ".join(f"'{c}'" for c in columns)
+    chosen = f"list_filter([{names}], lambda x, i: (m >> ({len(columns)} - i)) & 1 = 0)"
+    return f"""
+SELECT array_to_string({chosen}, ' + ') AS columns, len({chosen}) AS size, unique_count
+FROM (SELECT m, count(*) AS unique_count FROM (SELECT grouping({listed}) AS m FROM {table_name} GROUP BY CUBE ({listed})) GROUP BY m)
+WHERE m <> {2 ** len(columns) - 1}"""
+
+
 def _stats_sql(column: str) -> str:
     v = f'"{column}"'
     amount = f"TRY_CAST(translate({v}, '$,', '') AS DECIMAL(38,4))"
@@ -273,6 +307,9 @@ _PO_KINDS = {
     "Status": "status", "Sent Date": "date", "Total": "money",
 }
 _PART_KINDS = {"p_partkey": "int", "p_name": "text", "p_brand": "text", "p_type": "text", "p_size": "int", "p_retailprice": "double"}
+_LINEITEM = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+_CUSTOMER = "c_custkey c_name c_nationkey c_acctbal c_mktsegment".split()
+_ORDERS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
 _STRICT = ", ".join(f'"{c}"' for c in Q.STRICT_COLUMNS["bids"])
 _NULLS = " + ".join(f'(count(*) - count("{c}"))' for c in Q.STRICT_COLUMNS["bids"])
 SQL = {
@@ -330,4 +367,13 @@ GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 5""",
     "closest_counts": f"""
 SELECT columns, size, unique_count, unique_count - n AS diff
 FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders), ({_combos('orders', ['o_orderstatus', 'o_orderpriority', 'o_custkey'])}) ORDER BY abs(unique_count - n), columns LIMIT 3""",
+    "key_discovery_all_columns": f"SELECT *, (SELECT count(*) FROM lineitem) AS total_rows FROM ({_cube('lineitem', _LINEITEM)})",
+    "key_matches_all_columns": f"""
+SELECT columns, size, unique_count, unique_count - n AS diff, CASE WHEN unique_count = n THEN 'exact' ELSE 'close' END AS match
+FROM ({_cube('customer', _CUSTOMER)}), (SELECT count(*) AS n FROM customer) WHERE abs(unique_count - n) <= 5""",
+    "common_counts_all_columns": f"""
+SELECT unique_count, count(*) AS combinations FROM ({_cube('orders', _ORDERS)}) GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 5""",
+    "closest_counts_all_columns": f"""
+SELECT columns, size, unique_count, unique_count - n AS diff
+FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders), ({_cube('orders', _ORDERS)}) ORDER BY abs(unique_count - n), columns LIMIT 3""",
 }

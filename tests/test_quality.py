@@ -155,3 +155,11 @@ def test_matches_and_rankings(spark, wide):
     assert keys.closest(counts, 150, 1).first()["columns"] == "id"
     with pytest.raises(ValueError):
         keys.combination_counts(spark.createDataFrame([tuple(range(13))], [f"c{i}" for i in range(13)]))
+
+
+def test_a_largest_size_admits_any_number_of_columns(spark):
+    rows = [tuple((r * (c + 1)) % (c + 2) for c in range(13)) for r in range(40)]
+    wide = spark.createDataFrame(rows, [f"c{i}" for i in range(13)])
+    got = {r["columns"]: r["unique_count"] for r in keys.combination_counts(wide, max_size=2).collect()}
+    combos = [combo for size in (1, 2) for combo in combinations(range(13), size)]
+    assert got == {" + ".join(f"c{i}" for i in combo): len({tuple(row[i] for i in combo) for row in rows}) for combo in combos}
