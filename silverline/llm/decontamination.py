@@ -35,7 +35,7 @@ class Contamination:
 
     words: int = 5
     similarity: float = 0.8
-    radius: int = 20
+    radius: int = 27
     block_bytes: int = 8 << 20
 
 

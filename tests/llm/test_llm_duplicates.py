@@ -235,6 +235,14 @@ def test_decontamination(spark):
     assert decontamination.contaminated(documents(spark), benchmark.limit(0)).count() == 0
 
 
+def test_windows_at_the_limit_lie_within_the_radius():
+    """Bits of fingerprints at similarity 0.8 differ with a probability of 0.19 at most."""
+    import math
+
+    radius = decontamination.Contamination().radius
+    assert sum(math.comb(64, k) * 0.19**k * 0.81 ** (64 - k) for k in range(radius + 1, 65)) < 1e-5
+
+
 def test_block_index_returns_all_within_radius():
     import random
 
