@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, suffix_dedup, warc
+from silverline.llm import conversations, decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, suffix_dedup, warc
 from silverline.llm.common import table
 from silverline.session import scratch_path
 
@@ -87,6 +87,12 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).drop("stated_digest")
 
 
+def op11_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every conversation after planted damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(rows, conversations.damaged(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_benchmark_windows": op9_benchmark_windows,
     "op10_warc_chain": op10_warc_chain,
+    "op11_interval_repair": op11_interval_repair,
 }
 
 # Words and white space as the operators split them.

@@ -47,4 +47,4 @@ def test_quality_over_the_table(spark, con):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 12))
