@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -175,13 +176,16 @@ def _blocks(facts: DataFrame, extents: DataFrame, costs: Costs) -> DataFrame:
     def make():
         closure = insertions(costs)
 
-        def one(row: dict) -> dict:
-            turns = [(r["initial"], r["fault"]) for r in row["rows"]]
+        # Initials and faults are all that a chart depends on, and few sequences of them are common.
+        @lru_cache(maxsize=1 << 14)
+        def parse(turns: tuple) -> dict:
             pairs = [a + b for (a, _), (b, _) in zip(turns, turns[1:])]
-            return {
-                **{c: row[c] for c in ("conv_id", "lo", "last_block", "block")}, "cells": _packed(chart(turns, costs, closure)),
-                "head": turns[0][0], "tail": turns[-1][0], "illegal": sum(pair not in LEGAL for pair in pairs),
-            }
+            cells = _packed(chart(list(turns), costs, closure))
+            return {"cells": cells, "head": turns[0][0], "tail": turns[-1][0], "illegal": sum(pair not in LEGAL for pair in pairs)}
+
+        def one(row: dict) -> dict:
+            turns = tuple((r["initial"], r["fault"]) for r in row["rows"])
+            return {c: row[c] for c in ("conv_id", "lo", "last_block", "block")} | parse(turns)
 
         return lambda rows: [one(row) for row in rows]
 
