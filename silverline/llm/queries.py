@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import conversations, decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, suffix_dedup, warc
+from silverline.llm import bit_slices, conversations, decontamination, html_text, line_runs, packing, pii, quality, secrets, simhash, suffix_dedup, warc, whitening
 from silverline.llm.common import table
 from silverline.session import scratch_path
 
@@ -93,6 +93,16 @@ def op11_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(rows, conversations.damaged(rows))
 
 
+def op12_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every 50th vector with all others."""
+    return bit_slices.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on their 32 leading components, with unit variance."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -105,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_windows": op9_benchmark_windows,
     "op10_warc_chain": op10_warc_chain,
     "op11_interval_repair": op11_interval_repair,
+    "op12_bit_sliced_search": op12_bit_sliced_search,
+    "op13_whitening": op13_whitening,
 }
 
 # Words and white space as the operators split them.
@@ -190,4 +202,19 @@ select page_id, strlen(html)::bigint as payload_bytes,
 from payloads join largest using (html)
 """
 
-SQL: dict[str, str] = {"op4_trigram_secrets": OP4_SQL, "op5_line_runs": OP5_SQL, "op10_warc_chain": OP10_SQL}
+OP12_SQL = """
+with whole as (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda c: floor(256 * c::double)::bigint) as x
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or isnan(c) or isinf(c))) = 0
+), scored as (
+  select q.row as asked, q.vec_id as query_id, c.vec_id, c.row,
+    coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0)::bigint as score
+  from whole q join whole c on q.row <> c.row where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by asked order by score desc, vec_id nulls last, row)::integer as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+SQL: dict[str, str] = {"op4_trigram_secrets": OP4_SQL, "op5_line_runs": OP5_SQL, "op10_warc_chain": OP10_SQL, "op12_bit_sliced_search": OP12_SQL}

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     return connection
 
@@ -47,4 +47,4 @@ def test_quality_over_the_table(spark, con):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 12))
+    assert numbers == list(range(1, 14))
