@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from silverline.session import ensure_checkpointing, scratch_path
 
@@ -28,11 +29,40 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: like `cut`, but compressed and read by column."""
+def store(frame: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """A new table in the shared folder with these rows, and its path: like `cut`, but compressed and read by column.
+
+    The caller may remove the path once nothing reads the table any more.
+    """
     path = scratch_path(frame.sparkSession, name)
     frame.write.option("compression", "zstd").parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    return path, frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    return store(frame, name)[1]
+
+
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of the frame has."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def under_plain_names(docs: DataFrame, work: Callable[[DataFrame], DataFrame], known: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """work(docs), which keeps all columns, with every column it does not know under a plain name meanwhile.
+
+    So columns may have dots in their names, or names that the work uses itself.
+    """
+    plain = [c if c in known else f"carried_{k}" for k, c in enumerate(docs.columns)]
+    done = work(docs.toDF(*plain))
+    return done.select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)])
 
 
 def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -41,7 +71,7 @@ def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 
 def map_rows(
-    frame: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]]], schema: str, batch_bytes: int = BATCH_BYTES
+    frame: DataFrame, make: Callable[[], Callable[[list[dict]], list[dict]]], schema: str | StructType, batch_bytes: int = BATCH_BYTES
 ) -> DataFrame:
     """Rows from rows, in Python. `make` runs once a task and gives the function for a list of rows.
 
@@ -69,8 +99,7 @@ def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.Record
         yield batch.slice(start, step)
 
 
-def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def pa_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.common import cut
+from silverline.llm.common import cut, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -43,3 +43,29 @@ def components(links: DataFrame) -> DataFrame:
     if found is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return found.select("node", F.col("parent").alias("root"))
+
+
+def merged_once(links: DataFrame, steps: int = 2) -> DataFrame:
+    """(node, root) after a fixed number of contractions: roots of one component may differ, those of two never agree.
+
+    For callers that go on merging later: no rounds until nothing changes, so no more than two small
+    tables a step.
+    """
+    edges = links.filter("a <> b")
+    found = None
+    for _ in range(steps):
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+            edges.select(F.col("b").alias("node"), F.col("a").alias("other"))
+        )
+        parents = stored(ends.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("parent")), "parents")
+        over = parents.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
+        top = parents.select(F.col("node").alias("over"), F.col("parent").alias("root"))
+        jumped = stored(parents.join(over, "parent").join(top, "over").select("node", "root"), "jumped")
+        left, right = (jumped.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b"))
+        edges = edges.join(left, "a").join(right, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        if found is None:
+            found = jumped
+        else:
+            onward = jumped.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            found = found.join(onward, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return found

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.common import map_rows
+from silverline.llm.common import map_rows, under_plain_names
 
 _PAIRS = "doc_id long, item_id long, similarity double, first_word long, n_windows long"
 # Distinct words a task may keep the powers for: bytes of one batch of texts.
@@ -304,9 +304,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Contamination | Non
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Contamination | None = None) -> DataFrame:
-    """The documents that repeat no item, with all their columns."""
-    how = how or Contamination()
-    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in docs.schema)
+    """The documents that repeat no item, with all their columns, whatever their names."""
+    return under_plain_names(docs, lambda plain: _clean(plain, benchmark, how or Contamination()))
+
+
+def _clean(docs: DataFrame, benchmark: DataFrame, how: Contamination) -> DataFrame:
     for items in _blocks(benchmark, how):
 
         def make(items: list[tuple[int, str]] = items) -> Callable[[list[dict]], list[dict]]:
@@ -321,5 +323,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Contamination
 
             return work
 
-        docs = map_rows(docs, make, ddl)
+        docs = map_rows(docs, make, docs.schema)
     return docs

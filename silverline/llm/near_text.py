@@ -10,21 +10,28 @@ A large group would propose all its pairs. Instead every text proposes its few n
 partners, nearest first; these are verified, groups merge, and the next round goes on behind the last
 partner proposed, between different groups only, with more partners each time. A text is done when it
 has no partner left, so no candidate pair between different groups stays untried, and a group of n
-near copies costs in the order of n pairs.
+near copies costs in the order of n pairs. Merging between rounds only saves proposals, so it takes a
+fixed number of steps; the groups of the result come from all verified links at the end.
+
+Every round's tables are written to the shared folder and removed when the next round has its own, so
+plans stay short and the driver keeps no more of a corpus than names of files.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.common import cut, map_rows
-from silverline.llm.components import components
+from silverline.llm.common import fresh, map_rows, pa_schema, store
+from silverline.llm.components import components, merged_once
 from silverline.llm.simhash import shingles
+from silverline.session import remove_path
 
 _PLACE = 57  # bits of a text's number; the distance stands above them
 
@@ -91,18 +98,15 @@ def _first(owner: object, key: object, count: int) -> object:
     return order[np.arange(len(order)) - start < count]
 
 
-def propose(left: dict, right: dict, same: bool, partners: int, how: NearTexts) -> list[dict]:
-    """The nearest partners in one block for the active texts of the other, both ways, behind their last partner."""
-    import numpy as np
+def propose(left: tuple, right: tuple, same: bool, partners: int, how: NearTexts) -> tuple | None:
+    """(ids, partners, places): the nearest partners in one block for the active texts of the other, both ways, behind their last partner.
 
-    def arrays(block: dict) -> tuple:
-        return tuple(
-            np.array(block[name], dtype=kind)
-            for name, kind in (("id", np.int64), ("low", np.int64), ("high", np.int64), ("size", np.int64), ("root", np.int64), ("after", np.int64))
-        )
+    A block is its texts' columns, in the order of `_STATE`.
+    """
+    import numpy as np
 
-    ids_a, low_a, high_a, size_a, root_a, after_a = arrays(left)
-    ids_b, low_b, high_b, size_b, root_b, after_b = arrays(right)
+    ids_a, low_a, high_a, size_a, root_a, after_a = left
+    ids_b, low_b, high_b, size_b, root_b, after_b = right
     low_a, high_a, low_b, high_b = (x.view(np.uint64) for x in (low_a, high_a, low_b, high_b))
     found: list[tuple] = []
     # A large group makes nearly every pair of a strip a candidate, so strips are narrow.
@@ -127,18 +131,18 @@ def propose(left: dict, right: dict, same: bool, partners: int, how: NearTexts)
             best = _first(own, key, partners)
             found.append((own[best], other[best], key[best]))
     if not found:
-        return []
+        return None
     own, other, key = (np.concatenate(column) for column in zip(*found, strict=True))
     best = _first(own, key, partners)
-    return [{"id": a, "other": b, "key": k} for a, b, k in zip(own[best].tolist(), other[best].tolist(), key[best].tolist(), strict=True)]
+    return own[best], other[best], key[best]
 
 
 _STATE = ("id", "low", "high", "size", "root", "after")
 _DONE = (1 << 63) - 1
 
 
-def _proposals(nodes: DataFrame, partners: int, how: NearTexts) -> DataFrame:
-    """(id, partners): the nearest open partners of each active text, with their places in its order."""
+def _proposals(nodes: DataFrame, partners: int, how: NearTexts) -> tuple[str, DataFrame]:
+    """(id, partners), stored: the nearest open partners of each active text, with their places in its order."""
     grade = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / math.log(1 / how.similarity) + 1e-9).cast("int")
     count = F.bit_count("low") + F.bit_count("high")
     tiled = nodes.select(*_STATE, grade.alias("grade"), F.floor(count / how.band).cast("int").alias("band"))
@@ -148,7 +152,7 @@ def _proposals(nodes: DataFrame, partners: int, how: NearTexts) -> DataFrame:
         .groupBy("grade", "band", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
         .agg(F.collect_list(F.struct(*_STATE)).alias("texts"), F.min("after").alias("open"))
     )
-    blocks = cut(blocks)
+    path, blocks = store(blocks, "blocks")
     # Bands differ by two or three at most within the radius; of a step and its reverse only one is taken.
     reach = how.most // how.band + 1
     steps = [(g, b) for g in (0, 1) for b in range(-reach, reach + 1) if (g, b) >= (0, 0)]
@@ -165,18 +169,25 @@ def _proposals(nodes: DataFrame, partners: int, how: NearTexts) -> DataFrame:
         .select("left", "right", (F.col("home") & (F.col("left_block") == F.col("right_block"))).alias("same"))
     )
 
-    def make() -> Callable[[list[dict]], list[dict]]:
-        def columns(texts: list[dict]) -> dict:
-            return {name: [t[name] for t in texts] for name in _STATE}
+    out = pa_schema(nodes.sparkSession, "id long, other long, key long")
 
-        def work(rows: list[dict]) -> list[dict]:
-            return [p for row in rows for p in propose(columns(row["left"]), columns(row["right"]), row["same"], partners, how)]
+    def columns(texts: pa.ListScalar) -> tuple:
+        # Straight from Arrow: a block never becomes Python objects.
+        return tuple(column.to_numpy(zero_copy_only=False) for column in texts.values.flatten())
 
-        return work
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                made = propose(columns(row["left"][0]), columns(row["right"][0]), row["same"][0].as_py(), partners, how)
+                if made is not None and len(made[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(column) for column in made], schema=out)
 
-    found = map_rows(pairs, make, "id long, other long, key long", batch_bytes=1)
+    found = pairs.mapInArrow(run, "id long, other long, key long")
     ordered = F.array_sort(F.collect_list(F.struct("key", "other")))
-    return found.groupBy("id").agg(F.slice(ordered, 1, partners).alias("partners"))
+    proposed = store(found.groupBy("id").agg(F.slice(ordered, 1, partners).alias("partners")), "proposed")
+    remove_path(nodes.sparkSession, path)
+    return proposed
 
 
 def _sets(texts: DataFrame, how: NearTexts) -> DataFrame:
@@ -220,60 +231,72 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
     one group; NULL ids sort last; an empty table gives no rows.
     """
     how = how or NearTexts()
+    spark = docs.sparkSession
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5("text")))
     prints = map_rows(keyed, _prints(how), "key binary, doc_id long, low long, high long, size long")
     distinct = prints.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("low", "high", "size")])
-    texts = cut(distinct).withColumn("id", F.monotonically_increasing_id())
-    state = cut(texts.select("id", "low", "high", "size", F.col("id").alias("root"), F.lit(-1).cast("long").alias("after")))
-    sets = None
+    _, texts = store(distinct.withColumn("id", F.monotonically_increasing_id()), "texts")
+    state = texts.select("id", "low", "high", "size", F.col("id").alias("root"), F.lit(-1).cast("long").alias("after"))
+    old, sets, links = None, None, []
     # Families whose members resemble each other without being near propose in vain; each round
     # offers more partners, so rounds are the logarithm of the largest such family.
     partners = how.partners
     while True:
-        proposed = cut(_proposals(state, partners, how))
+        path, proposed = _proposals(state, partners, how)
         if proposed.isEmpty():
             break
         if sets is None:
-            # Partners are mutual: whoever takes part in any round proposes in the first.
-            needed = proposed.select("id").join(texts.select("id", "key"), "id")
-            chosen = keyed.join(needed, "key").select("id", "text")
-            sets = cut(_sets(chosen, how).dropDuplicates(["id"]))
+            # Partners are mutual: whoever takes part in any round proposes in the first. Of the copies
+            # of a text the one with the smallest id gives the set; rows repeated whole remain.
+            needed = proposed.select("id").join(texts.select("id", F.col("key").alias("k"), F.col("doc_id").alias("d")), "id")
+            chosen = keyed.join(needed, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("id", "text")
+            _, sets = store(_sets(chosen, how).dropDuplicates(["id"]), "sets")
         flat = proposed.select("id", F.explode("partners").alias("p")).select(
             F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b")
         )
-        links = cut(_verified(flat.distinct(), sets, how))
+        links.append(store(_verified(flat.distinct(), sets, how), "links")[1])
         roots = state.select("id", "root")
-        ends = links.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(
+        ends = links[-1].join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(
             roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b"
         )
-        merged = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        merged = merged_once(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         # A text that proposed fewer than it may is done; the others go on behind their last partner.
         full = F.size("partners") >= partners
         last = F.when(full, F.element_at("partners", -1)["key"]).otherwise(F.lit(_DONE))
-        state = cut(
+        newer, state = store(
             state.join(merged.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left")
             .join(proposed.select("id", last.alias("last")), "id", "left")
-            .select("id", "low", "high", "size", F.coalesce("over", "root").alias("root"), F.coalesce("last", F.lit(_DONE)).alias("after"))
+            .select("id", "low", "high", "size", F.coalesce("over", "root").alias("root"), F.coalesce("last", F.lit(_DONE)).alias("after")),
+            "state",
         )
+        for gone in (path, old):
+            if gone:
+                remove_path(spark, gone)
+        old = newer
         if state.filter(F.col("after") < _DONE).isEmpty():
             break
         partners *= 8
-    return texts.select("id", "key", "doc_id").join(state.select("id", F.col("root").alias("group")), "id").drop("id")
+    if not links:
+        return texts.select("key", "doc_id", F.col("id").alias("group"))
+    groups = components(reduce(DataFrame.unionByName, links))
+    return texts.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "doc_id", F.coalesce("root", "id").alias("group"))
 
 
 def keep_one_of_each(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns: the one with the smallest id.
 
-    Of repeated rows one stays. A group whose ids are all NULL keeps one row.
+    Of repeated rows one stays. A group whose ids are all NULL keeps one row. Other columns may have
+    any names.
     """
     from pyspark.sql.window import Window
 
-    groups = cut(near_groups(docs, how))
+    _, groups = store(near_groups(docs.select("doc_id", "text"), how), "groups")
     best = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("b"))
-    chosen = best.select(F.col("b.key").alias("__key"), F.col("b.doc_id").alias("__id"))
+    key, again, chosen_key, chosen_id = fresh(docs, "key", "again", "chosen_key", "chosen_id")
+    chosen = best.select(F.col("b.key").alias(chosen_key), F.col("b.doc_id").alias(chosen_id))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    kept = keyed.join(chosen, "__key").filter(F.col("doc_id").eqNullSafe(F.col("__id")))
-    # What is left of a key has one id: only repeated rows share it.
-    again = Window.partitionBy("__key").orderBy("doc_id")
-    return kept.withColumn("__again", F.row_number().over(again)).filter("__again = 1").select(*names)
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    # By text and id: of a text that a third of the rows share only the copies with its smallest id meet.
+    kept = keyed.join(chosen, (F.col(key) == F.col(chosen_key)) & F.col("doc_id").eqNullSafe(F.col(chosen_id)))
+    only = Window.partitionBy(key, "doc_id").orderBy(F.lit(0))
+    return kept.withColumn(again, F.row_number().over(only)).filter(F.col(again) == 1).select(*names)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from silverline.llm.common import SPACE, map_rows
+from silverline.llm.common import SPACE, map_rows, under_plain_names
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -132,10 +132,12 @@ def judge_quality(docs: DataFrame, rules: CompressionRules | None = None) -> Dat
 
 
 def keep_good(docs: DataFrame, rules: CompressionRules | None = None) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    names = docs.columns
-    out = docs.schema
-    found = _judge(rules or CompressionRules())
+    """The documents that the rules keep, with all their columns, whatever their names."""
+    return under_plain_names(docs, lambda plain: _kept(plain, rules or CompressionRules()))
+
+
+def _kept(docs: DataFrame, rules: CompressionRules) -> DataFrame:
+    found = _judge(rules)
 
     def make() -> Callable[[list[dict]], list[dict]]:
         judge = found()
@@ -145,5 +147,4 @@ def keep_good(docs: DataFrame, rules: CompressionRules | None = None) -> DataFra
 
         return work
 
-    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in out)
-    return map_rows(docs, make, ddl).select(*[f"`{name}`" for name in names])
+    return map_rows(docs, make, docs.schema)
