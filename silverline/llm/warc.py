@@ -4,7 +4,8 @@ A record is its version line, headers, an empty line, the payload and two line e
 an archive at every occurrence of the version line, wherever tasks happen to begin, so an occurrence
 inside a payload looks like a record too. Each occurrence therefore only proposes a link from its
 offset to the offset after the length it states; pointer jumping from the start of the file keeps
-the records that the chain reaches, and everything between them is payload.
+the records that the chain reaches, and everything between them is payload. Before that, runs of
+records that follow each other inside a split are contracted to one link each.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from silverline.llm.common import cut, stored
+from silverline.llm.common import store, stored
+from silverline.session import remove_path
 
 MAGIC = "WARC/1.1\r\n"
 _END = "\r\n\r\n"
@@ -131,7 +133,7 @@ def _parsed(segments: DataFrame) -> DataFrame:
     read = segments.select(
         "file", "block", "row", F.octet_length("value").cast("long").alias("bytes"), "value", F.inline(F.transform(F.array(head), _fields))
     )
-    claimed = F.when(F.col("body") <= F.col("bytes"), F.col("body") + F.col("size") + len(_END) + len(MAGIC))
+    claimed = F.when((F.col("body") <= F.col("bytes")) & (F.col("size") >= 0), F.col("body") + F.col("size") + len(_END) + len(MAGIC))
     whole = F.coalesce(claimed == F.col("bytes") + len(MAGIC), F.lit(False))
     payload = F.expr("substring(value, cast(body + 1 as int), cast(size as int))")
     return read.select(
@@ -144,43 +146,89 @@ def reachable(links: DataFrame) -> DataFrame:
     """(file, offset) that the chain of each file reaches from offset 0, by pointer jumping.
 
     `links` has (file, offset, next). Each round doubles the stretch that a pointer jumps, so a file
-    of n records takes log2(n) rounds; a round is two joins of numbers on (file, offset).
+    of n links takes log2(n) rounds; a round is two joins of numbers on (file, offset), and its tables
+    go when the next round has its own.
     """
-    jump = links
-    found = cut(links.filter("offset = 0").select("file", "offset"))
+    spark = links.sparkSession
+    jump, jumps = links, None
+    path, found = store(links.filter("offset = 0").select("file", "offset"), "reached")
     n = found.count()
     while True:
         step = found.join(jump, ["file", "offset"]).select("file", F.col("next").alias("offset"))
         # An end of file is no record: keep what is the offset of a link.
         step = step.join(links.select("file", "offset"), ["file", "offset"], "left_semi")
-        found = cut(found.unionByName(step).distinct())
-        more = found.count()
+        newer, found = store(found.unionByName(step).distinct(), "reached")
+        remove_path(spark, path)
+        path, more = newer, found.count()
         if more == n:
+            if jumps:
+                remove_path(spark, jumps)
             return found
         n = more
         onward = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("far"))
-        jump = cut(jump.join(onward, ["file", "next"]).select("file", "offset", F.col("far").alias("next")))
-
-
-def _assembled(spark: SparkSession, broken: DataFrame) -> DataFrame:
-    """Digests of payloads that hold version lines: their segments are read again and put together."""
-    files = [row["file"] for row in broken.select("file").distinct().toLocalIterator()]
-    if not files:
-        return broken.select("file", "offset", F.lit(None).cast("string").alias("put_together"))
-    again = _segments(spark, files).withColumn("bytes", F.octet_length("value").cast("long"))
-    placed = _with_offsets(again)
-    # The record a segment belongs to is the last reachable one at or before it.
-    marks = broken.select("file", "offset", "body", "size", "end", F.lit(None).cast("binary").alias("value"), F.lit(0).alias("part"))
-    parts = placed.select("file", "offset", F.lit(None).cast("long").alias("body"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("long").alias("end"), "value", F.lit(1).alias("part"))
-    last = Window.partitionBy("file").orderBy("offset", "part").rowsBetween(Window.unboundedPreceding, 0)
-    owner = F.last(F.when(F.col("part") == 0, F.struct(F.col("offset").alias("at"), "body", "size", "end")), ignorenulls=True).over(last)
-    owned = marks.unionByName(parts).withColumn("o", owner).filter((F.col("part") == 1) & (F.col("offset") < F.col("o.end")))
-    joined = owned.groupBy("file", F.col("o.at").alias("offset"), F.col("o.body").alias("body"), F.col("o.size").alias("size")).agg(
+        longer, jump = store(jump.join(onward, ["file", "next"]).select("file", "offset", F.col("far").alias("next")), "jumps")
+        if jumps:
+            remove_path(spark, jumps)
+        jumps = longer
+
+
+def runs(candidates: DataFrame) -> DataFrame:
+    """The candidates (file, block, offset, next, ...) with `head`, the offset of the first candidate of their run.
+
+    Inside a block a candidate whose record ends where the next candidate begins is one step from it;
+    candidates joined by steps are a run. A run is cut where any other link lands inside it, so whether
+    the chain reaches a run is the same for all of it, and the chain need only be followed from run to
+    run: about one a block, where no payload holds a version line.
+    """
+    along = Window.partitionBy("file", "block").orderBy("offset")
+    stepped = candidates.withColumn("step", F.coalesce(F.lead("offset").over(along) == F.col("next"), F.lit(False)))
+    landed = stepped.filter(~F.col("step")).select("file", F.col("next").alias("offset")).distinct().withColumn("landed", F.lit(True))
+    marked = stepped.join(landed, ["file", "offset"], "left")
+    begins = F.col("landed").isNotNull() | ~F.coalesce(F.lag("step").over(along), F.lit(False))
+    heads = marked.withColumn("begins", begins).withColumn("head", F.last(F.when(F.col("begins"), F.col("offset")), ignorenulls=True).over(along))
+    return heads.drop("step", "landed", "begins")
+
+
+def chained(candidates: DataFrame) -> DataFrame:
+    """The candidates (file, block, offset, next, ...) that the chain of their file reaches."""
+    cut_up = stored(runs(candidates), "runs")
+    links = stored(cut_up.groupBy("file", F.col("head").alias("offset")).agg(F.max("next").alias("next")), "links")
+    reached = reachable(links).withColumnRenamed("offset", "head")
+    return cut_up.join(reached, ["file", "head"], "left_semi").drop("head")
+
+
+def _owners(placed: DataFrame, records: DataFrame) -> DataFrame:
+    """(file, offset, owner): for each segment the record that it lies in, from offsets alone.
+
+    The owner is the last record at or before the segment: in the segment's own block, or the last of
+    the earlier blocks that have one.
+    """
+    along = Window.partitionBy("file", "block").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = placed.select("file", "block", "offset").join(records.select("file", "offset", F.col("offset").alias("record")), ["file", "offset"], "left")
+    own = marked.withColumn("own", F.last("record", ignorenulls=True).over(along))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = marked.groupBy("file", "block").agg(F.max("record").alias("last")).withColumn("carried", F.last("last", ignorenulls=True).over(before))
+    return own.join(last.drop("last"), ["file", "block"]).select("file", "offset", F.coalesce("own", "carried").alias("owner"))
+
+
+def _assembled(spark: SparkSession, path: str, placed: DataFrame, records: DataFrame) -> DataFrame:
+    """Digests of payloads that hold version lines: their segments are read again and put together.
+
+    Which segments these are follows from offsets; only they carry payload into a join, and only the
+    segments of one record meet.
+    """
+    broken = stored(records.filter(~F.col("whole")).select("file", F.col("offset").alias("owner"), "body", "size", F.col("next").alias("end")), "broken")
+    if broken.isEmpty():
+        return broken.select("file", F.col("owner").alias("offset"), F.lit(None).cast("string").alias("put_together"))
+    wanted = stored(_owners(placed, records).join(broken, ["file", "owner"]).filter(F.col("offset") < F.col("end")).drop("end"), "owners")
+    again = _segments(spark, path).join(broken.select("file").distinct(), "file", "left_semi")
+    values = _with_offsets(again.withColumn("bytes", F.octet_length("value").cast("long"))).select("file", "offset", "value")
+    joined = values.join(wanted, ["file", "offset"]).groupBy("file", "owner", "body", "size").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("offset", "value"))), lambda s: s["value"]).alias("values")
     )
     raw = F.expr(f"aggregate(values, cast(null as binary), (a, v) -> case when a is null then v else concat(a, cast('{_sql(MAGIC)}' as binary), v) end)")
     cutout = F.expr("substring(raw, cast(body + 1 as int), cast(size as int))")
-    return joined.withColumn("raw", raw).select("file", "offset", base32_sha1(cutout).alias("put_together"))
+    return joined.withColumn("raw", raw).select("file", F.col("owner").alias("offset"), base32_sha1(cutout).alias("put_together"))
 
 
 def _sql(text: str) -> str:
@@ -193,12 +241,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Archives are read in splits of any size. Bytes and digest of a response are those of the payload
     that was read; a revisit takes them from the response it refers to.
     """
-    parsed = cut(_parsed(_segments(spark, path)))
-    placed = cut(_with_offsets(parsed).withColumn("next", F.col("offset") + F.col("claimed")))
-    chain = reachable(placed.filter("claimed is not null").select("file", "offset", "next"))
-    records = cut(placed.join(chain, ["file", "offset"]))
-    broken = records.filter(~F.col("whole")).select("file", "offset", "body", "size", F.col("next").alias("end"))
-    records = records.join(_assembled(spark, broken), ["file", "offset"], "left").select(
+    parsed = stored(_parsed(_segments(spark, path)), "segments")
+    placed = stored(_with_offsets(parsed).withColumn("next", F.col("offset") + F.col("claimed")), "placed")
+    records = stored(chained(placed.filter("claimed is not null")), "records")
+    records = records.join(_assembled(spark, path, placed, records), ["file", "offset"], "left").select(
         "page_id", "record_type", "refers_to", "stated_digest", F.col("size").alias("bytes"), F.coalesce("digest", "put_together").alias("digest")
     )
     responses = records.filter("record_type = 'response'")
