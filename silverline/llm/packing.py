@@ -55,28 +55,33 @@ class _Ids(dict):
 
 
 def encoder(how: Packing) -> Callable[[str], bytes]:
-    """Text to ids, as the tokenizers file gives them, without special tokens.
+    """Text to ids, as the tokenizers file gives them with add_special_tokens=False.
 
     No token spans the place before a single space that follows a visible character, so a text is
     split there and segments met before are looked up. Segments are encoded by the same vocabulary
-    in rank form, which costs a tenth per call; tests hold both against each other. A text with
-    two spaces in a row is encoded whole, since a token may hold both.
+    in rank form, which costs a tenth per call; tests hold both against each other. Two kinds of texts
+    are encoded whole by the file itself: those with two spaces in a row, since a token may hold both,
+    and those that spell a token added to the vocabulary, which the file gives as that token.
     """
     import base64
+    import json
+    import re
 
     import tiktoken
 
     with open(how.ranks, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    with open(how.tokenizer, encoding="utf-8") as file:
+        added = [token["content"] for token in json.load(file).get("added_tokens", [])]
+    special = re.compile("|".join(map(re.escape, ["  ", *added])))
     plain = tiktoken.Encoding("bytes", pat_str=how.pattern, mergeable_ranks=ranks, special_tokens={})
     known = _Ids(plain.encode_ordinary)
 
     def encode(text: str) -> bytes:
-        if "  " in text:
+        if special.search(text):
             from tokenizers import Tokenizer
 
             whole = Tokenizer.from_file(how.tokenizer) if "whole" not in known.__dict__ else known.whole
-            whole.encode_special_tokens = True
             known.whole = whole
             ids = whole.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)

@@ -25,7 +25,6 @@ def whole_encoder(how):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(how.tokenizer)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -40,6 +39,15 @@ def test_split_encoding_equals_whole_encoding(text):
     assert ours(text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_added_tokens_are_tokens(spark, how):
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|", "a  b", "plain words"]
+    encode = whole_encoder(how)
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), how).collect()
+    want = [(k, 0, 0, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))) for k, ids in enumerate([*encode(t), 2] for t in texts)]
+    assert plain(rows) == plain(want)
+    assert len(encode(texts[1])) == 1
+
+
 @given(st.integers(1, 50), st.integers(1, 400))
 def test_cut_points(length, total):
     pieces = packing.cut_points(total, length)
@@ -129,6 +137,29 @@ def test_archives(spark):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_one_archive_of_many_records(spark):
+    """A file of 100,000 records, in one split and in many: the chain is followed from run to run, about one a split."""
+    from pyspark.sql import functions as F
+
+    pages = spark.range(100_000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("p"), (F.col("id") % 70_000).cast("string")).alias("html"))
+    path = scratch_path(spark, "archives")
+    warc.write_archives(pages.coalesce(1), path, max_records=1_000_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size, most in (("134217728", 2), ("1000000", 60)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            placed = warc._with_offsets(warc._parsed(warc._segments(spark, path)))
+            links = warc.runs(placed.withColumn("next", F.col("offset") + F.col("claimed")).filter("claimed is not null"))
+            assert links.select("file", "head").distinct().count() <= most
+            got = warc.read_archives(spark, path)
+            assert got.count() == 100_000 and got.filter("record_type = 'revisit'").count() == 30_000
+            assert got.filter("payload_bytes is null or payload_digest <> stated_digest").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_archives_of_no_pages(spark):
     path = scratch_path(spark, "archives")
     warc.write_archives(spark.createDataFrame([], PAGES), path)
@@ -211,7 +242,7 @@ def test_pipeline(spark):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
     kept = quality.keep_good(docs)
-    lines = line_runs.drop_repeated_lines(kept).select(*docs.columns)
+    lines = line_runs.with_length(line_runs.drop_repeated_lines(kept)).select(*docs.columns)
     near = near_text.keep_one_of_each(lines)
     clean = decontamination.drop_contaminated(near, spark.read.parquet(f"{sf}/benchmark.parquet"))
     want = {(r["doc_id"], r["text"]) for r in clean.collect()}
@@ -224,3 +255,15 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, docs.limit(0), sf).columns == docs.columns
 
+
+def test_stages_keep_clashing_and_dotted_columns(spark):
+    import corpus_pipeline
+
+    rows = [(*row, 7, 8, "dot", "k") for row in corpus()]
+    names = ["doc_id", "text", "lang", "key", "raw", "fp", "line", "removed", "rules", "row", "spans", "group"]
+    docs = spark.createDataFrame(rows, [*names, "n_removed", "n_chars", "a.b", "carried_2"])
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        assert {row["a.b"] for row in out.collect()} == {"dot"} and {row["n_removed"] for row in out.collect()} == {7}, name
