@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over documents, each stored and read again as the next one's input."""
+"""The corpus pipeline: stages over documents, each stored and read again as the next one's input.
+
+NULL texts count as empty, so the quality rules reject them; NULL ids stay. Rows repeated whole are one
+document from the near-duplicate stage on. Columns other than doc_id and text are carried along under
+any names, n_chars follows the text. An empty table passes every stage empty.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from silverline.llm import decontamination, line_runs, near_text, packing, quality
-from silverline.llm.common import table
+from silverline.llm.common import table, under_plain_names
 from silverline.session import scratch_path
 
 
@@ -18,8 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go; every document stays, n_chars follows its text."""
-    kept = line_runs.drop_repeated_lines(docs).drop("n_lines", "n_removed", "n_runs")
-    return line_runs.with_length(kept).select(*docs.columns)
+
+    def work(plain: DataFrame) -> DataFrame:
+        return line_runs.with_length(line_runs.drop_repeated_lines(plain)).select(*plain.columns)
+
+    return under_plain_names(docs, work, ("doc_id", "text", "n_chars"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
