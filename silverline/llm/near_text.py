@@ -10,8 +10,7 @@ A large group would propose all its pairs. Instead every text proposes its few n
 partners, nearest first; these are verified, groups merge, and the next round goes on behind the last
 partner proposed, between different groups only, with more partners each time. A text is done when it
 has no partner left, so no candidate pair between different groups stays untried, and a group of n
-near copies costs in the order of n pairs. Merging between rounds only saves proposals, so it takes a
-fixed number of steps; the groups of the result come from all verified links at the end.
+near copies costs in the order of n pairs.
 
 Every round's tables are written to the shared folder and removed when the next round has its own, so
 plans stay short and the driver keeps no more of a corpus than names of files.
@@ -22,14 +21,13 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.common import fresh, map_rows, pa_schema, store
-from silverline.llm.components import components, merged_once
+from silverline.llm.common import fresh, map_rows, pa_schema, store, stored
+from silverline.llm.components import components
 from silverline.llm.simhash import shingles
 from silverline.session import remove_path
 
@@ -137,6 +135,10 @@ def propose(left: tuple, right: tuple, same: bool, partners: int, how: NearTexts
     return own[best], other[best], key[best]
 
 
+def _kept(frame: DataFrame) -> DataFrame:
+    return stored(frame, "merging")
+
+
 _STATE = ("id", "low", "high", "size", "root", "after")
 _DONE = (1 << 63) - 1
 
@@ -237,7 +239,7 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
     distinct = prints.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("low", "high", "size")])
     _, texts = store(distinct.withColumn("id", F.monotonically_increasing_id()), "texts")
     state = texts.select("id", "low", "high", "size", F.col("id").alias("root"), F.lit(-1).cast("long").alias("after"))
-    old, sets, links = None, None, []
+    old, sets = None, None
     # Families whose members resemble each other without being near propose in vain; each round
     # offers more partners, so rounds are the logarithm of the largest such family.
     partners = how.partners
@@ -254,12 +256,12 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
         flat = proposed.select("id", F.explode("partners").alias("p")).select(
             F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b")
         )
-        links.append(store(_verified(flat.distinct(), sets, how), "links")[1])
+        links = stored(_verified(flat.distinct(), sets, how), "links")
         roots = state.select("id", "root")
-        ends = links[-1].join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(
+        ends = links.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(
             roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b"
         )
-        merged = merged_once(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        merged = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")), _kept)
         # A text that proposed fewer than it may is done; the others go on behind their last partner.
         full = F.size("partners") >= partners
         last = F.when(full, F.element_at("partners", -1)["key"]).otherwise(F.lit(_DONE))
@@ -276,10 +278,7 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
         if state.filter(F.col("after") < _DONE).isEmpty():
             break
         partners *= 8
-    if not links:
-        return texts.select("key", "doc_id", F.col("id").alias("group"))
-    groups = components(reduce(DataFrame.unionByName, links))
-    return texts.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "doc_id", F.coalesce("root", "id").alias("group"))
+    return texts.select("id", "key", "doc_id").join(state.select("id", F.col("root").alias("group")), "id").drop("id")
 
 
 def keep_one_of_each(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
