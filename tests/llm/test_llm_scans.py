@@ -1,6 +1,7 @@
 """Personal data, secrets and quality against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -140,3 +141,48 @@ def test_compression_bands(spark):
 @pytest.mark.parametrize("bands", [quality.CompressionRules().document, quality.CompressionRules().chunk])
 def test_bands_cover_all_sizes(bands):
     assert quality.band_for(bands, 0) == bands[0] and quality.band_for(bands, 1 << 40) == bands[-1]
+
+
+def natural(seed: int, size: int) -> bytes:
+    """Text of a language made up for the seed: words of syllables, common ones often, sentences, lines."""
+    rng = random.Random(seed)
+    parts = ["an", "be", "co", "der", "ei", "fu", "gra", "hin", "ion", "ja", "ket", "lo", "mus", "ne", "or", "pri", "que", "ro", "sta", "ti"]
+    lexicon = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(900)]
+    out, length = [], 0
+    while length < size:
+        sentence = " ".join(lexicon[min(899, int(rng.expovariate(1 / 150)))] for _ in range(rng.randint(5, 14))).capitalize() + rng.choice([". ", "? ", ".\n"])
+        out.append(sentence)
+        length += len(sentence)
+    return "".join(out).encode()[:size]
+
+
+@pytest.mark.parametrize("size", [400, 900, 1800, 3600, 7000, 15_000, 40_000])
+def test_bands_decide_by_length(spark, size):
+    """At every length class repeated and encoded texts go by the bands alone, and prose stays."""
+    texts = [natural(k, size) for k in range(6)]
+    rows = [(k, t.decode()) for k, t in enumerate(texts)]
+    for at, make in ((100, quality.repeated_text), (200, quality.encoded_text)):
+        rows += [(at + k, make(t).decode()) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r["kept"] for r in quality.judge_quality(spark.createDataFrame(rows, "doc_id long, text string"), quality.CompressionRules(min_words=0, max_repeat_percent=100)).collect()}
+    assert got == {k: k < 100 for k, _ in rows}
+
+
+def test_fitted_bands_lie_between_prose_and_the_rest():
+    bands = quality.fit_bands([natural(k, 30_000) for k in range(8)])
+    assert [band.size for band in bands] == list(quality.CLASSES)
+    for band, over in zip(bands[1:], [*quality.CLASSES[2:], 60_000]):
+        assert band.low < 0.45 < band.high
+        text = natural(99, min(30_000, over - 1))
+        import zstandard
+
+        def ratio(raw: bytes) -> float:
+            return len(zstandard.ZstdCompressor(level=3).compress(raw)) / len(raw)
+
+        assert ratio(quality.repeated_text(text)) < band.low < ratio(text) < band.high < ratio(quality.encoded_text(text))
+    assert quality.fit_bands([])[-1] == quality.Band(quality.CLASSES[-1], 0.0, 1e9)
+
+
+def test_a_short_last_chunk_rejects_nothing(spark):
+    text = natural(3, 4097).decode()
+    row = quality.judge_quality(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["n_chunks"] == 2 and row["n_high_chunks"] == 0 and row["kept"]
