@@ -202,6 +202,85 @@ select page_id, strlen(html)::bigint as payload_bytes,
 from payloads join largest using (html)
 """
 
+_FAR = "{'c': 1000000000000, 'a': '~'}"
+
+
+def _least(*candidates: str) -> str:
+    return f"list_min([{', '.join(candidates)}])"
+
+
+def _after(state: int, cost: str, letters: str, of: str = "s") -> str:
+    return f"{{'c': {of}[{state + 1}].c + {cost}, 'a': {of}[{state + 1}].a || '{letters}'}}"
+
+
+def _if(condition: str, pair: str) -> str:
+    return f"case when {condition} then {pair} else {_FAR} end"
+
+
+# The states of the grammar, one row after another; s: least (cost, audit) by state, r[1]: fault and role initial of a row.
+_GOOD, _EXTRA = "r[1].c not in (1, 2)", "case when r[1].c = 3 then 3 else 0 end"
+_MOVED = [
+    _after(0, "4", "D"),
+    _least(_after(1, "4", "D"), _if(f"{_GOOD} and r[1].a = 's'", _after(0, _EXTRA, "K"))),
+    _least(_after(2, "4", "D"), *[_if(f"{_GOOD} and r[1].a = 'u'", _after(q, _EXTRA, "K")) for q in (0, 1, 3)], *[_if(_GOOD, _after(q, f"3 + {_EXTRA}", "R")) for q in (0, 1, 3)]),
+    _least(_after(3, "4", "D"), _if(f"{_GOOD} and r[1].a = 'a'", _after(2, _EXTRA, "K")), _if(_GOOD, _after(2, f"3 + {_EXTRA}", "R"))),
+]
+_CLOSED = [
+    "m[1]", "m[2]", _least("m[3]", *[_after(q, "3", "I", "m") for q in (0, 1, 3)]),
+    _least("m[4]", _after(2, "3", "I", "m"), _after(0, "6", "II", "m"), _after(1, "6", "II", "m")),
+]
+_STEP = f"list_transform([[{', '.join(_MOVED)}]], lambda m: [{', '.join(_CLOSED)}])[1]"
+
+OP11_SQL = rf"""
+with crc as (
+  select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as t
+), dealt as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ord(x)::bigint),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as f
+  from conversations, crc
+), rows as (
+  select conv_id, turn, case when f = 4 then 'user' else role end as role,
+    case f when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(case when f = 3 then [1, 2] else [1] end) as copy
+  from dealt where f <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos from rows
+), judged as (
+  select *, left(role, 1) as initial, left(lag(role) over (partition by conv_id order by pos), 1) as before,
+    case when not regexp_matches(text, '[^ 	-
+]') then 1
+         when row_number() over (partition by conv_id, role, text order by pos) > 1 then 2
+         when regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) not in ('.', '!', '?') then 3 else 0 end as fault
+  from placed
+), measured as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 1) as blank,
+    count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal,
+    list_reduce(list([{{'c': fault::bigint, 'a': initial}}] order by pos), lambda s, r: {_STEP},
+      [{{'c': 0::bigint, 'a': ''}}, {_FAR}, {{'c': 3, 'a': 'I'}}, {{'c': 6, 'a': 'II'}}]) as s
+  from judged group by conv_id
+), parsed as (
+  select *, list_min([s[1], s[4]]).c as cost, list_min([s[1], s[4]]).a as audit from measured
+), letters as (
+  select conv_id, audit, unnest(string_split(audit, '')) as letter, generate_subscripts(string_split(audit, ''), 1) as nth from parsed where audit <> ''
+), turns as (
+  select *, count(*) filter (letter <> 'I') over up_to as pos, count(*) filter (letter <> 'D') over up_to as number, length(replace(audit, 'D', '')) as total
+  from letters window up_to as (partition by conv_id order by nth)
+), written as (
+  select t.conv_id, string_agg(case letter when 'K' then j.role when 'I' then new else new end || ':' || case letter when 'I' then '' else j.text end, chr(10) order by nth) as body
+  from (select *, case when (number - total % 2) % 2 = 1 then 'user' else 'assistant' end as new from turns) t
+  left join judged j on j.conv_id is not distinct from t.conv_id and j.pos = t.pos and letter <> 'I'
+  where letter <> 'D' group by t.conv_id
+)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+  sha256(coalesce(body, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join parsed p on p.conv_id is not distinct from c.conv_id left join written w on w.conv_id is not distinct from c.conv_id
+"""
+
 OP12_SQL = """
 with whole as (
   select row_number() over () as row, vec_id, list_transform(embedding, lambda c: floor(256 * c::double)::bigint) as x
@@ -217,4 +296,4 @@ with whole as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
-SQL: dict[str, str] = {"op4_trigram_secrets": OP4_SQL, "op5_line_runs": OP5_SQL, "op10_warc_chain": OP10_SQL, "op12_bit_sliced_search": OP12_SQL}
+SQL: dict[str, str] = {"op4_trigram_secrets": OP4_SQL, "op5_line_runs": OP5_SQL, "op10_warc_chain": OP10_SQL, "op11_interval_repair": OP11_SQL, "op12_bit_sliced_search": OP12_SQL}
