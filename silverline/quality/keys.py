@@ -1,84 +1,281 @@
-"""Key discovery: distinct counts over column combinations."""
+"""Key discovery: distinct counts over column combinations.
+
+Every column is hashed once to two 64-bit words; a combination's words are the exclusive-or of its
+columns' words, so looking at one more combination costs two operations a row. Counts are then exact
+up to collisions of 128 bits.
+
+The lattice of combinations is walked upwards by size, and most of it is never counted on the rows:
+
+- what follows from smaller combinations is not counted: one that contains a key has as many values as
+  there are rows, and a column that the rest determines adds nothing;
+- a combination that nearly identifies rows leaves few of them unsettled. Rows that are alone in their
+  class stay alone in every larger combination, so those are counted on the unsettled rows only;
+- a search for counts near a target first takes HyperLogLog sketches, merged in every task before
+  anything moves. Counts only grow with columns, so a combination whose sketch lies above the target
+  rules out all that contain it; exact counts are taken of what the bounds leave over.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Most columns unless a largest size is named, and how far a count may be off to be a close match.
-MAX_COLUMNS = 12
+from silverline.session import scratch_path
+
+# Fixed value: how far a count may be off to be a close match.
 CLOSE = 5
 
+# Combinations hashed by one projection; more are hashed side by side.
+BATCH = 48
+# A combination is sharp if at most this share of the rows can be unsettled under it.
+UNSETTLED_SHARE = 0.25
+# Sketch size (log2 of registers) and the deviations of its error that bounds allow for.
+SKETCH, DEVIATIONS = 12, 5.0
 
-def _distinct_counts(df: DataFrame, combos: list[tuple[str, ...]]) -> dict[tuple[str, ...], int]:
-    """Exact distinct counts of several combinations in one job.
+Combo = tuple[str, ...]
 
-    Every row sends one 128-bit hash per combination, and repeats are dropped before the shuffle.
-    """
 
-    def hashes(i: int, combo: tuple[str, ...]):
-        values = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in combo]
-        return F.struct(
-            F.lit(i).alias("combo"), F.xxhash64(*values).alias("h1"), F.xxhash64(F.lit("second"), *values).alias("h2")
-        )
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class _Hashed:
+    """The rows as two words a column, stored once, with a number each."""
+
+    def __init__(self, df: DataFrame, names: Sequence[str]) -> None:
+        self.names = list(names)
+        self.place = {name: k for k, name in enumerate(self.names)}
+        values = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in self.names]
+        # The column's number goes into the hash: equal values of two columns must not cancel out.
+        words = [F.xxhash64(F.lit(2 * k + w), value).alias(f"{'ab'[w]}{k}") for k, value in enumerate(values) for w in (0, 1)]
+        numbered = df.select(F.monotonically_increasing_id().alias("row"), *words)
+        # A row is looked at hundreds of times from here on, so rows are dealt over all cores once.
+        self.rows = _stored(numbered.repartition(df.sparkSession.sparkContext.defaultParallelism), "hashed")
+        self.total = self.rows.count()
+
+    def bits(self, combo: Combo) -> int:
+        return sum(1 << self.place[name] for name in combo)
+
+    def structs(self, combos: Sequence[tuple[int, Combo]]) -> str:
+        """SQL for an array of (number, h1, h2) of numbered combinations; as text it is built and parsed in one call."""
+
+        def word(letter: str, combo: Combo) -> str:
+            return " ^ ".join(f"{letter}{self.place[name]}" for name in combo)
 
-    exploded = df.select(F.inline(F.array(*[hashes(i, combo) for i, combo in enumerate(combos)])))
-    counted = exploded.distinct().groupBy("combo").agg(F.count("*").alias("n"))
+        return f"array({', '.join(f"named_struct('number', {i}, 'h1', {word('a', combo)}, 'h2', {word('b', combo)})" for i, combo in combos)})"
+
+    def cells(self, rows: DataFrame, combos: Sequence[tuple[int, Combo]], *carried: str) -> DataFrame:
+        """(number, h1, h2, carried) for every row and numbered combination."""
+        starts = range(0, len(combos), BATCH)
+        return reduce(DataFrame.unionByName, [rows.selectExpr(*carried, f"inline({self.structs(combos[at : at + BATCH])})") for at in starts])
+
+
+def _distinct(cells: Iterable[DataFrame]) -> dict[int, int]:
+    """Distinct words of each combination, in one job; repeats are dropped before the shuffle."""
+    every = reduce(DataFrame.unionByName, cells)
+    counted = every.distinct().groupBy("number").agg(F.count("*").alias("n"))
     # One number per combination.
-    found = {row["combo"]: row["n"] for row in counted.collect()}
-    return {combo: found.get(i, 0) for i, combo in enumerate(combos)}
+    return {row["number"]: row["n"] for row in counted.collect()}
 
 
-def combination_counts(df: DataFrame, columns: Sequence[str] | None = None, batch: int = 64, max_size: int | None = None) -> DataFrame:
-    """Distinct count of every non-empty combination of up to `max_size` columns (NULL counts as empty text).
+class _Known:
+    """What is known about the lattice: counts, keys, and columns that others determine, as sets of bits."""
+
+    def __init__(self, hashed: _Hashed) -> None:
+        self.hashed = hashed
+        self.counts: dict[int, int] = {}
+        self.keys: list[int] = []
+        self.determined: dict[int, list[int]] = {}
+
+    def add(self, combo: int, n: int) -> None:
+        self.counts[combo] = n
+        if n == self.hashed.total and not any(key & combo == key for key in self.keys):
+            self.keys.append(combo)
+        for k in range(len(self.hashed.names)):
+            column = 1 << k
+            rest = combo & ~column
+            if combo & column and rest and self.counts.get(rest) == n:
+                found = self.determined.setdefault(column, [])
+                if not any(part & rest == part for part in found):
+                    found.append(rest)
+
+    def implied(self, combo: int) -> int | None:
+        """The count, if it follows from smaller combinations."""
+        if any(key & combo == key for key in self.keys):
+            return self.hashed.total
+        for column, parts in self.determined.items():
+            rest = combo & ~column
+            if combo & column and rest in self.counts and any(part & rest == part for part in parts):
+                return self.counts[rest]
+        return None
+
+
+class _Unsettled:
+    """The rows that share their class, for the sharp combinations that larger ones need."""
+
+    def __init__(self, hashed: _Hashed) -> None:
+        self.hashed = hashed
+        self.tables: list[DataFrame] = []
+        # By sharp combination: its table, its number there, its rows.
+        self.places: dict[int, tuple[int, int, int]] = {}
 
-    All sizes unless `max_size` is given. Combinations double with every column, so tables of more than
-    12 columns must name it; any size up to the number of columns will do.
+    def source(self, combo: int) -> int:
+        """The sharp combination with the fewest unsettled rows inside this one, 0 if there is none."""
+        inside = [(size, sharp) for sharp, (_, _, size) in self.places.items() if sharp & combo == sharp]
+        return min(inside)[1] if inside else 0
 
-    Works upwards by size. A combination is counted on the data only when its count does not follow
-    from smaller ones: one that contains a key has as many values as there are rows, and a column
-    that the rest already determines adds nothing.
+    def add(self, sharp: Sequence[tuple[int, Combo]]) -> None:
+        """Store the unsettled rows of combinations none of which contains an earlier one."""
+        if not sharp:
+            return
+        numbered = [(i, combo) for i, (_, combo) in enumerate(sharp)]
+        cells = self.hashed.cells(self.hashed.rows, numbered, "row")
+        # A class of a sharp combination is small: most of its rows are alone.
+        along = Window.partitionBy("number", "h1", "h2").orderBy("row")
+        shared = cells.withColumn("before", F.lag("row").over(along)).withColumn("after", F.lead("row").over(along))
+        rows = shared.where("before is not null or after is not null").select(F.col("number").alias("sharp"), "row")
+        self.tables.append(_stored(rows.join(self.hashed.rows, "row"), "unsettled"))
+        sizes = {row["sharp"]: row["n"] for row in self.tables[-1].groupBy("sharp").agg(F.count("*").alias("n")).collect()}
+        for i, (bits, _) in enumerate(sharp):
+            self.places[bits] = (len(self.tables) - 1, i, sizes.get(i, 0))
+
+    def cells(self, table: int, combos: dict[int, list[tuple[int, Combo]]]) -> DataFrame:
+        """(number, h1, h2) of the rows of each sharp combination and the combinations counted on them, in one pass."""
+        cases = " ".join(f"when {number} then {self.hashed.structs(of)}" for number, of in combos.items())
+        return self.tables[table].where(F.col("sharp").isin(*combos)).selectExpr(f"inline(case sharp {cases} end)")
+
+
+def _exact(hashed: _Hashed, unsettled: _Unsettled, combos: Sequence[Combo]) -> dict[Combo, int]:
+    """Distinct counts of several combinations in one job, each on as few rows as known."""
+    if not combos:
+        return {}
+    whole, settled = [], {}
+    parts: dict[int, dict[int, list[tuple[int, Combo]]]] = {}
+    for i, combo in enumerate(combos):
+        sharp = unsettled.source(hashed.bits(combo))
+        if not sharp:
+            settled[i] = 0
+            whole.append((i, combo))
+            continue
+        table, number, size = unsettled.places[sharp]
+        settled[i] = hashed.total - size
+        if size:
+            parts.setdefault(table, {}).setdefault(number, []).append((i, combo))
+    cells = [hashed.cells(hashed.rows, whole)] if whole else []
+    cells += [unsettled.cells(table, of) for table, of in parts.items()]
+    found = _distinct(cells) if cells else {}
+    return {combo: settled[i] + found.get(i, 0) for i, combo in enumerate(combos)}
+
+
+def _sharp(hashed: _Hashed, known: _Known, unsettled: _Unsettled, measured: dict[Combo, int], size: int) -> list[tuple[int, Combo]]:
+    """Of the combinations just measured, those whose unsettled rows open combinations of the next size are counted on.
+
+    n classes of N rows leave at most 2 (N - n) rows that share theirs.
+    """
+    sharp = {
+        hashed.bits(combo): (hashed.total - n, combo)
+        for combo, n in measured.items()
+        if 2 * (hashed.total - n) <= UNSETTLED_SHARE * hashed.total and n < hashed.total and not unsettled.source(hashed.bits(combo))
+    }
+    wanted = set()
+    for combo in combinations(hashed.names, size) if sharp else ():
+        bits = hashed.bits(combo)
+        inside = [(extra, part) for part, (extra, _) in sharp.items() if part & bits == part]
+        if inside and known.implied(bits) is None and not unsettled.source(bits):
+            wanted.add(min(inside)[1])
+    return [(bits, sharp[bits][1]) for bits in sorted(wanted)]
+
+
+def combination_counts(df: DataFrame, columns: Sequence[str] | None = None, max_size: int | None = None) -> DataFrame:
+    """Distinct count of every non-empty combination of up to `max_size` columns (NULL counts as empty text).
+
+    All sizes unless `max_size` is given; combinations double with every column, so wide tables want it.
+    `source` says whether a count was taken from the data or follows from smaller combinations.
     """
     names = list(columns or df.columns)
-    if max_size is None and len(names) > MAX_COLUMNS:
-        raise ValueError(f"{len(names)} columns give {2 ** len(names) - 1} combinations; name the largest size with max_size")
-    largest = len(names) if max_size is None else min(max_size, len(names))
-    total = df.count()
-    counts: dict[tuple[str, ...], int] = {}
-    how: dict[tuple[str, ...], str] = {}
-    for size in range(1, largest + 1):
-        open_combos = []
+    hashed = _Hashed(df, names)
+    known, unsettled = _Known(hashed), _Unsettled(hashed)
+    out = []
+    for size in range(1, min(max_size or len(names), len(names)) + 1):
+        counted = []
         for combo in combinations(names, size):
-            known = _implied(combo, counts, total)
-            if known is None:
-                open_combos.append(combo)
+            n = known.implied(hashed.bits(combo))
+            if n is None:
+                counted.append(combo)
             else:
-                counts[combo], how[combo] = known, "implied"
-        for start in range(0, len(open_combos), batch):
-            measured = _distinct_counts(df, open_combos[start : start + batch])
-            counts.update(measured)
-            how.update(dict.fromkeys(measured, "counted"))
-    rows = [(" + ".join(combo), len(combo), n, how[combo], total) for combo, n in counts.items()]
+                known.add(hashed.bits(combo), n)
+                out.append((combo, n, "implied"))
+        measured = _exact(hashed, unsettled, counted)
+        for combo, n in measured.items():
+            known.add(hashed.bits(combo), n)
+            out.append((combo, n, "counted"))
+        unsettled.add(_sharp(hashed, known, unsettled, measured, size + 1))
+    rows = [(" + ".join(combo), len(combo), n, how, hashed.total) for combo, n, how in out]
     schema = "columns string, size int, unique_count bigint, source string, total_rows bigint"
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _implied(combo: tuple[str, ...], counts: dict[tuple[str, ...], int], total: int) -> int | None:
-    if len(combo) == 1:
-        return None
-    for extra in combo:
-        rest = tuple(name for name in combo if name != extra)
-        if counts[rest] == total:
-            return total
-        for size in range(1, len(rest)):
-            for part in combinations(rest, size):
-                with_extra = tuple(name for name in combo if name in part or name == extra)
-                if counts[with_extra] == counts[part]:
-                    return counts[rest]
-    return None
+def sketched_counts(hashed: _Hashed, combos: Sequence[Combo]) -> dict[Combo, tuple[float, float]]:
+    """Bounds of the distinct counts of several combinations, from one sketch each.
+
+    A task sends one sketch per combination, however many rows it has.
+    """
+    if not combos:
+        return {}
+    cells = hashed.cells(hashed.rows, list(enumerate(combos)))
+    sketches = cells.groupBy("number").agg(F.hll_sketch_estimate(F.hll_sketch_agg("h1", F.lit(SKETCH))).alias("n"))
+    found = {row["number"]: row["n"] for row in sketches.collect()}
+    off = DEVIATIONS * 1.04 / (1 << SKETCH) ** 0.5
+    return {combo: (found.get(i, 0) * (1 - off) - 1, found.get(i, 0) * (1 + off) + 1) for i, combo in enumerate(combos)}
+
+
+def near_counts(df: DataFrame, target: int | None = None, close: int = CLOSE, columns: Sequence[str] | None = None, max_size: int | None = None) -> DataFrame:
+    """The combinations whose distinct count is within `close` of the target (the row count unless given).
+
+    The same rows as `matches(combination_counts(df), target, close)`. Level by level, sketches bound the
+    counts of the combinations that no smaller one has ruled out; only those whose bounds reach the
+    target are counted exactly.
+    """
+    names = list(columns or df.columns)
+    hashed = _Hashed(df, names)
+    goal = hashed.total if target is None else target
+    known, unsettled = _Known(hashed), _Unsettled(hashed)
+    beyond: list[int] = []
+    out = []
+    for size in range(1, min(max_size or len(names), len(names)) + 1):
+        maybe = []
+        for combo in combinations(names, size):
+            bits = hashed.bits(combo)
+            if any(over & bits == over for over in beyond):
+                continue
+            n = known.implied(bits)
+            if n is None:
+                maybe.append(combo)
+            else:
+                known.add(bits, n)
+                out.append((combo, n))
+        exact = []
+        for combo, (low, high) in sketched_counts(hashed, maybe).items():
+            if low > goal + close:
+                beyond.append(hashed.bits(combo))
+            elif high >= goal - close:
+                exact.append(combo)
+        measured = _exact(hashed, unsettled, exact)
+        for combo, n in measured.items():
+            known.add(hashed.bits(combo), n)
+            out.append((combo, n))
+            if n > goal + close:
+                beyond.append(hashed.bits(combo))
+        unsettled.add(_sharp(hashed, known, unsettled, measured, size + 1))
+    rows = [(" + ".join(combo), len(combo), n, hashed.total) for combo, n in out]
+    schema = "columns string, size int, unique_count bigint, total_rows bigint"
+    return matches(df.sparkSession.createDataFrame(rows, schema), target, close)
 
 
 def matches(counts: DataFrame, target: int | None = None, close: int = CLOSE) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverline.operators import keyed
 from silverline.quality import expectations as Q
 from silverline.quality import keys, profiling
 from silverline.reports import shapes as S
@@ -50,6 +51,38 @@ def failed_checks(spark: SparkSession, d: str) -> DataFrame:
     return flat(Q.failed_checks(_results(spark, d)).withColumn("threshold_percent", F.round("threshold_percent", 6)))
 
 
+def allowed_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-03, DQ-04, AGG-08: uniqueness of consolidated orders that may repeat as often as the allowances say."""
+    orders = S.purchase_orders(spark, d).where("trim(`PO #`) <> ''")
+    repeated = orders.groupBy("PO #").agg(F.count("*").alias("n")).where("n > 1")
+    # Orders whose number ends with an even digit may repeat twice at most, the others not at all.
+    allowances = repeated.where("`PO #` rlike '[02468]$'").select("PO #", F.lit(2).alias("Duplicate Count"))
+    kept = keyed.keep_last_n(orders, ["PO #"], ["source_row", "source_file_hash", "row_hash"], allowances, "Duplicate Count")
+    suite = Q.suite_for("purchase_orders")
+    out = None
+    for given, rows in (("all", orders), ("consolidated", kept)):
+        results = Q.expectations(Q.measure(rows, suite, allowances), suite).where(F.col("expectation_type").isin(Q.KEY_UNIQUE, Q.ROW_HASH_UNIQUE))
+        part = results.select(F.lit(given).alias("given"), "expectation_type", "observed_value", "element_count", "unexpected_count", "unexpected_percent", "success")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def validation_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-11: what manifests record of the validation of four datasets."""
+    out = None
+    for name in DATASETS:
+        suite = Q.suite_for(name)
+        stats = Q.measure(getattr(S, name)(spark, d), suite)
+        part = Q.validation_outcome(Q.expectations(stats, suite), stats, suite, S.NOW)
+        out = part if out is None else out.unionByName(part)
+    return out.select(
+        "dataset", "status", "passed", "has_warnings", "evaluated_expectations", "successful_expectations",
+        F.concat_ws("~", F.transform("failures", lambda x: x["type"])).alias("failures"),
+        F.concat_ws("~", F.transform("warnings", lambda x: F.concat_ws(":", x["type"], F.get_json_object(x["kwargs"], "$.column")))).alias("warnings"),
+        F.col("volume.row_count").alias("row_count"), F.col("volume.unique_rows").alias("unique_rows"), F.col("freshness.ingestion_days").alias("ingestion_days"),
+    )
+
+
 def volume(spark: SparkSession, d: str) -> DataFrame:
     """AGG-01, AGG-03, AGG-06: rows, distinct rows, bytes."""
     return flat(Q.volume_metrics(Q.measure(S.purchase_orders(spark, d), Q.suite_for("purchase_orders"))))
@@ -111,62 +144,49 @@ def domains(spark: SparkSession, d: str) -> DataFrame:
 
 
 def key_discovery(spark: SparkSession, d: str) -> DataFrame:
-    """PRF-04: distinct counts of all combinations of four columns."""
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
-    return flat(keys.combination_counts(rows), "source")
+    """PRF-04: distinct counts of all combinations of all columns."""
+    return flat(keys.combination_counts(table(spark, d, "lineitem")), "source")
 
 
 def key_matches(spark: SparkSession, d: str) -> DataFrame:
-    """PRF-04: combinations that identify a row, or nearly do."""
-    found = keys.matches(keys.combination_counts(table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")))
-    return flat(found, "source", "total_rows")
-
-
-def common_counts(spark: SparkSession, d: str) -> DataFrame:
-    """PRF-05, SRT-04: distinct counts that many combinations share."""
-    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey")
-    return keys.common_counts(keys.combination_counts(rows))
-
-
-def closest_counts(spark: SparkSession, d: str) -> DataFrame:
-    """SRT-04: combinations nearest to a target count."""
-    orders = table(spark, d, "orders")
-    target = orders.select("o_custkey").distinct().count()
-    counts = keys.combination_counts(orders.select("o_orderstatus", "o_orderpriority", "o_custkey"))
-    return flat(keys.closest(counts, target, 3), "source", "total_rows")
-
-
-def key_discovery_all_columns(spark: SparkSession, d: str) -> DataFrame:
-    """PRF-04: distinct counts of all combinations of all columns."""
-    return flat(keys.combination_counts(table(spark, d, "lineitem")), "source")
+    """PRF-04: combinations of all columns that identify a row, or nearly do, found by sketches."""
+    return flat(keys.near_counts(table(spark, d, "customer")), "total_rows")
 
 
-def key_matches_all_columns(spark: SparkSession, d: str) -> DataFrame:
-    """PRF-04: combinations of all columns that identify a row, or nearly do."""
-    return flat(keys.matches(keys.combination_counts(table(spark, d, "customer"))), "source", "total_rows")
+def near_key_matches(spark: SparkSession, d: str) -> DataFrame:
+    """PRF-04: combinations of all columns with as many values as there are distinct orders, within a twentieth, found by sketches."""
+    lines = table(spark, d, "lineitem")
+    orders = lines.select("l_orderkey").distinct().count()
+    return flat(keys.near_counts(lines, orders, orders // 20), "total_rows")
 
 
-def common_counts_all_columns(spark: SparkSession, d: str) -> DataFrame:
+def common_counts(spark: SparkSession, d: str) -> DataFrame:
     """PRF-05, SRT-04: distinct counts that many combinations of all columns share."""
     return keys.common_counts(keys.combination_counts(table(spark, d, "orders")))
 
 
-def closest_counts_all_columns(spark: SparkSession, d: str) -> DataFrame:
+def closest_counts(spark: SparkSession, d: str) -> DataFrame:
     """SRT-04: combinations of all columns nearest to a target count."""
     orders = table(spark, d, "orders")
     target = orders.select("o_custkey").distinct().count()
     return flat(keys.closest(keys.combination_counts(orders), target, 3), "source", "total_rows")
 
 
+def key_matches_all_columns(spark: SparkSession, d: str) -> DataFrame:
+    """PRF-04: as `key_matches`, from the exact counts of all combinations."""
+    return flat(keys.matches(keys.combination_counts(table(spark, d, "customer"))), "source", "total_rows")
+
+
 QUERIES = {
     "null_rates": null_rates, "expectations": expectations, "severity": severity, "worst_severity": worst_severity,
+    "allowed_duplicates": allowed_duplicates, "validation_outcomes": validation_outcomes,
     "failed_checks": failed_checks, "volume": volume, "freshness": freshness, "service_levels": service_levels,
     "key_duplicates": key_duplicates, "required_rows": required_rows, "content_consistency": content_consistency,
     "column_profile": column_profile, "column_stats": column_stats, "exact_types": exact_types, "domains": domains,
     "key_discovery": key_discovery, "key_matches": key_matches, "common_counts": common_counts,
-    "closest_counts": closest_counts, "key_discovery_all_columns": key_discovery_all_columns,
-    "key_matches_all_columns": key_matches_all_columns, "common_counts_all_columns": common_counts_all_columns,
-    "closest_counts_all_columns": closest_counts_all_columns,
+    "closest_counts": closest_counts, "near_key_matches": near_key_matches, "key_discovery_all_columns": key_discovery,
+    "key_matches_all_columns": key_matches_all_columns, "common_counts_all_columns": common_counts,
+    "closest_counts_all_columns": closest_counts,
 }
 
 
@@ -312,6 +332,16 @@ _CUSTOMER = "c_custkey c_name c_nationkey c_acctbal c_mktsegment".split()
 _ORDERS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
 _STRICT = ", ".join(f'"{c}"' for c in Q.STRICT_COLUMNS["bids"])
 _NULLS = " + ".join(f'(count(*) - count("{c}"))' for c in Q.STRICT_COLUMNS["bids"])
+_ALL_COUNTS = f"SELECT *, (SELECT count(*) FROM lineitem) AS total_rows FROM ({_cube('lineitem', _LINEITEM)})"
+_KEYS_OF_CUSTOMERS = f"""
+SELECT columns, size, unique_count, unique_count - n AS diff, CASE WHEN unique_count = n THEN 'exact' ELSE 'close' END AS match
+FROM ({_cube('customer', _CUSTOMER)}), (SELECT count(*) AS n FROM customer) WHERE abs(unique_count - n) <= 5"""
+_COMMON_COUNTS = f"""
+SELECT unique_count, count(*) AS combinations FROM ({_cube('orders', _ORDERS)}) GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 5"""
+_CLOSEST_COUNTS = f"""
+SELECT columns, size, unique_count, unique_count - n AS diff
+FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders), ({_cube('orders', _ORDERS)}) ORDER BY abs(unique_count - n), columns LIMIT 3"""
+
 SQL = {
     "null_rates": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(*) AS row_count, count(*) - count({c}) AS null_count, "
@@ -321,6 +351,28 @@ SQL = {
     "expectations": _EXPECT,
     "severity": _SEVERITY,
     "worst_severity": f"SELECT max(exit_code) AS exit_code FROM ({_SEVERITY})",
+    "allowed_duplicates": f"""
+WITH orders AS (SELECT * FROM {S.PO_SQL} p WHERE trim("PO #") <> ''),
+allowed AS (SELECT "PO #" AS k, 2 AS n FROM orders WHERE regexp_matches("PO #", '[02468]$') GROUP BY 1 HAVING count(*) > 1),
+kept AS (SELECT orders.* FROM orders LEFT JOIN allowed ON k = "PO #"
+         QUALIFY row_number() OVER (PARTITION BY "PO #" ORDER BY source_row DESC, source_file_hash DESC, row_hash DESC) <= coalesce(n, 1)),
+counts AS (
+  SELECT 'all' AS given, count(*) AS rows, count(DISTINCT "PO #") AS keys, count(DISTINCT row_hash) AS hashes FROM orders UNION ALL
+  SELECT 'consolidated', count(*), count(DISTINCT "PO #"), count(DISTINCT row_hash) FROM kept)
+SELECT given, kind AS expectation_type, u::DOUBLE AS observed_value, rows AS element_count, abs(rows - u - extra) AS unexpected_count,
+       abs(rows - u - extra)::DOUBLE / rows::DOUBLE * 100 AS unexpected_percent, rows - u = extra AS success
+FROM (SELECT given, rows, unnest([keys, hashes]) AS u, unnest(['{Q.KEY_UNIQUE}', '{Q.ROW_HASH_UNIQUE}']) AS kind FROM counts),
+     (SELECT coalesce(sum(n - 1), 0)::BIGINT AS extra FROM allowed)""",
+    "validation_outcomes": f"""
+SELECT dataset, CASE WHEN count(*) FILTER (NOT success AND critical) > 0 THEN 'failed' WHEN count(*) FILTER (NOT success) > 0 THEN 'warning' ELSE 'healthy' END AS status,
+       count(*) FILTER (NOT success AND critical) = 0 AS passed, count(*) FILTER (NOT success AND NOT critical) > 0 AS has_warnings,
+       count(*) AS evaluated_expectations, count(*) FILTER (success) AS successful_expectations,
+       coalesce(string_agg(expectation_type, '~' ORDER BY expectation_type) FILTER (NOT success AND critical), '') AS failures,
+       coalesce(string_agg(concat_ws(':', expectation_type, "column"), '~' ORDER BY expectation_type, "column") FILTER (NOT success AND NOT critical), '') AS warnings,
+       any_value(n) AS row_count, any_value(u) AS unique_rows, any_value(days) AS ingestion_days
+FROM ({_EXPECT}) JOIN ({' UNION ALL '.join(
+    f"SELECT '{name}' AS dataset, count(*) AS n, count(DISTINCT row_hash) AS u, count(DISTINCT ingested_at::DATE) AS days FROM {source} t" for name, source in _SOURCES.items()
+)}) USING (dataset) GROUP BY dataset""",
     "failed_checks": f"""
 SELECT e.dataset, replace(expectation_type, 'expect_', '') AS type, "column",
        CASE WHEN "column" IS NOT NULL THEN unexpected_percent END AS null_percent,
@@ -356,24 +408,15 @@ FROM {S.PO_SQL} p GROUP BY 1""",
         [_type_sql(c, S.PO_SQL, k) for c, k in _PO_KINDS.items()] + [_type_sql(c, "part", k) for c, k in _PART_KINDS.items()]
     ),
     "domains": " UNION ALL ".join(_domain_sql(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")),
-    "key_discovery": f"SELECT *, (SELECT count(*) FROM lineitem) AS total_rows FROM ({_combos('lineitem', ['l_orderkey', 'l_linenumber', 'l_returnflag', 'l_shipdate'])})",
-    "key_matches": f"""
-SELECT *, unique_count - n AS diff, CASE WHEN unique_count = n THEN 'exact' ELSE 'close' END AS match
-FROM ({_combos('customer', ['c_custkey', 'c_name', 'c_mktsegment', 'c_acctbal'])}), (SELECT count(*) AS n FROM customer)
-WHERE abs(unique_count - n) <= 5""".replace("SELECT *,", "SELECT columns, size, unique_count,", 1),
-    "common_counts": f"""
-SELECT unique_count, count(*) AS combinations FROM ({_combos('orders', ['o_orderkey', 'o_orderstatus', 'o_orderpriority', 'o_custkey'])})
-GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 5""",
-    "closest_counts": f"""
-SELECT columns, size, unique_count, unique_count - n AS diff
-FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders), ({_combos('orders', ['o_orderstatus', 'o_orderpriority', 'o_custkey'])}) ORDER BY abs(unique_count - n), columns LIMIT 3""",
-    "key_discovery_all_columns": f"SELECT *, (SELECT count(*) FROM lineitem) AS total_rows FROM ({_cube('lineitem', _LINEITEM)})",
-    "key_matches_all_columns": f"""
+    "key_discovery": _ALL_COUNTS,
+    "key_matches": _KEYS_OF_CUSTOMERS,
+    "near_key_matches": f"""
 SELECT columns, size, unique_count, unique_count - n AS diff, CASE WHEN unique_count = n THEN 'exact' ELSE 'close' END AS match
-FROM ({_cube('customer', _CUSTOMER)}), (SELECT count(*) AS n FROM customer) WHERE abs(unique_count - n) <= 5""",
-    "common_counts_all_columns": f"""
-SELECT unique_count, count(*) AS combinations FROM ({_cube('orders', _ORDERS)}) GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 5""",
-    "closest_counts_all_columns": f"""
-SELECT columns, size, unique_count, unique_count - n AS diff
-FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders), ({_cube('orders', _ORDERS)}) ORDER BY abs(unique_count - n), columns LIMIT 3""",
+FROM ({_cube('lineitem', _LINEITEM)}), (SELECT count(DISTINCT l_orderkey) AS n FROM lineitem) WHERE abs(unique_count - n) <= n // 20""",
+    "common_counts": _COMMON_COUNTS,
+    "closest_counts": _CLOSEST_COUNTS,
+    "key_discovery_all_columns": _ALL_COUNTS,
+    "key_matches_all_columns": _KEYS_OF_CUSTOMERS,
+    "common_counts_all_columns": _COMMON_COUNTS,
+    "closest_counts_all_columns": _CLOSEST_COUNTS,
 }

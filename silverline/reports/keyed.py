@@ -43,7 +43,7 @@ def instance_markers(spark: SparkSession, d: str) -> DataFrame:
     """WIN-02, WIN-03: every sale of a part numbered over time, with the number of sales."""
     rows = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", *LINE_ORDER[:1], *LINE_ORDER[2:])
     order = keyed.oldest_first(["l_shipdate", "l_orderkey", "l_linenumber", *LINE_ORDER[2:]])
-    numbered = keyed.with_instances(rows, ["l_partkey"], order, [F.col("l_shipdate"), F.expr("l_orderkey div 10000")])
+    numbered = keyed.with_instances(rows, ["l_partkey"], order, F.unix_date(F.col("l_shipdate").cast("date")))
     return flat(numbered.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "instance_number", "total_instances"))
 
 

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from silverline.audit.lineage import log_records as make_logs
 from silverline.audit.manifests import batch_summary
+from silverline.audit.snapshots import compare_snapshots
 from silverline.operators.joins import side_by_side
+from silverline.plans import batch as batches
 from silverline.plans import bronze as B
 from silverline.plans import consolidation
 from silverline.plans.silver import SilverRun
@@ -78,6 +80,39 @@ def file_inventory(spark: SparkSession, d: str) -> DataFrame:
     return side_by_side(totals, good)
 
 
+def split_exports(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-01, SRC-11: exports of which some have line breaks inside quotes; only these files are read whole."""
+    path = scratch_path(spark, "mixed")
+    rows = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("Customer"), F.concat("c_name", F.when(F.col("c_nationkey") % 5 == 0, "\n").otherwise(" "), "c_mktsegment").alias("Note"),
+        (F.col("c_nationkey") % 5 == 0).alias("broken"),
+    )
+    schema = FileSchema(("Customer", "Note"), "Customer")
+    for broken in (True, False):
+        writers.write_csv_ordered(rows.where(F.col("broken") == broken), f"{path}/run_{'b' if broken else 'a'}/files", schema.columns)
+    read = readers.raw_with_provenance(spark, f"{path}/*/files", schema)
+    found = len(readers.unsplittable_files(spark, f"{path}/*/files"))
+    run = F.split("_origin_file", "/")[0]
+    counted = files.csv_record_counts(spark, f"{path}/*/files", schema).agg(F.sum("records").alias("records"))
+    per_run = read.groupBy(run.alias("run")).agg(F.count("*").alias("n"), F.sum(F.length("Note")).alias("characters"), F.sum(F.col("Customer").cast("long")).alias("keys"))
+    records = F.lit(counted.first()["records"]).cast("long")
+    return per_run.withColumns({"records": records, "some_read_whole": F.lit(found > 0) & (F.col("run") == "b")})
+
+
+def content_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-09: hashes of one text file a nation, in memory and in pieces."""
+    path = scratch_path(spark, "texts")
+    lines = table(spark, d, "customer").select(F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("value"), "c_nationkey", "c_custkey")
+    placed = lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("value", "c_nationkey")
+    placed.write.partitionBy("c_nationkey").text(path)
+    parts = []
+    for way, most in (("memory", files.WHOLE_BYTES), ("pieces", 0)):
+        hashes = files.content_hashes(spark, path, "*.txt", most)
+        nation = F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("long")
+        parts.append(hashes.select(nation.alias("nation"), F.lit(way).alias("way"), "sha256", "source_file_bytes"))
+    return parts[0].unionByName(parts[1])
+
+
 _PO_MAP = TypedMap(
     (
         TypedColumn("PO #", "po_id", primary_key=True),
@@ -145,6 +180,22 @@ def bronze_manifest_written(spark: SparkSession, d: str) -> DataFrame:
     return side_by_side(content, batches.select(F.col("run_id").alias("batch"), F.col("skipped").alias("batch_skipped"), F.col("failed").alias("batch_failed")))
 
 
+def batch_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-18, AUD-05: two batches over three datasets, one of which can't be read; what their manifests say."""
+    root = scratch_path(spark, "bronze")
+    exports = [batches.Export(name, _export(spark, d, name)[0]) for name in ("vendors", "contracts")]
+    exports.append(batches.Export("bids", exports[0].source))
+    for hour, batch_id in enumerate(("batch_1", "batch_2")):
+        run = B.IngestRun(event_time=RUN.event_time + dt.timedelta(hours=hour))
+        batches.ingest_batch(spark, exports, root, run, batch_id).collect()
+    ended = batches.batch_manifests(spark, root).select(F.col("run_id").alias("batch"), "successful", F.col("skipped").alias("batch_skipped"), "failed", F.explode("results").alias("r"))
+    unfinished = F.lit(batches.unfinished_batches(spark, root).count()).cast("long").alias("unfinished")
+    return ended.select(
+        "batch", "successful", "batch_skipped", "failed", "r.dataset", "r.success", "r.skipped", (F.col("r.new_files") > 0).alias("landed"), "r.row_count", F.col("r.error").isNotNull().alias("explained"),
+        unfinished,
+    )
+
+
 def bronze_recovery(spark: SparkSession, d: str) -> DataFrame:
     """SRC-12, PIPE-15: a content of which a third had landed on an earlier day is completed, once."""
     path, schema = _export(spark, d, "vendors")
@@ -222,6 +273,21 @@ def silver_build(spark: SparkSession, d: str) -> DataFrame:
     return both.select("dataset", "transform_version", "snapshot_id", "bronze_rows", "silver_rows", "filtered_rows", "filter_rate", "skipped")
 
 
+def snapshot_changes(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-25: two silver snapshots of vendors, built from two exports, compared by key and row hash per state."""
+    root, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    rows = S.vendors(spark, d)
+    changed = F.col("source_row") % 2 == 0
+    exports = {
+        "2024-01-18": rows.where("source_row % 3 <> 0"),
+        "2024-01-19": rows.where("source_row % 3 <> 1").withColumns({"row_hash": F.when(changed, F.md5("row_hash")).otherwise(F.col("row_hash")), "State": F.when(changed, F.lit("OR")).otherwise(F.col("State"))}),
+    }
+    for day, export in exports.items():
+        writers.write_bronze(export.withColumns({"ingest_date": F.lit(day), "sha256": F.lit(f"content-{day}")}), root, "vendors")
+        build_silver(spark, "vendors", root, silver, SilverRun(f"snapshot_{day}", S.ASOF, S.NOW), "v0.3.0", bronze="latest")
+    return compare_snapshots(spark, silver, "vendors", "v0.3.0", *[f"snapshot_{day}" for day in exports], ["vendor_id"], ["state"])
+
+
 def _logs(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events").select(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"), F.col("event_id").cast("string").alias("run_id"), "event_type"
@@ -297,9 +363,11 @@ def discovered_runs(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "csv_roundtrip": csv_roundtrip, "csv_tolerant": csv_tolerant, "csv_inferred": csv_inferred, "file_inventory": file_inventory,
+    "split_exports": split_exports, "content_hashes": content_hashes,
     "year_month_export": year_month_export, "typed_rows": typed_rows, "typed_table": typed_table, "bronze_ingest": bronze_ingest,
     "bronze_manifest_written": bronze_manifest_written, "bronze_recovery": bronze_recovery, "silver_rerun": silver_rerun,
     "latest_over_files": latest_over_files, "latest_content": latest_content, "consolidated_bronze": consolidated_bronze, "silver_build": silver_build,
+    "snapshot_changes": snapshot_changes, "batch_ingest": batch_ingest,
     "ndjson_events": ndjson_events, "stream_logs": stream_logs, "stream_ingest": stream_ingest,
     "config_freshness": config_freshness, "discovered_runs": discovered_runs,
 }
@@ -320,6 +388,14 @@ SQL = {
     "csv_roundtrip": f"SELECT {_VENDOR}, count(*) AS n FROM {S.VENDORS_SQL} v GROUP BY ALL",
     "csv_tolerant": f"""
 SELECT "Status", '20240119T000000.000Z_a' AS run, count(*) AS n, count(*) FILTER ("Awarded Vendor(s)" <> '') AS awarded FROM {S.BIDS_SQL} b GROUP BY 1""",
+    "split_exports": """
+SELECT CASE WHEN c_nationkey % 5 = 0 THEN 'b' ELSE 'a' END AS run, count(*) AS n, sum(length(c_name) + 1 + length(c_mktsegment))::BIGINT AS characters,
+       sum(c_custkey)::BIGINT AS keys, (SELECT count(*) FROM customer) AS records, c_nationkey % 5 = 0 AS some_read_whole
+FROM customer GROUP BY ALL""",
+    "content_hashes": """
+SELECT nation, way, sha256(content) AS sha256, strlen(content)::BIGINT AS source_file_bytes
+FROM (SELECT c_nationkey::BIGINT AS nation, string_agg(concat_ws('|', c_custkey, c_name, c_mktsegment), chr(10) ORDER BY c_custkey) || chr(10) AS content
+      FROM customer GROUP BY 1), (SELECT unnest(['memory', 'pieces']) AS way)""",
     "csv_inferred": """
 SELECT count(*) AS n, sum(c_custkey)::BIGINT AS keys, sum(c_nationkey)::BIGINT AS nations,
        CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance, 'double' AS balance_type FROM customer""",
@@ -349,6 +425,20 @@ QUALIFY row_number() OVER (PARTITION BY "Vendor ID" ORDER BY name DESC, row_hash
     "consolidated_bronze": f"""
 SELECT "PO #", CASE WHEN contains("PO #", 'SWC') THEN count(*) ELSE 1 END AS n FROM {S.PO_SQL} p WHERE trim("PO #") <> '' GROUP BY 1""",
     "silver_build": _silver_build_sql(),
+    "batch_ingest": f"""
+SELECT batch, CASE WHEN batch = 'batch_1' THEN 2 ELSE 0 END::BIGINT AS successful, CASE WHEN batch = 'batch_1' THEN 0 ELSE 2 END::BIGINT AS batch_skipped, 1::BIGINT AS failed,
+       dataset, n IS NOT NULL AS success, n IS NOT NULL AND batch = 'batch_2' AS skipped, n IS NOT NULL AND batch = 'batch_1' AS landed,
+       CASE WHEN batch = 'batch_1' THEN coalesce(n, 0) ELSE 0 END::BIGINT AS row_count, n IS NULL AS explained, 0::BIGINT AS unfinished
+FROM (SELECT unnest(['batch_1', 'batch_2']) AS batch),
+     (SELECT 'vendors' AS dataset, count(*) AS n FROM {S.VENDORS_SQL} v UNION ALL SELECT 'contracts', count(*) FROM {S.CONTRACTS_SQL} c UNION ALL SELECT 'bids', NULL)""",
+    "snapshot_changes": f"""
+WITH v AS (SELECT * FROM {S.VENDORS_SQL} r WHERE "Vendor ID" IS NOT NULL),
+then_ AS (SELECT "Vendor ID" AS k, "State" AS state, row_hash AS h FROM v WHERE source_row % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY "Vendor ID" ORDER BY source_row DESC) = 1),
+now_ AS (SELECT "Vendor ID" AS k, CASE WHEN source_row % 2 = 0 THEN 'OR' ELSE "State" END AS state, CASE WHEN source_row % 2 = 0 THEN md5(row_hash) ELSE row_hash END AS h
+         FROM v WHERE source_row % 3 <> 1 QUALIFY row_number() OVER (PARTITION BY "Vendor ID" ORDER BY source_row DESC) = 1)
+SELECT CASE WHEN n.k IS NULL THEN t.state ELSE n.state END AS state, count(t.k) AS previous_rows, count(n.k) AS new_rows, count(*) FILTER (t.k IS NULL) AS added,
+       count(*) FILTER (n.k IS NULL) AS removed, count(*) FILTER (t.h <> n.h) AS changed, count(*) FILTER (t.h = n.h) AS equal, count(n.k) - count(t.k) AS difference
+FROM then_ t FULL JOIN now_ n ON t.k = n.k GROUP BY 1""",
     "ndjson_events": "SELECT strftime(ts, '%Y-%m-%d') AS date, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS severity, event_type AS body, count(*) AS n FROM events GROUP BY ALL",
     "stream_logs": "SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS kind, count(*) AS records FROM events GROUP BY ALL",
     "stream_ingest": f"""SELECT "State", count(*) AS n, count("Vendor ID") AS with_id FROM {S.VENDORS_SQL} v GROUP BY 1""",

@@ -1,6 +1,7 @@
 """Expectations, metrics, profiling and key discovery."""
 
 import datetime as dt
+import random
 from itertools import combinations
 
 import pytest
@@ -138,7 +139,7 @@ def wide(spark):
 
 
 def test_combination_counts_match_brute_force(wide):
-    got = {r["columns"]: (r["unique_count"], r["source"]) for r in keys.combination_counts(wide, batch=3).collect()}
+    got = {r["columns"]: (r["unique_count"], r["source"]) for r in keys.combination_counts(wide).collect()}
     pdf = wide.toPandas().fillna("")
     for size in range(1, 6):
         for combo in combinations(wide.columns, size):
@@ -153,8 +154,6 @@ def test_matches_and_rankings(spark, wide):
     assert {(r["columns"], r["diff"]) for r in keys.matches(counts, 10).collect()} == {("code", -3), ("name", -3), ("code + name", -3)}
     assert [tuple(r) for r in keys.common_counts(counts).collect()] == [(200, 4), (7, 3)]
     assert keys.closest(counts, 150, 1).first()["columns"] == "id"
-    with pytest.raises(ValueError):
-        keys.combination_counts(spark.createDataFrame([tuple(range(13))], [f"c{i}" for i in range(13)]))
 
 
 def test_a_largest_size_admits_any_number_of_columns(spark):
@@ -163,3 +162,56 @@ def test_a_largest_size_admits_any_number_of_columns(spark):
     got = {r["columns"]: r["unique_count"] for r in keys.combination_counts(wide, max_size=2).collect()}
     combos = [combo for size in (1, 2) for combo in combinations(range(13), size)]
     assert got == {" + ".join(f"c{i}" for i in combo): len({tuple(row[i] for i in combo) for row in rows}) for combo in combos}
+
+
+@pytest.fixture(scope="module")
+def sharp(spark):
+    # Pairs nearly identify a row, no single column does; one value holds a third of a column.
+    rng = random.Random(4)
+    rows = [(rng.randrange(60), rng.randrange(70), rng.choice(["hot", "a", "b"]), rng.randrange(2), rng.random() < 0.5, None if i % 9 else i) for i in range(600)]
+    return spark.createDataFrame(rows + rows[:3], "a int, b int, c string, d int, e boolean, f int").repartition(3)
+
+
+def brute_counts(df):
+    rows = [tuple("" if v is None else str(v) for v in row) for row in df.collect()]
+    every = [combo for size in range(1, len(df.columns) + 1) for combo in combinations(range(len(df.columns)), size)]
+    return {" + ".join(df.columns[i] for i in combo): len({tuple(row[i] for i in combo) for row in rows}) for combo in every}, len(rows)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.25, 1.0])
+def test_counts_on_unsettled_rows_are_exact(sharp, monkeypatch, share):
+    monkeypatch.setattr(keys, "UNSETTLED_SHARE", share)
+    want, total = brute_counts(sharp)
+    got = keys.combination_counts(sharp).collect()
+    assert {r["columns"]: r["unique_count"] for r in got} == want and {r["total_rows"] for r in got} == {total}
+
+
+def test_larger_combinations_are_counted_on_few_rows(sharp):
+    hashed = keys._Hashed(sharp, sharp.columns)
+    unsettled = keys._Unsettled(hashed)
+    unsettled.add([(hashed.bits(("a", "b")), ("a", "b"))])
+    table, number, size = unsettled.places[hashed.bits(("a", "b"))]
+    assert 0 < size < hashed.total / 2 and unsettled.tables[table].where(F.col("sharp") == number).count() == size
+    assert unsettled.source(hashed.bits(("a", "b", "c"))) == hashed.bits(("a", "b")) and unsettled.source(hashed.bits(("a", "c"))) == 0
+
+
+@pytest.mark.parametrize(("target", "close"), [(None, 5), (60, 3), (350, 40), (10_000, 5)])
+def test_sketched_search_finds_what_exact_counts_find(sharp, target, close):
+    want, total = brute_counts(sharp)
+    goal = total if target is None else target
+    got = {r["columns"]: (r["unique_count"], r["diff"], r["match"]) for r in keys.near_counts(sharp, target, close).collect()}
+    assert got == {c: (n, n - goal, "exact" if n == goal else "close") for c, n in want.items() if abs(n - goal) <= close}
+
+
+def test_sketch_bounds_hold(sharp):
+    hashed = keys._Hashed(sharp, sharp.columns)
+    want, _ = brute_counts(sharp)
+    combos = [combo for size in (1, 2, 3) for combo in combinations(sharp.columns, size)]
+    for combo, (low, high) in keys.sketched_counts(hashed, combos).items():
+        assert low <= want[" + ".join(combo)] <= high
+
+
+def test_key_discovery_of_no_rows(spark):
+    none = spark.createDataFrame([], "a int, b string")
+    assert [(r["columns"], r["unique_count"]) for r in keys.combination_counts(none).orderBy("columns").collect()] == [("a", 0), ("a + b", 0), ("b", 0)]
+    assert keys.near_counts(none).count() == 3
