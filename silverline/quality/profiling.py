@@ -1,15 +1,16 @@
 """Column profiles and type recommendations.
 
-All columns are profiled together: rows are unpivoted and counted per (column, value) with partial
-counts in every task. Statistics then run over distinct values, and a list of values is only ever
-taken from a column's smallest few.
+All columns are profiled together, and no value leaves the task that read it but for those of a list:
+lengths, amounts and counts are combined sums of the rows; distinct values are counted by 128 bits of
+hash, which repeats within a task share; the values of a column that has few of them come from an
+aggregate of bounded size, which gives up on columns with many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions.dates import parse_date, parse_timestamp
@@ -47,79 +48,117 @@ def business_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if name not in skip and not name.startswith("row_hash_")]
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column and distinct value, with the number of rows."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("column"), F.col(f"`{name}`").cast("string").alias("value"))
-            for i, name in enumerate(columns)
-        ]
-    )
-    return df.select(F.inline(cells)).groupBy("ordinal", "column", "value").agg(F.count("*").alias("n"))
+def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(ordinal, value) of every row and column."""
+    cells = [F.struct(F.lit(i).alias("ordinal"), F.col(f"`{name}`").cast("string").alias("value")) for i, name in enumerate(columns)]
+    return df.select(F.inline(F.array(*cells)))
+
+
+def _named(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The statistics with the name of each column."""
+    return stats.withColumn("column", F.get(F.array(*[F.lit(name) for name in columns]), F.col("ordinal")))
+
+
+def _distinct_counts(cells: DataFrame, **kinds: Column) -> DataFrame:
+    """Distinct values of each kind, one row per ordinal: narrow rows of hashes, not values, are shuffled."""
+    hashed = cells.where(F.col("value").isNotNull()).select(
+        "ordinal", F.xxhash64("value").alias("h1"), F.xxhash64(F.lit("second"), "value").alias("h2"),
+        *[F.coalesce(kind, F.lit(False)).alias(name) for name, kind in kinds.items()],
+    )
+    counts = hashed.distinct().groupBy("ordinal").agg(*[F.count_if(F.col(name)).alias(name) for name in kinds])
+    return counts.withColumnRenamed("ordinal", "_at")
 
 
-def first_values(counts: DataFrame, k: int, name: str, present: Column | None = None) -> DataFrame:
-    """The k smallest present values per column, as a sorted list.
+def _few_values(value: Column, most: int) -> Column:
+    """The distinct values, sorted, if there are `most` at most; what comes back for more is not to be used.
 
-    The rank limit applies before the shuffle. Values that are not present are ranked last instead
-    of being filtered, which leaves the counts as they are for whoever else uses them.
+    The sketch behind it is exact as long as it has room for every value, and of one size with any number.
     """
-    known = F.coalesce(present if present is not None else F.col("value").isNotNull(), F.lit(False))
-    ranked = counts.withColumn("_known", known).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("column").orderBy(F.col("_known").desc(), "value"))
-    )
-    few = ranked.where((F.col("_rank") <= k) & F.col("_known") & (F.col("n") > 0))
-    return few.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias(name))
+    found = F.call_function("approx_top_k", value, F.lit(most + 1), F.lit(max(64, 4 * most)))
+    return F.array_sort(F.filter(F.transform(found, lambda x: x["item"]), lambda x: x.isNotNull()))
+
+
+def _smallest(df: DataFrame, columns: Sequence[str], k: int) -> list[list[str]]:
+    """The k smallest present values of each column: k passes of combined minima, each beyond the last."""
+    found: list[list[str]] = [[] for _ in columns]
+    for _ in range(k):
+        minima = []
+        for i, name in enumerate(columns):
+            value = F.col(f"`{name}`").cast("string")
+            beyond = value > found[i][-1] if found[i] else F.lit(True)
+            minima.append(F.min(F.when((F.trim(value) != "") & beyond, value)).alias(f"m{i}"))
+        row = df.agg(*minima).first()
+        for i, value in enumerate(row):
+            if value is not None:
+                found[i].append(value)
+    return found
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, samples: int = 3) -> DataFrame:
     """Per column: missing values (NULL or blank) and their share, distinct values, samples."""
-    counts = value_counts(df, columns or df.columns)
-    present = F.col("value").isNotNull() & (F.trim("value") != "")
-    stats = counts.groupBy("ordinal", "column").agg(
-        F.sum("n").alias("total_rows"),
-        F.coalesce(F.sum(F.when(~present | F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count_if(present).alias("unique_values"),
-    )
-    sampled = first_values(counts, samples, "sample_values", present)
-    return stats.join(sampled, "column", "left").select(
+    names = list(columns or df.columns)
+    cells = _cells(df, names)
+    present = F.coalesce(F.trim("value") != "", F.lit(False))
+    stats = cells.groupBy("ordinal").agg(F.count("*").alias("total_rows"), F.count_if(~present).alias("null_count"))
+    distinct = _distinct_counts(cells, unique_values=present)
+    lists = F.array(*[F.array(*[F.lit(v) for v in few]).cast("array<string>") for few in _smallest(df, names, samples)])
+    joined = _named(stats.join(distinct, F.col("ordinal") == F.col("_at"), "left"), names)
+    return joined.select(
         "ordinal",
         "column",
         "total_rows",
         "null_count",
         (F.col("null_count") * 100.0 / F.col("total_rows")).cast("double").alias("null_percent"),
-        "unique_values",
-        F.coalesce("sample_values", F.array().cast("array<string>")).alias("sample_values"),
+        F.coalesce("unique_values", F.lit(0)).cast("long").alias("unique_values"),
+        F.get(lists, F.col("ordinal")).alias("sample_values"),
     )
 
 
-def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The numbers the type rules look at, one row per column.
-
-    Counts cover all rows; lengths, amounts and dates are looked at once per distinct value.
-    """
-    counts = value_counts(df, columns)
-    value, n = F.col("value"), F.col("n")
+def _measured(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The numbers the type rules look at, and the domain of columns with few values, one row per column."""
+    cells = _cells(df, columns)
+    value = F.col("value")
     filled = value.isNotNull() & (value != "")
-    has_time = F.contains(value, F.lit(":"))
     amount = money(value, 38, 4)
     number = value.try_cast("decimal(38,0)")
-    return counts.groupBy("ordinal", "column").agg(
-        F.sum("n").alias("total_rows"),
-        F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("non_null"),
-        F.count("value").alias("unique_values"),
+    stats = cells.groupBy("ordinal").agg(
+        F.count("*").alias("total_rows"),
+        F.count("value").alias("non_null"),
         F.coalesce(F.min(F.when(filled, F.length(value))), F.lit(0)).alias("min_length"),
         F.coalesce(F.max(F.when(filled, F.length(value))), F.lit(0)).alias("max_length"),
         F.max(F.abs(amount)).alias("max_abs"),
         (F.count_if(amount != F.round(amount, 2)) > 0).alias("needs_precision"),
-        (F.count_if(has_time) > 0).alias("has_time"),
-        F.count_if(filled).alias("filled_values"),
-        F.coalesce(F.sum(F.when(filled, n)), F.lit(0)).alias("filled_rows"),
-        F.count_if(filled & parse_date(value).isNotNull()).alias("dates"),
-        F.count_if(filled & parse_timestamp(value).isNotNull()).alias("times"),
+        (F.count_if(F.contains(value, F.lit(":"))) > 0).alias("has_time"),
+        F.count_if(filled).alias("filled_rows"),
         F.min(number).alias("min_int"),
         F.max(number).alias("max_int"),
+        _few_values(F.when(filled, value), STATUS_DOMAIN).alias("_few"),
     )
+    # Only values with a slash can be dates of these exports.
+    dated = filled & F.contains(value, F.lit("/"))
+    distinct = _distinct_counts(
+        cells,
+        unique_values=F.lit(True),
+        filled_values=filled,
+        dates=F.when(dated, parse_date(value).isNotNull()),
+        times=F.when(dated, parse_timestamp(value).isNotNull()),
+    )
+    counts = ["unique_values", "filled_values", "dates", "times"]
+    joined = _named(stats.join(distinct, F.col("ordinal") == F.col("_at"), "left").drop("_at"), columns)
+    joined = joined.withColumns({name: F.coalesce(name, F.lit(0)).cast("long") for name in counts})
+    few = F.when(F.col("filled_values").between(1, STATUS_DOMAIN), F.col("_few"))
+    return joined.withColumn("domain", F.coalesce(few, F.array().cast("array<string>"))).drop("_few")
+
+
+STATS = [
+    "ordinal", "column", "total_rows", "non_null", "unique_values", "min_length", "max_length", "max_abs", "needs_precision",
+    "has_time", "filled_values", "filled_rows", "dates", "times", "min_int", "max_int",
+]
+
+
+def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The numbers the type rules look at, one row per column: what rows say, and how many distinct values say it."""
+    return _measured(df, columns).select(*STATS)
 
 
 def _quoted_list(values: Column) -> Column:
@@ -209,17 +248,7 @@ def exact_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """Recommended exact type, nullability, distinct values and cardinality of every column."""
     names = list(columns or business_columns(df))
     kinds = {field.name: field.dataType.typeName() for field in df.schema}
-    measured = column_stats(df, names)
-    # One row per column. Values are listed only for the columns found to have few of them.
-    stats = df.sparkSession.createDataFrame(rows := measured.collect(), measured.schema)
-    short = [row["column"] for row in rows if 0 < row["filled_values"] <= STATUS_DOMAIN]
-    filled = F.col("value").isNotNull() & (F.col("value") != "")
-    listed = first_values(value_counts(df, short), STATUS_DOMAIN, "domain", filled) if short else None
-    none = F.array().cast("array<string>")
-    if listed is None:
-        joined = stats.withColumn("domain", none)
-    else:
-        joined = stats.join(listed, "column", "left").withColumn("domain", F.coalesce("domain", none))
+    joined = _measured(df, names)
     required = F.when(F.col("non_null") == F.col("total_rows"), " NOT NULL").otherwise("")
     column = F.col("column")
     whole = [name for name in names if kinds[name] in ("byte", "short", "integer", "long")]
@@ -242,8 +271,10 @@ def exact_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def domains(df: DataFrame, columns: Sequence[str], most: int = STATUS_DOMAIN) -> DataFrame:
     """Sorted values of every column that has at most `most` of them."""
-    counts = value_counts(df, columns)
-    filled = F.col("value").isNotNull() & (F.col("value") != "")
-    sizes = counts.groupBy("column").agg(F.count_if(filled & (F.col("n") > 0)).alias("unique_values"))
-    listed = first_values(counts, most + 1, "domain", filled)
-    return sizes.where(F.col("unique_values") <= most).join(listed, "column")
+    names = list(columns)
+    cells = _cells(df, names)
+    filled = F.coalesce(F.col("value") != "", F.lit(False))
+    listed = cells.groupBy("ordinal").agg(_few_values(F.when(filled, F.col("value")), most).alias("domain"))
+    distinct = _distinct_counts(cells, unique_values=filled)
+    joined = _named(listed.join(distinct, F.col("ordinal") == F.col("_at")), names)
+    return joined.where(F.col("unique_values").between(1, most)).select("column", "unique_values", "domain")
