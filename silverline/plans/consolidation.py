@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from silverline.operators.keyed import consolidation_stats, drop_keyless, keep_last_n
 from silverline.operators.ordering import text_date_order
 from silverline.operators.positions import with_source_row
-from silverline.sources.readers import path_fields, read_csv_tolerant
+from silverline.sources.readers import path_fields, read_csv_tolerant, read_each
 from silverline.sources.registry import FileSchema
 
 # Order of the exports, oldest first: day of the export, run, file, row in the file.
@@ -18,7 +18,7 @@ COUNT = "Duplicate Count"
 
 def read_exports(spark, paths, schema: FileSchema, multiline: bool | None = None) -> DataFrame:
     """All rows of all exports with the columns that order them."""
-    numbered = with_source_row(read_csv_tolerant(spark, paths, schema, multiline))
+    numbered = read_each(spark, paths, schema, multiline, lambda part, whole: with_source_row(read_csv_tolerant(spark, part, schema, whole)))
     fields = path_fields(F.col("_source_path"), F.col("_modified"))
     return numbered.withColumns({"_file_date": fields["file_date"], "_run_id": fields["run_id"]}).drop("_modified", "_corrupt")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +44,63 @@ def _csv(spark: SparkSession, options: dict[str, str], multiline: bool) -> DataF
     )
 
 
+def unsplittable_files(spark: SparkSession, paths: Sequence[str] | str, quote: str = '"') -> list[str]:
+    """The files whose records a reader of lines would get wrong, found in one splittable pass.
+
+    A line break lies inside quotes exactly if some line before it ends with an odd number of quotes
+    open, and then that line, or one before it, holds an odd number itself. So a file whose lines all
+    hold an even number can be cut at any line break, wherever a block begins. Lines of blanks only and
+    single carriage returns, which readers of lines and of whole files take differently, count too.
+    """
+    lines = spark.read.option("lineSep", "\n").text(paths).select(F.col("_metadata.file_path").alias("path"), F.rtrim("value", F.lit("\r")).alias("line"))
+    line = F.col("line")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
+    odd = (quotes % 2 == 1) | ((line != "") & (F.trim(line) == "")) | F.contains(line, F.lit("\r"))
+    # Names of the files that need it, not of all.
+    return sorted(unquote(row["path"]) for row in lines.groupBy("path").agg(F.max(odd).alias("odd")).where("odd").select("path").toLocalIterator())
+
+
+def read_each(
+    spark: SparkSession,
+    paths: Sequence[str] | str,
+    schema: FileSchema,
+    multiline: bool | None,
+    read: Callable[[Sequence[str] | str, bool], DataFrame],
+) -> DataFrame:
+    """read(paths, multiline), once for the files that must be read whole and once for those that can be split.
+
+    The argument decides for all files, then the schema; without either every file is looked at.
+    `read` gets readers' own columns such as `_metadata`, which a union no longer has.
+    """
+    chosen = schema.multiline if multiline is None else multiline
+    if chosen is not None:
+        return read(paths, chosen)
+    whole = unsplittable_files(spark, paths, schema.options.get("quote", '"'))
+    if not whole:
+        return read(paths, False)
+    every = [unquote(path) for path in spark.read.text(paths).inputFiles()]
+    rest = sorted(set(map(_local, every)) - set(map(_local, whole)))
+    return read(whole, True).unionByName(read(rest, False)) if rest else read(paths, True)
+
+
+def _local(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
 def read_csv_registry(
     spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool | None = None
 ) -> DataFrame:
     """Read with a fixed schema; a renamed, missing or extra column fails the job.
 
     `multiline` allows line breaks inside quotes, at the price of one task per file; without it large
-    files are split. The schema decides unless it is given.
+    files are split. The argument decides, then the schema, then what the files hold.
     """
-    reader = _csv(spark, schema.options, _multiline(schema, multiline)).schema(schema.struct())
-    return reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(paths)
+
+    def read(part: Sequence[str] | str, whole: bool) -> DataFrame:
+        reader = _csv(spark, schema.options, whole).schema(schema.struct())
+        return reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(part)
+
+    return read_each(spark, paths, schema, multiline, read)
 
 
 def read_csv_tolerant(
@@ -59,17 +108,18 @@ def read_csv_tolerant(
 ) -> DataFrame:
     """Read what can be read: short rows are padded, long rows cut, odd rows shown in `_corrupt`."""
     struct = T.StructType([*schema.struct().fields, T.StructField("_corrupt", T.StringType())])
-    reader = _csv(spark, schema.options, _multiline(schema, multiline)).schema(struct).option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", "_corrupt").csv(paths)
 
+    def read(part: Sequence[str] | str, whole: bool) -> DataFrame:
+        reader = _csv(spark, schema.options, whole).schema(struct).option("mode", "PERMISSIVE")
+        return reader.option("columnNameOfCorruptRecord", "_corrupt").csv(part)
 
-def read_csv_inferred(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """Types detected from every row."""
-    return _csv(spark, {}, True).option("inferSchema", True).option("samplingRatio", 1.0).csv(paths)
+    return read_each(spark, paths, schema, multiline, read)
 
 
-def _multiline(schema: FileSchema, asked: bool | None) -> bool:
-    return schema.multiline if asked is None else asked
+def read_csv_inferred(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """Types detected from every row; files are split where no record has a line break inside quotes."""
+    whole = bool(unsplittable_files(spark, paths))
+    return _csv(spark, {}, whole).option("inferSchema", True).option("samplingRatio", 1.0).csv(paths)
 
 
 def union_csv_files(spark: SparkSession, paths: Sequence[str], schema: FileSchema, multiline: bool | None = None) -> DataFrame:
@@ -93,8 +143,12 @@ def raw_with_provenance(
     spark: SparkSession, paths: Sequence[str] | str, schema: FileSchema, multiline: bool | None = None
 ) -> DataFrame:
     """Every raw row, with where it came from."""
-    rows = read_csv_tolerant(spark, paths, schema, multiline).drop("_corrupt")
-    named = rows.select("*", F.col("_metadata.file_path").alias("_full_path"), "_metadata.file_modification_time")
+
+    def read(part: Sequence[str] | str, whole: bool) -> DataFrame:
+        rows = read_csv_tolerant(spark, part, schema, whole).drop("_corrupt")
+        return rows.select("*", F.col("_metadata.file_path").alias("_full_path"), F.col("_metadata.file_modification_time").alias("file_modification_time"))
+
+    named = read_each(spark, paths, schema, multiline, read)
     fields = path_fields(F.col("_full_path"))
     return named.select(
         *[F.col(f"`{name}`") for name in schema.columns],

@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 class FileSchema:
     """Columns and CSV options of one dataset version. Every exported column is text.
 
-    `multiline` says that quoted fields may hold line breaks; such files can't be split over tasks.
+    `multiline` says whether quoted fields hold line breaks: files that do can't be split over tasks.
+    Unless it is set, every file is looked at, and only those that do are read whole.
     """
 
     columns: tuple[str, ...]
     primary_key: str
     options: dict[str, str] = field(default_factory=dict)
-    multiline: bool = True
+    multiline: bool | None = None
 
     def struct(self) -> T.StructType:
         return T.StructType([T.StructField(name, T.StringType()) for name in self.columns])
@@ -98,9 +99,9 @@ def schema_for(
 
 
 def load_registry(spark: SparkSession, path: str) -> dict[tuple[str, str], FileSchema]:
-    """A registry from a JSON file: schemas → dataset → version → columns, csv_options.
+    """A registry from a JSON file: schemas → dataset → version → columns, csv_options, multiline.
 
-    The first column is the primary key unless the entry names another.
+    The first column is the primary key unless the entry names another; `multiline` may be left out.
     """
     text = spark.read.text(path, wholetext=True).first()[0]
     out = {}
@@ -108,5 +109,5 @@ def load_registry(spark: SparkSession, path: str) -> dict[tuple[str, str], FileS
         for version, entry in versions.items():
             columns = tuple(entry["columns"])
             options = {k: str(v) for k, v in entry.get("csv_options", {}).items()}
-            out[(dataset, version)] = FileSchema(columns, entry.get("primary_key", columns[0]), options)
+            out[(dataset, version)] = FileSchema(columns, entry.get("primary_key", columns[0]), options, entry.get("multiline"))
     return out

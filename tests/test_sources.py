@@ -185,3 +185,61 @@ def test_large_files_are_split_without_line_breaks(spark, tmp_path):
         assert files.csv_record_counts(spark, str(tmp_path), schema).first()["records"] == 40_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    """Several files in small blocks; one has line breaks inside quotes, one a blank line of spaces, one a space in its name."""
+    head = "ID #,Note,Total\n"
+    put(f"{tmp_path}/plain.csv", head + "".join(f'p{k},"say ""{k}""",{k}\n' for k in range(3000)))
+    put(f"{tmp_path}/with space.csv", (head + "".join(f"s{k},n,{k}\n" for k in range(500))).replace("\n", "\r\n").encode(), "wb")
+    put(f"{tmp_path}/broken.csv", head + "".join(f'b{k},"line\n{k}",{k}\n' for k in range(700)))
+    put(f"{tmp_path}/none.csv", head)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert [os.path.basename(path) for path in readers.unsplittable_files(spark, str(tmp_path))] == ["broken.csv"]
+        rows = readers.read_csv_registry(spark, str(tmp_path), SCHEMA)
+        whole = readers.read_csv_registry(spark, str(tmp_path), SCHEMA, multiline=True)
+        assert whole.rdd.getNumPartitions() <= 4 < rows.rdd.getNumPartitions()
+        got = sorted(tuple(r) for r in rows.collect())
+        assert got == sorted(tuple(r) for r in whole.collect()) and len(got) == 4200
+        counts = {os.path.basename(r["path"]): r["records"] for r in files.csv_record_counts(spark, str(tmp_path), SCHEMA).collect()}
+        assert counts == {"plain.csv": 3000, "with%20space.csv": 500, "broken.csv": 700}
+        numbered = readers.read_each(spark, str(tmp_path), SCHEMA, None, lambda part, multi: with_source_row(readers.read_csv_tolerant(spark, part, SCHEMA, multi)))
+        assert all(int(r["Total"]) == r["source_row"] - 1 for r in numbered.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize(("text", "kept"), [("a,b,c\n  \nd,e,f\n", True), ("a,b,c\rd,e,f\n", True), ('a,"x"" y",c\n', False), ('a,5" x,c\n', True), ("", False)])
+def test_lines_that_readers_take_differently(spark, tmp_path, text, kept):
+    path = put(f"{tmp_path}/a.csv", "ID #,Note,Total\n" + text)
+    assert bool(readers.unsplittable_files(spark, path)) is kept
+
+
+def test_registry_file_says_multiline(spark, tmp_path):
+    entries = {"v1": {"columns": ["a"]}, "v2": {"columns": ["a"], "multiline": False}, "v3": {"columns": ["a"], "multiline": True}}
+    path = put(f"{tmp_path}/r.json", json.dumps({"schemas": {"x": entries}}))
+    registry = load_registry(spark, path)
+    assert [schema_for("x", version, registry).multiline for version in entries] == [None, False, True]
+
+
+def test_hashes_in_pieces_equal_hashes_in_memory(spark, tmp_path):
+    for name, size in (("a", 1), ("b b", 10), ("c", 3_000_000)):
+        put(f"{tmp_path}/{name}.bin", os.urandom(size), "wb")
+    want = {name: (hashlib.sha256(data).hexdigest(), len(data)) for name in os.listdir(tmp_path) for data in [open(f"{tmp_path}/{name}", "rb").read()]}
+    for whole_bytes in (0, 10, 1 << 30):
+        rows = files.content_hashes(spark, str(tmp_path), whole_bytes=whole_bytes).collect()
+        assert {os.path.basename(r["path"]): (r["sha256"], r["source_file_bytes"]) for r in rows} == want
+        assert all(r["modificationTime"] is not None for r in rows)
+
+
+def test_hash_of_a_file_beyond_two_gibibytes(spark, tmp_path):
+    with open(f"{tmp_path}/large.bin", "wb") as f:
+        f.write(b"begin")
+        f.truncate((2 << 30) + 12_345)
+    digest = hashlib.sha256()
+    with open(f"{tmp_path}/large.bin", "rb") as f:
+        while piece := f.read(1 << 24):
+            digest.update(piece)
+    row = files.content_hashes(spark, str(tmp_path)).first()
+    assert (row["sha256"], row["source_file_bytes"]) == (digest.hexdigest(), (2 << 30) + 12_345)
