@@ -2,7 +2,7 @@
 
 A single key may own a large part of the table, so none of these brings a whole group into one
 task: rank limits are applied before the shuffle, counts are combined before the shuffle, and
-full numbering works on slices of a group whose sizes are added up afterwards.
+full numbering works on slices of a large group whose sizes are added up afterwards.
 """
 
 from __future__ import annotations
@@ -18,6 +18,11 @@ from silverline.session import ensure_checkpointing
 # Parts that a key's rows are ranked in first, so that a large key is cut down by many tasks.
 RANKED_PARTS = 64
 
+# A key with more rows than this is numbered in slices, about this many; lists of large keys up to this size are sent round.
+LARGE_KEY = 100_000
+SLICES = 1024
+BROADCAST_KEYS = 500
+
 
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -52,50 +57,65 @@ def with_instances(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    slice_by: Sequence[Column],
+    along: Column,
     number: str = "instance_number",
     total: str = "total_instances",
+    large_key: int = LARGE_KEY,
 ) -> DataFrame:
-    """Number the rows of every key, and give the size of its group.
+    """Number the rows of every key along `order`, and give the size of its group.
 
-    `slice_by` cuts a group into consecutive slices of its order (it must never decrease along
-    `order`; NULL slices come last). Rows are numbered inside a slice; the sizes of the earlier
-    slices, found by a combined count, are added. No task sees more than one slice of a key, and the
-    slice sizes are themselves summed in two levels: along the parts of a sort, then over the parts.
+    A combined count finds the keys with more than `large_key` rows. Without any, one window numbers
+    the rows, which move once. Rows of large keys are cut into slices first, at quantiles of `along` (a
+    number that never decreases along `order`, NULL last); every slice is numbered by itself and the
+    sizes of the earlier ones are added. So no task gets more than about a thousandth of a large key,
+    plus the rows that share one value of `along`.
     """
-    slices = {f"_slice{i}": column for i, column in enumerate(slice_by)}
-    tagged = df.withColumns({"_key": F.struct(*[_quoted(key) for key in keys]), **slices})
-
-    sizes = tagged.groupBy("_key", *slices).agg(F.count("*").alias("_size"))
-    ordered = [F.col(name).asc_nulls_last() for name in slices]
     ensure_checkpointing(df.sparkSession)
-    # A sort that ran twice might cut elsewhere; stored, every slice keeps its part.
-    placed = sizes.orderBy(F.col("_key"), *ordered).checkpoint().withColumn("_at", F.struct("_key", F.spark_partition_id().alias("_part")))
-    parts = placed.groupBy("_at").agg(F.sum("_size").alias("_sum"))
-    earlier = Window.partitionBy("_at._key").orderBy("_at._part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("_at", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
-    totals = parts.groupBy(F.col("_at._key").alias("_key")).agg(F.sum("_sum").alias("_total"))
-    along = Window.partitionBy("_at").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = (
-        placed.withColumn("_in_part", F.sum("_size").over(along))
-        .join(starts, "_at")
-        .join(totals, "_key")
-        .select(F.struct("_key", *slices).alias("_slice"), (F.col("_start") + F.col("_in_part")).alias("_upto"), "_size", "_total")
-    )
-    inside = Window.partitionBy("_slice").orderBy(*order)
-    local = tagged.withColumn("_slice", F.struct("_key", *slices)).withColumn(
-        "_local", F.row_number().over(inside)
+    by = [_quoted(key) for key in keys]
+    large = df.groupBy(*by).agg(F.count("*").alias("_total")).where(F.col("_total") > large_key).checkpoint()
+    count = large.count()
+    if count == 0:
+        same = Window.partitionBy(*by)
+        numbered = F.row_number().over(same.orderBy(*order)).cast("long")
+        return df.withColumns({number: numbered, total: F.count("*").over(same)})
+
+    few = count <= BROADCAST_KEYS
+    large = large.select(F.struct(*by).alias("_key"), "_total")
+    tagged = df.withColumns({"_key": F.struct(*by), "_along": along.cast("double")})
+    cuts = _cut_points(tagged.select("_key", "_along"), F.broadcast(large) if few else large)
+    cut = tagged.join(F.broadcast(cuts) if few else cuts, "_key", "left").withColumn("_slice", _slice_of(F.col("_along")))
+    # Without a broadcast the join has dealt the rows by key; slices are dealt out anew.
+    cut = cut.drop("_coarse", "_fine") if few else cut.drop("_coarse", "_fine").repartition("_key", "_slice")
+
+    sizes = cut.where(F.col("_total").isNotNull()).groupBy("_key", "_slice").agg(F.count("*").alias("_size"))
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_key", "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_key", "_slice")
+    local = cut.withColumns({"_local": F.row_number().over(inside.orderBy(*order)), "_count": F.count("*").over(inside)})
+    return local.join(F.broadcast(before) if few else before, ["_key", "_slice"], "left").select(
+        *[_quoted(name) for name in df.columns],
+        (F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("long").alias(number),
+        F.coalesce("_total", "_count").cast("long").alias(total),
     )
-    return (
-        local.join(offsets, "_slice")
-        .withColumns(
-            {
-                number: (F.col("_upto") - F.col("_size") + F.col("_local")).cast("long"),
-                total: F.col("_total").cast("long"),
-            }
-        )
-        .select(*[_quoted(name) for name in df.columns], number, total)
+
+
+def _cut_points(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """(_key, _total, _coarse, _fine): quantiles of a large key's `_along`, every 32nd of them, and those between."""
+    shares = F.array(*[F.lit(k / SLICES) for k in range(1, SLICES)])
+    found = rows.join(large, "_key").groupBy("_key").agg(
+        F.first("_total").alias("_total"), F.coalesce(F.percentile_approx("_along", shares, 10 * SLICES), F.array().cast("array<double>")).alias("_cuts")
     )
+    groups = F.sequence(F.lit(0), F.lit(SLICES // 32 - 1))
+    fine = F.transform(groups, lambda k: F.slice("_cuts", k * 32 + 1, 31))
+    coarse = F.filter(F.transform(groups, lambda k: F.get("_cuts", k * 32 + 31)), lambda c: c.isNotNull())
+    return found.select("_key", "_total", coarse.alias("_coarse"), fine.alias("_fine"))
+
+
+def _slice_of(along: Column) -> Column:
+    """Which slice of its key a value falls into: two looks at 31 cut points; 0 where the key is not large, NULL last."""
+    step = F.coalesce(F.size(F.filter("_coarse", lambda c: c < along)), F.lit(0))
+    inner = F.size(F.filter(F.get("_fine", step), lambda c: c < along))
+    return F.when(F.col("_total").isNull(), 0).when(along.isNull(), SLICES + 1).otherwise(step * 32 + inner)
 
 
 def with_allowance(

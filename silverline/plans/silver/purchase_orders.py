@@ -19,9 +19,9 @@ from silverline.plans.silver.common import (
     raw,
     silver_stamp,
 )
+from silverline.session import ensure_checkpointing
 
 KEY = "PO #"
-SLICE_ROWS = 10_000
 
 
 def _parsed(bronze: DataFrame, precision: int) -> DataFrame:
@@ -97,8 +97,12 @@ def v010(bronze: DataFrame, run: SilverRun) -> DataFrame:
 
 
 def v020_optimized(bronze: DataFrame, run: SilverRun, null_safe: bool = False) -> DataFrame:
-    """Star schema: organization, department and status become dimensions with surrogate ids."""
-    newest = newest_version(bronze, KEY)
+    """Star schema: organization, department and status become dimensions with surrogate ids.
+
+    Rows and dimensions both come from the deduplicated records, which are stored once for them.
+    """
+    ensure_checkpointing(bronze.sparkSession)
+    newest = newest_version(bronze, KEY).checkpoint()
     keyed = {
         "Organization": "organization_id",
         "Department": "department_id",
@@ -199,23 +203,9 @@ def v040(bronze: DataFrame, run: SilverRun) -> DataFrame:
 
 
 def v050(bronze: DataFrame, run: SilverRun) -> DataFrame:
-    """No deduplication: repeated records are numbered instead.
-
-    Rows are numbered by `source_row`; the file and the row hash only settle ties. A slice of rows
-    spans all files, so its step shrinks with their number; at one row a step it is cut by file too.
-    """
+    """No deduplication: repeated records are numbered instead, by `source_row`; the file and the row hash only settle ties."""
     ties = ["source_row", "source_file_hash", "row_hash"]
-    files = bronze.select("source_file_hash").distinct().count()
-    step = max(1, SLICE_ROWS // max(1, files))
-    slices = [F.expr(f"source_row div {step}")]
-    if step == 1:
-        slices.append(F.substring("source_file_hash", 1, 3))
-    numbered = with_instances(
-        bronze,
-        [KEY],
-        [F.col(name).asc_nulls_last() for name in ties],
-        slice_by=slices,
-    )
+    numbered = with_instances(bronze, [KEY], [F.col(name).asc_nulls_last() for name in ties], F.col("source_row"))
     rows = _parsed(numbered, 15)
     day, amount = F.col("_day"), F.col("_amount")
     key = raw(KEY)

@@ -76,23 +76,35 @@ def test_kept_and_dropped_make_up_the_input(spark, versions):
     assert stats["final_rows"] == stats["unique_keys"] + stats["extra_rows_kept"]
 
 
-def test_instances_match_a_plain_window(spark, versions):
-    df = spark.createDataFrame([*versions, (None, 1, 0.5), (None, 70, 0.25)], SCHEMA)
-    got = keyed.with_instances(df, ["k"], [F.col("n").asc()], [F.expr("n div 64")])
+@pytest.mark.parametrize(("large_key", "broadcast"), [(10**6, True), (40, True), (40, False), (0, True)])
+def test_instances_match_a_plain_window(spark, versions, monkeypatch, large_key, broadcast):
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 500 if broadcast else 0)
+    df = spark.createDataFrame([*versions, (None, 1, 0.5), (None, 70, 0.25), (0, None, 1.0)], SCHEMA)
+    got = keyed.with_instances(df, ["k"], [F.col("n").asc_nulls_last()], F.col("n"), large_key=large_key)
     df.createOrReplaceTempView("v")
     want = spark.sql(
-        "select *, cast(row_number() over (partition by k order by n) as bigint) a, count(*) over (partition by k) b from v"
+        "select *, cast(row_number() over (partition by k order by n nulls last) as bigint) a, count(*) over (partition by k) b from v"
     )
     assert sorted(map(str, got.collect())) == sorted(
         map(str, want.withColumnsRenamed({"a": "instance_number", "b": "total_instances"}).collect())
     )
 
 
-def test_instances_never_gather_a_key(spark, versions):
-    df = keyed.with_instances(spark.createDataFrame(versions, SCHEMA), ["k"], [F.col("n").asc()], [F.expr("n div 64")])
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+def test_instances_of_a_large_key_are_numbered_in_slices(spark):
+    """A NULL key with a row of every number in each of 500 files, and one number that a tenth of the rows share."""
+    rows = spark.range(50_000).selectExpr(
+        "cast(null as string) as k", "if(id % 10 = 0, 40, id div 500 + 1) as n", "cast(id % 500 as string) as file", "id"
+    )
+    numbered = keyed.with_instances(rows, ["k"], [F.col("n"), F.col("file"), F.col("id")], F.col("n"), large_key=1000)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
     row_windows = [line for line in plan.splitlines() if "row_number" in line]
     assert row_windows and all("_slice" in line for line in row_windows)
+    cut = rows.withColumn("_key", F.struct("k")).withColumn("_along", F.col("n").cast("double"))
+    large = cut.groupBy("_key").agg(F.count("*").alias("_total"))
+    sizes = cut.join(keyed._cut_points(cut, large), "_key").groupBy(keyed._slice_of(F.col("_along"))).count().collect()
+    assert len(sizes) >= 90 and max(r["count"] for r in sizes) <= 5500
+    got = [r["instance_number"] for r in numbered.orderBy("n", "file", "id").select("instance_number").collect()]
+    assert got == list(range(1, 50_001))
 
 
 def test_duplicate_census(spark):
