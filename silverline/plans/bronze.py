@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,7 @@ from silverline.operators.positions import with_positions, with_source_row
 from silverline.plans.consolidation import AGE, consolidate, consolidated_order
 from silverline.session import ensure_checkpointing, path_exists, remove_path
 from silverline.sources.files import content_hashes, list_files, plain_path
-from silverline.sources.readers import read_bronze, read_csv_registry
+from silverline.sources.readers import read_bronze, read_csv_registry, read_each
 from silverline.sources.registry import FileSchema, schema_for
 from silverline.sources.writers import write_bronze, write_manifest
 
@@ -27,6 +27,10 @@ MANIFEST = (
 )
 
 
+# Files that one job reads.
+GROUP_FILES = 5_000
+
+
 @dataclass(frozen=True)
 class IngestRun:
     """Settings of one ingestion."""
@@ -131,33 +135,45 @@ def bronze_rows(
     spark: SparkSession, files: DataFrame, paths: Sequence[str], schema: FileSchema, run: IngestRun
 ) -> DataFrame:
     """The rows of the given files with their bronze metadata."""
-    numbered = with_source_row(read_csv_registry(spark, list(paths), schema, run.multiline))
+    numbered = read_each(
+        spark, list(paths), schema, run.multiline, lambda part, whole: with_source_row(read_csv_registry(spark, part, schema, whole))
+    )
     keyed = files.select(plain_path(F.col("path")).alias("_at"), "sha256", "source_file_bytes")
     joined = numbered.withColumn("_at", plain_path(F.col("_source_path"))).join(keyed, "_at")
     metadata = bronze_metadata(schema.columns, run, F.col("_at"), F.col("sha256"), F.col("source_file_bytes"))
     return joined.withColumns(metadata).drop("_at", "_source_path", "_modified")
 
 
+def _groups(names: DataFrame, size: int) -> Iterator[list[str]]:
+    group: list[str] = []
+    for row in names.toLocalIterator():
+        group.append(row[0])
+        if len(group) == size:
+            yield group
+            group = []
+    if group:
+        yield group
+
+
 def ingest_files(
     spark: SparkSession, source: str | Sequence[str], dataset: str, root: str, run: IngestRun, glob: str = "*.csv"
 ) -> DataFrame:
     """Ingest every file not yet committed to bronze. Returns one manifest row per file, new or skipped.
 
-    Files are hashed once. A content is known when its manifest is written, which comes last: rows of
-    a run that broke off are replaced. One ingestion of a dataset runs at a time.
+    Files are hashed once and land in groups of bounded size. A content is known when its manifest is
+    written, which comes last: rows of a run that broke off are replaced. One ingestion of a dataset runs at a time.
     """
     schema = schema_for(dataset, run.schema_version)
     ensure_checkpointing(spark)
     hashes = content_hashes(spark, source, glob).checkpoint()
     fresh = new_files(hashes, known_hashes(spark, root, dataset)).checkpoint()
-    # Names of the new files, which the reader needs: a list that grows with files, not rows.
-    paths = [row.path for row in fresh.select("path").toLocalIterator()]
-    if paths:
-        drop_uncommitted(spark, root, dataset, fresh)
-        write_bronze(bronze_rows(spark, fresh, paths, schema, run), root, dataset)
-        added = commit(spark, root, dataset, fresh.withColumn("source_file", plain_path(F.col("path"))), run)
-    else:
-        added = spark.createDataFrame([], MANIFEST)
+    added = spark.createDataFrame([], MANIFEST)
+    # The reader needs names. They come group by group, in order, so a group is a range of paths.
+    for paths in _groups(fresh.select("path").orderBy("path"), GROUP_FILES):
+        group = fresh.where(F.col("path").between(paths[0], paths[-1]))
+        drop_uncommitted(spark, root, dataset, group)
+        write_bronze(bronze_rows(spark, group, paths, schema, run), root, dataset)
+        added = added.unionByName(commit(spark, root, dataset, group.withColumn("source_file", plain_path(F.col("path"))), run))
     done = added.select(F.col("source_file").alias("_at"), "row_count", "unique_rows", "run_id", F.lit(True).alias("_new"))
     return (
         hashes.withColumn("_at", plain_path(F.col("path")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from silverline.functions.text import is_missing
 from silverline.operators.joins import side_by_side
+from silverline.operators.keyed import expected_extra_rows
 
 # Names of the expectations, default limits, and limits per dataset.
 ROW_COUNT = "expect_table_row_count_to_be_between"
@@ -94,9 +95,12 @@ def suite_for(dataset: str) -> Suite:
     return Suite(dataset, schema.columns, (schema.primary_key,), NULL_RATES[dataset], STRICT_COLUMNS[dataset])
 
 
-def measure(df: DataFrame, suite: Suite) -> DataFrame:
+def measure(df: DataFrame, suite: Suite, allowances: DataFrame | None = None, count: str = "Duplicate Count") -> DataFrame:
     """Everything the expectations and metrics need, as one row.
 
+    `allowances` says how often records may repeat; what they permit beyond one row each, summed up,
+    becomes a column of the row, `expected_duplicates`.
+
     Counts, bounds and null counts come from one aggregation without a shuffle of rows. Distinct
     counts come from a second, narrow one: a row sends its key and hashes as (kind, value) pairs,
     repeats are dropped in the task, and the pairs carry no other aggregate along.
@@ -115,6 +119,8 @@ def measure(df: DataFrame, suite: Suite) -> DataFrame:
         F.max("ingested_at").alias("last_ingested"),
     )
     key = [F.col(f"`{name}`").cast("string") for name in suite.primary_key]
+    if allowances is not None:
+        plain = side_by_side(plain, expected_extra_rows(allowances, count))
     return with_distinct_counts(
         df,
         plain,
@@ -176,7 +182,11 @@ def _share(part: Column) -> Column:
 
 
 def expectations(stats: DataFrame, suite: Suite, expected_duplicates: int = 0) -> DataFrame:
-    """One row per expectation. The null rate of an empty table is unknown and fails."""
+    """One row per expectation. The null rate of an empty table is unknown and fails.
+
+    Rows that repeat a key are expected as far as `stats` has `expected_duplicates`, else as given.
+    """
+    expected = "expected_duplicates" if "expected_duplicates" in stats.columns else str(int(expected_duplicates))
     bounds = {"min_value": suite.min_rows, "max_value": suite.max_rows}
     within = f"row_count between {suite.min_rows} and {suite.max_rows}"
     results = [_result(suite, ROW_COUNT, within, "row_count", **bounds)]
@@ -193,7 +203,7 @@ def expectations(stats: DataFrame, suite: Suite, expected_duplicates: int = 0) -
         (KEY_UNIQUE, "unique_keys", {"column_list": list(suite.primary_key)}),
         (ROW_HASH_UNIQUE, "unique_rows", {"column": "row_hash"}),
     ):
-        off = f"abs(row_count - {unique} - {int(expected_duplicates)})"
+        off = f"abs(row_count - {unique} - {expected})"
         results.append(_result(suite, kind, f"{off} = 0", unique, off, f"{_rate(off)} * 100", **kwargs))
     results.append(
         _result(suite, CONTENT_HASH, "source_hashes = 1", "source_hashes", expected_unique_hashes=1)

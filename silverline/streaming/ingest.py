@@ -20,32 +20,43 @@ EVENT_LOG = (
 
 
 def stream_bronze(
-    spark: SparkSession, source: str, dataset: str, root: str, checkpoint: str, run: IngestRun, glob: str = "*.csv"
+    spark: SparkSession, source: str, dataset: str, root: str, checkpoint: str, run: IngestRun, glob: str = "*.csv", max_files: int = 1000
 ) -> StreamingQuery:
-    """Ingest the files that arrived since the last call.
+    """Ingest the files that arrived since the last call, in batches of up to `max_files`.
 
-    The stream remembers which files it has seen; a batch passes their names to the bronze ingestion,
-    which skips contents already there. A batch that is repeated after a failure therefore adds
-    nothing twice.
+    The stream remembers which files it has seen, so a first call over a full folder is many batches of
+    a bounded size. A batch keeps the names of its files in a table under its number, which a repeated
+    batch writes again, and passes them to the bronze ingestion, which skips contents already there: a
+    batch that is repeated after a failure adds nothing twice.
     """
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", max_files)
         .load(source)
         .select("path")
     )
 
     def batch(names: DataFrame, number: int) -> None:
-        paths = [row.path for row in names.collect()]
+        session = names.sparkSession
+        table = f"{batch_names_path(root, dataset)}/batch={number}"
+        names.write.mode("overwrite").parquet(table)
+        # No more than `max_files`, which the reader of a batch needs by name.
+        paths = [row.path for row in session.read.schema("path string").parquet(table).toLocalIterator()]
         if paths:
             code = f"{run.code_version}-{number}"
-            ingest_files(names.sparkSession, paths, dataset, root, replace(run, code_version=code), glob)
+            ingest_files(session, paths, dataset, root, replace(run, code_version=code), glob)
 
     return _start(files, batch, checkpoint)
 
 
+def batch_names_path(root: str, dataset: str) -> str:
+    """Where the names of the files of each batch are kept, by batch number."""
+    return f"{root}/_manifests/_stream_{dataset}"
+
+
 def _start(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

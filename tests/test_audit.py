@@ -131,3 +131,22 @@ def test_streamed_counts_equal_a_batch_count(spark, tmp_path):
     assert got == [("2025-08-20", "INFO", 1), ("2025-08-23", "INFO", 4), ("2025-08-24", "ERROR", 2)]
     batch = daily_log_counts(spark.read.json(source))
     assert sorted((str(r["day"]), r["kind"], r["records"]) for r in batch.collect()) == got
+
+
+def test_snapshot_changes_compare_rows_as_bags(spark):
+    from silverline.audit.snapshots import change_summary, snapshot_changes
+
+    schema = "k string, g string, row_hash string, `a.b` int"
+    then = [("same", "x", "1", 0), ("twice", "x", "1", 0), ("twice", "x", "1", 0), ("gone", "y", "1", 0), ("moved", "x", "1", 0), (None, "x", "1", 0), ("more", "x", "1", 0)]
+    now = [("same", "x", "1", 0), ("twice", "x", "1", 0), ("new", "y", "1", 0), ("moved", "y", "2", 0), (None, "x", "1", 0), ("more", "x", "1", 0), ("more", "x", "2", 0)]
+    got = snapshot_changes(spark.createDataFrame(then, schema), spark.createDataFrame(now, schema), ["k"], ["g", "a.b"])
+    assert {r["k"]: (r["g"], r["previous_rows"], r["new_rows"], r["status"]) for r in got.collect()} == {
+        "same": ("x", 1, 1, "equal"), "twice": ("x", 2, 1, "changed"), "gone": ("y", 1, 0, "removed"), "moved": ("y", 1, 1, "changed"),
+        None: ("x", 1, 1, "equal"), "new": ("y", 0, 1, "added"), "more": ("x", 1, 2, "changed"),
+    }
+    summary = change_summary(got, ["g"])
+    assert {r["g"]: tuple(r[c] for c in ("previous_rows", "new_rows", "added", "removed", "changed", "equal", "difference")) for r in summary.collect()} == {
+        "x": (5, 5, 0, 0, 2, 2, 0), "y": (2, 2, 1, 1, 1, 0, 0),
+    }
+    none = spark.createDataFrame([], schema)
+    assert tuple(change_summary(snapshot_changes(none, none, ["k"])).first()) == (0, 0, 0, 0, 0, 0, 0)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from silverline.plans import bronze, consolidation
+from silverline.plans import batch, bronze, consolidation
 from silverline.plans.silver import CATALOGUE, SilverRun, find, sql_transform, version_key
 from silverline.plans.silver_build import build_silver
 from silverline.plans.typed_export import TYPED_MAPS, typed_projection
@@ -191,10 +191,93 @@ def test_rows_with_holes_are_not_committed(spark, tmp_path):
     assert bronze.known_hashes(spark, other, "vendors").isEmpty()
 
 
-def test_slices_stay_small_over_many_files(spark):
-    from silverline.plans.silver import purchase_orders as P
+def test_star_schema_dedupes_once(spark):
+    from silverline.plans.silver import find
+    from silverline.reports import shapes
 
-    rows = spark.range(50_000).selectExpr("cast(null as string) as `PO #`", "id div 500 + 1 as source_row", "md5(cast(id % 500 as string)) as source_file_hash")
-    step = max(1, P.SLICE_ROWS // 500)
-    largest = rows.groupBy(F.expr(f"source_row div {step}")).count().agg(F.max("count")).first()[0]
-    assert largest <= P.SLICE_ROWS
+    out = find("purchase_orders", "v0.2.0", "optimized")(shapes.purchase_orders(spark, "/root/testdata/sf0.001"), shapes.RUN)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "row_number" in line]
+
+
+def export_of(tmp_path, dataset, rows, name="a", columns=None):
+    schema = schema_for(columns or dataset)
+    write(f"{tmp_path}/{dataset}/{name}.csv", rows, schema)
+    return batch.Export(dataset, f"{tmp_path}/{dataset}")
+
+
+def test_batch_commits_datasets_and_then_itself(spark, tmp_path):
+    root = scratch_path(spark, "bronze")
+    good = export_of(tmp_path, "vendors", [vendor("VEN1", "A"), vendor("VEN2", "B")])
+    bad = export_of(tmp_path, "contracts", [vendor("VEN1", "A")], columns="vendors")
+    got = {r["dataset"]: r for r in batch.ingest_batch(spark, [good, bad], root, RUN, "b1").collect()}
+    assert (got["vendors"]["success"], got["vendors"]["skipped"], got["vendors"]["row_count"]) == (True, False, 2)
+    assert not got["contracts"]["success"] and got["contracts"]["error"]
+    written = batch.batch_manifests(spark, root).collect()
+    assert [(r["run_id"], r["successful"], r["skipped"], r["failed"], len(r["results"])) for r in written] == [("b1", 1, 0, 1, 2)]
+    assert batch.unfinished_batches(spark, root).isEmpty()
+    later = bronze.IngestRun(event_time=AT + dt.timedelta(hours=1))
+    assert [r["skipped"] for r in batch.ingest_batch(spark, [good], root, later, "b2").collect()] == [True]
+    assert batch.batch_manifests(spark, root).count() == 1  # nothing happened, nothing is recorded
+
+
+def test_batch_that_broke_off_is_found_and_run_again(spark, tmp_path, monkeypatch):
+    root = scratch_path(spark, "bronze")
+    exports = [export_of(tmp_path, "vendors", [vendor("VEN1", "A")]), export_of(tmp_path, "contracts", [("C1", "", "", "V", "", "$1", "O", "S", "01/01/2024", "01/02/2024")])]
+    real = batch.ingest_files
+
+    def breaks(spark_, source, dataset, *rest):
+        if dataset == "contracts":
+            raise KeyboardInterrupt
+        return real(spark_, source, dataset, *rest)
+
+    monkeypatch.setattr(batch, "ingest_files", breaks)
+    with pytest.raises(KeyboardInterrupt):
+        batch.ingest_batch(spark, exports, root, RUN, "b1")
+    monkeypatch.setattr(batch, "ingest_files", real)
+    assert [(r["run_id"], r["datasets"]) for r in batch.unfinished_batches(spark, root).collect()] == [("b1", ["vendors", "contracts"])]
+    assert batch.batch_manifests(spark, root).isEmpty()
+    again = batch.ingest_batch(spark, exports, root, RUN, "b1").collect()
+    assert [(r["dataset"], r["skipped"], r["new_files"], r["row_count"]) for r in again] == [("vendors", False, 1, 1), ("contracts", False, 1, 1)]
+    assert batch.unfinished_batches(spark, root).isEmpty() and batch.batch_manifests(spark, root).count() == 1
+    assert readers.read_bronze(spark, root, "vendors").count() == 1
+
+
+def test_files_land_in_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "GROUP_FILES", 2)
+    for k in range(5):
+        export_of(tmp_path, "vendors", [vendor(f"VEN{k}", "A")], name=f"f{k}")
+    root = scratch_path(spark, "bronze")
+    got = bronze.ingest_files(spark, f"{tmp_path}/vendors", "vendors", root, RUN).collect()
+    assert len(got) == 5 and all(not r["skipped"] and r["row_count"] == 1 for r in got)
+    assert readers.read_bronze(spark, root, "vendors").count() == 5
+
+
+def test_stream_takes_a_bounded_number_of_files_and_repeats_batches_harmlessly(spark, tmp_path, monkeypatch):
+    from silverline.streaming import ingest as streaming
+
+    for k in range(10):
+        export_of(tmp_path, "vendors", [vendor(f"VEN{k}", "A")], name=f"f{k}")
+    root, state = scratch_path(spark, "bronze"), scratch_path(spark, "state")
+    real, sizes, failed = streaming.ingest_files, [], set()
+
+    def fails_once(spark_, paths, dataset, root_, run, glob):
+        sizes.append(len(paths))
+        real(spark_, paths, dataset, root_, run, glob)
+        if run.code_version not in failed:
+            failed.add(run.code_version)
+            raise RuntimeError("after the batch was ingested")
+
+    monkeypatch.setattr(streaming, "ingest_files", fails_once)
+    for _ in range(6):
+        query = streaming.stream_bronze(spark, f"{tmp_path}/vendors", "vendors", root, state, RUN, max_files=4)
+        try:
+            query.awaitTermination()
+            break
+        except Exception:
+            continue
+    assert sizes == [4, 4, 4, 4, 2, 2]
+    rows = readers.read_bronze(spark, root, "vendors").collect()
+    assert sorted(r["Vendor ID"] for r in rows) == [f"VEN{k}" for k in range(10)]
+    names = spark.read.parquet(streaming.batch_names_path(root, "vendors"))
+    assert {int(r["batch"]): r["n"] for r in names.groupBy("batch").agg(F.count("*").alias("n")).collect()} == {0: 4, 1: 4, 2: 2}
