@@ -256,6 +256,22 @@ def consolidated_bronze(spark: SparkSession, d: str) -> DataFrame:
     return landed.groupBy("PO #").agg(F.count("*").alias("n"))
 
 
+def consolidated_order(spark: SparkSession, d: str) -> DataFrame:
+    """PIPE-15, SRT-02, SRT-03: where every kept row of three overlapping exports lands, days by date and keys as a dictionary sorts them."""
+    schema = schema_for("purchase_orders")
+    rows = S.purchase_orders(spark, d)
+    base = scratch_path(spark, "po")
+    for day, part in (("18", "source_row % 4 = 0"), ("19", "source_row % 4 < 2"), ("20", "source_row % 5 <> 0")):
+        # The number of a row in its file follows its number in the table.
+        numbered = rows.where(part).repartitionByRange(4, "source_row").sortWithinPartitions("source_row")
+        writers.write_csv_ordered(numbered, f"{base}/raw/2024/01/{day}/run_{day}_a/files", schema.columns)
+    exports = consolidation.read_exports(spark, f"{base}/raw/*/*/*/*/files", schema)
+    root = scratch_path(spark, "bronze")
+    B.ingest_consolidated(exports, _po_allowances(rows), "purchase_orders", root, RUN)
+    landed = readers.read_bronze(spark, root, "purchase_orders")
+    return landed.select(F.col("source_row").alias("position"), F.col("PO #").alias("po"), F.col("Sent Date").alias("sent"), F.col("Total").alias("total"), F.col("Status").alias("status"))
+
+
 def _po_allowances(rows: DataFrame) -> DataFrame:
     counted = rows.where("`PO #` LIKE '%SWC%'").groupBy("PO #").agg(F.count("*").alias(consolidation.COUNT))
     return counted.where(f"`{consolidation.COUNT}` > 1")
@@ -366,7 +382,7 @@ QUERIES = {
     "split_exports": split_exports, "content_hashes": content_hashes,
     "year_month_export": year_month_export, "typed_rows": typed_rows, "typed_table": typed_table, "bronze_ingest": bronze_ingest,
     "bronze_manifest_written": bronze_manifest_written, "bronze_recovery": bronze_recovery, "silver_rerun": silver_rerun,
-    "latest_over_files": latest_over_files, "latest_content": latest_content, "consolidated_bronze": consolidated_bronze, "silver_build": silver_build,
+    "latest_over_files": latest_over_files, "latest_content": latest_content, "consolidated_bronze": consolidated_bronze, "consolidated_order": consolidated_order, "silver_build": silver_build,
     "snapshot_changes": snapshot_changes, "batch_ingest": batch_ingest,
     "ndjson_events": ndjson_events, "stream_logs": stream_logs, "stream_ingest": stream_ingest,
     "config_freshness": config_freshness, "discovered_runs": discovered_runs,
@@ -424,6 +440,13 @@ QUALIFY row_number() OVER (PARTITION BY "Vendor ID" ORDER BY name DESC, row_hash
     "latest_content": "SELECT '2024-01-20' AS ingest_date, count(*) AS n, min(c_nationkey)::BIGINT AS lowest FROM customer WHERE c_nationkey >= 12",
     "consolidated_bronze": f"""
 SELECT "PO #", CASE WHEN contains("PO #", 'SWC') THEN count(*) ELSE 1 END AS n FROM {S.PO_SQL} p WHERE trim("PO #") <> '' GROUP BY 1""",
+    "consolidated_order": f"""
+WITH p AS (SELECT * FROM {S.PO_SQL} p WHERE trim("PO #") <> ''),
+exports AS (SELECT 18 AS day, * FROM p WHERE source_row % 4 = 0 UNION ALL SELECT 19, * FROM p WHERE source_row % 4 < 2 UNION ALL SELECT 20, * FROM p WHERE source_row % 5 <> 0),
+allowed AS (SELECT "PO #" AS k, count(*) AS n FROM p WHERE contains("PO #", 'SWC') GROUP BY 1),
+kept AS (SELECT * FROM exports LEFT JOIN allowed ON k = "PO #" QUALIFY row_number() OVER (PARTITION BY "PO #" ORDER BY day DESC, source_row DESC) <= coalesce(n, 1))
+SELECT row_number() OVER (ORDER BY CAST(try_strptime("Sent Date", '%m/%d/%Y') AS DATE) NULLS LAST, "PO #" COLLATE en, day, source_row) AS position,
+       "PO #" AS po, "Sent Date" AS sent, "Total" AS total, "Status" AS status FROM kept""",
     "silver_build": _silver_build_sql(),
     "batch_ingest": f"""
 SELECT batch, CASE WHEN batch = 'batch_1' THEN 2 ELSE 0 END::BIGINT AS successful, CASE WHEN batch = 'batch_1' THEN 0 ELSE 2 END::BIGINT AS batch_skipped, 1::BIGINT AS failed,
