@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,15 +145,17 @@ def bronze_rows(
     return joined.withColumns(metadata).drop("_at", "_source_path", "_modified")
 
 
-def _groups(names: DataFrame, size: int) -> Iterator[list[str]]:
-    group: list[str] = []
-    for row in names.toLocalIterator():
-        group.append(row[0])
-        if len(group) == size:
-            yield group
-            group = []
-    if group:
-        yield group
+def _groups(spark: SparkSession, fresh: DataFrame, size: int) -> Iterator[tuple[list[str], DataFrame]]:
+    """The files in groups of bounded size, each with its names; names come one after another, not all at once."""
+    names = (row[0] for row in fresh.select("path").toLocalIterator())
+    group, first = list(islice(names, size)), True
+    while group:
+        ahead = list(islice(names, size))
+        if first and not ahead:
+            yield group, fresh
+        else:
+            yield group, members(fresh, spark.createDataFrame([(name,) for name in group], "path string"), ["path"])
+        group, first = ahead, False
 
 
 def ingest_files(
@@ -168,9 +171,8 @@ def ingest_files(
     hashes = content_hashes(spark, source, glob).checkpoint()
     fresh = new_files(hashes, known_hashes(spark, root, dataset)).checkpoint()
     added = spark.createDataFrame([], MANIFEST)
-    # The reader needs names. They come group by group, in order, so a group is a range of paths.
-    for paths in _groups(fresh.select("path").orderBy("path"), GROUP_FILES):
-        group = fresh.where(F.col("path").between(paths[0], paths[-1]))
+    # The reader needs names.
+    for paths, group in _groups(spark, fresh, GROUP_FILES):
         drop_uncommitted(spark, root, dataset, group)
         write_bronze(bronze_rows(spark, group, paths, schema, run), root, dataset)
         added = added.unionByName(commit(spark, root, dataset, group.withColumn("source_file", plain_path(F.col("path"))), run))

@@ -29,10 +29,10 @@ from silverline.session import scratch_path
 # Fixed value: how far a count may be off to be a close match.
 CLOSE = 5
 
-# Combinations hashed by one projection; more are hashed side by side.
-BATCH = 48
+# Combinations hashed by one projection of all rows; more are hashed side by side. A method for many more would be too long for the JVM to compile.
+BATCH = 8
 # A combination is sharp if at most this share of the rows can be unsettled under it.
-UNSETTLED_SHARE = 0.25
+UNSETTLED_SHARE = 0.5
 # Sketch size (log2 of registers) and the deviations of its error that bounds allow for.
 SKETCH, DEVIATIONS = 12, 5.0
 
