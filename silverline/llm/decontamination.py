@@ -276,7 +276,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Contamination | Non
 
     A document shorter than an item is one window. NULL texts and texts without words repeat nothing;
     NULL ids stay NULL; repeated rows and items each give their pairs; of equal windows the first is
-    named; empty tables give no rows; other columns are not looked at.
+    named; empty tables give no rows; other columns are not looked at. Items that share id and text
+    give equal pairs, one for each.
     """
     how = how or Contamination()
     out = None

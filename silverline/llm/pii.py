@@ -194,7 +194,9 @@ def find_personal_data(docs: DataFrame, how: Bootstrap | None = None) -> DataFra
 
     Whole texts are read once. NULL text counts as empty and has no spans; a NULL id stays NULL;
     repeated rows each get their spans; an empty table gives no rows; columns other than doc_id and
-    text are not looked at. Values in many documents count once as seeds of a pattern.
+    text are not looked at. Values in many documents count once as seeds of a pattern. A value that
+    patterns of several kinds mark takes the kind of the pattern with the highest score, of equal ones
+    the last by name.
     """
     how = how or Bootstrap()
     found = cut(map_rows(docs.select("doc_id", "text"), _scan, _FOUND).withColumn("row", F.monotonically_increasing_id()))
