@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "embeddings"):
+    for name in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         connection.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     return connection
 
