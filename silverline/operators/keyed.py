@@ -16,7 +16,7 @@ from silverline.functions.text import is_missing
 from silverline.session import ensure_checkpointing
 
 # Parts that a key's rows are ranked in first, so that a large key is cut down by many tasks.
-RANKED_PARTS = 64
+RANKED_PARTS = 256
 
 # A key with more rows than this is numbered in slices, about this many; lists of large keys up to this size are sent round.
 LARGE_KEY = 100_000
@@ -131,21 +131,43 @@ def with_allowance(
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("long")))
 
 
-def keep_last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], allowances: DataFrame, count: str) -> DataFrame:
+def keep_last_n(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], allowances: DataFrame, count: str, large_key: int = LARGE_KEY
+) -> DataFrame:
     """The last N rows of every key along `order`, N coming from `allowances` (one where a key has none).
 
-    Every key is cut by its own N, twice: inside parts of the key, dealt by a hash of the order, and
-    then over what the parts kept. A row among the last N of its key is among the last N of its part,
-    so a key of any size comes down to N rows a part before its rows meet.
+    Keys of up to `large_key` rows are ranked by one window: rows move and are sorted once, and the
+    allowances join what is sorted already. Larger ones, found by a combined count, are cut by their own N
+    twice: inside parts of the key, dealt by a hash of the order, and then over what the parts kept. A row
+    among the last N of its key is among the last N of its part, so a key of any size comes down to N rows
+    a part before its rows meet.
     """
+    ensure_checkpointing(df.sparkSession)
     columns = [_quoted(name) for name in df.columns]
     by = [_quoted(key) for key in keys]
-    sized = with_allowance(df, allowances, keys, count, name="_allowed")
-    dealt = sized.withColumn("_dealt", F.pmod(F.xxhash64(*[_quoted(name) for name in order]), F.lit(RANKED_PARTS)))
-    for group in ([*by, F.col("_dealt")], by):
+    large = df.groupBy(*by).agg(F.count("*").alias("_total")).where(F.col("_total") > large_key).checkpoint()
+    found = large.count()
+    if found == 0:
+        return _last_of_small(df, keys, order, allowances, count).select(*columns)
+
+    sized = with_allowance(large.drop("_total"), allowances, keys, count, name="_allowed").select(F.struct(*by).alias("_key"), "_allowed")
+    listed = F.broadcast(sized) if found <= BROADCAST_KEYS else sized
+    tagged = df.withColumn("_key", F.struct(*by))
+    dealt = tagged.join(listed, "_key").withColumn("_dealt", F.pmod(F.xxhash64(*[_quoted(name) for name in order]), F.lit(RANKED_PARTS)))
+    # Rows dealt by key alone would do for a window over its parts too, so the parts are asked for.
+    dealt = dealt.repartition("_key", "_dealt")
+    for group in (["_key", "_dealt"], ["_key"]):
         window = Window.partitionBy(*group).orderBy(*newest_first(order))
         dealt = dealt.withColumn("_from_end", F.row_number().over(window)).where(F.col("_from_end") <= F.col("_allowed"))
-    return dealt.select(*columns)
+    rest = tagged.join(listed, "_key", "left_anti").drop("_key")
+    return dealt.select(*columns).unionByName(_last_of_small(rest, keys, order, allowances, count).select(*columns))
+
+
+def _last_of_small(df: DataFrame, keys: Sequence[str], order: Sequence[str], allowances: DataFrame, count: str) -> DataFrame:
+    """The last N rows of keys that one task can rank."""
+    window = Window.partitionBy(*[_quoted(key) for key in keys]).orderBy(*newest_first(order))
+    ranked = df.withColumn("_from_end", F.row_number().over(window))
+    return with_allowance(ranked, allowances, keys, count, name="_allowed").where(F.col("_from_end") <= F.col("_allowed"))
 
 
 def duplicate_census(

@@ -1,6 +1,7 @@
 """Keyed operators, joins, ordering and positions."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,20 @@ def test_a_large_limit_holds_for_its_own_key_only(spark):
     }
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_large_keys_are_cut_in_parts(spark, versions, monkeypatch, broadcast):
+    """The rows of a large key are dealt by part before they are ranked; the result is that of one window."""
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 500 if broadcast else 0)
+    allowed = {0: 30, 1: 2, 99: 7}
+    config = spark.createDataFrame(list(allowed.items()), "k int, c int")
+    df = spark.createDataFrame([*versions, *[(None, n, *versions[0][2:]) for n in range(60)]], SCHEMA)
+    kept = keyed.keep_last_n(df, ["k"], ["n"], config, "c", large_key=40)
+    assert rows_of(kept.where("k is not null")) == expected_kept(versions, allowed)
+    assert [row["n"] for row in kept.where("k is null").collect()] == [59]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(_key#\d+, _dealt#", plan)
+
+
 def test_kept_and_dropped_make_up_the_input(spark, versions):
     config = spark.createDataFrame([(0, 3), (5, 4)], "k int, c int")
     df = spark.createDataFrame(versions, SCHEMA)
