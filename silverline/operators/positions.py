@@ -41,7 +41,8 @@ def with_source_row(df: DataFrame, name: str = "source_row") -> DataFrame:
     Adds `_source_path` and `_modified` (the time of the file) as well. Large files are read in
     blocks. Rows are numbered inside their block; the sizes of the earlier blocks of the file come
     from a count per block. Where a block starts is fixed by the file, so reading the files for the
-    count and again for the rows cannot disagree.
+    count and again for the rows cannot disagree. The counts are sent round, a row a block, so the rows
+    of a block stay where they were read.
     """
     tagged = df.select(
         "*",
@@ -56,7 +57,7 @@ def with_source_row(df: DataFrame, name: str = "source_row") -> DataFrame:
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
     return (
-        tagged.join(offsets, ["_file", "_block"])
+        tagged.join(F.broadcast(offsets), ["_file", "_block"])
         .withColumn(name, (F.col("_before") + F.col("_index") - F.col("_first") + 1).cast("long"))
         .select(*[F.col(f"`{column}`") for column in df.columns], name, F.col("_file").alias("_source_path"), "_modified")
     )

@@ -135,12 +135,12 @@ def new_files(hashes: DataFrame, known: DataFrame) -> DataFrame:
 def bronze_rows(
     spark: SparkSession, files: DataFrame, paths: Sequence[str], schema: FileSchema, run: IngestRun
 ) -> DataFrame:
-    """The rows of the given files with their bronze metadata."""
+    """The rows of the given files with their bronze metadata. The files are a group of bounded size, so their list is sent round."""
     numbered = read_each(
         spark, list(paths), schema, run.multiline, lambda part, whole: with_source_row(read_csv_registry(spark, part, schema, whole))
     )
     keyed = files.select(plain_path(F.col("path")).alias("_at"), "sha256", "source_file_bytes")
-    joined = numbered.withColumn("_at", plain_path(F.col("_source_path"))).join(keyed, "_at")
+    joined = numbered.withColumn("_at", plain_path(F.col("_source_path"))).join(F.broadcast(keyed), "_at")
     metadata = bronze_metadata(schema.columns, run, F.col("_at"), F.col("sha256"), F.col("source_file_bytes"))
     return joined.withColumns(metadata).drop("_at", "_source_path", "_modified")
 
@@ -239,12 +239,13 @@ def content_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def bronze_stats(spark: SparkSession, root: str, dataset: str, contents: DataFrame) -> DataFrame:
     """What was written for the given contents: rows, distinct row hashes, last row number, run, first and last ingestion.
 
-    The join prunes partitions at run time, so only those of these contents are read.
+    The join prunes partitions at run time, so only those of these contents are read. Contents come in
+    groups of bounded size; their list is sent round, so that the rows of one content are not gathered.
     """
     if not path_exists(spark, f"{root}/{dataset}"):
         empty = "sha256 string, row_count bigint, unique_rows bigint, last_row bigint, run_id string, min_ingest timestamp, max_ingest timestamp"
         return spark.createDataFrame([], empty)
-    return write_back_stats(members(read_bronze(spark, root, dataset), contents, ["sha256"]))
+    return write_back_stats(members(read_bronze(spark, root, dataset), F.broadcast(contents), ["sha256"]))
 
 
 def write_back_stats(rows: DataFrame, group: str = "sha256") -> DataFrame:

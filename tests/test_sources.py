@@ -136,6 +136,18 @@ def test_source_row_counts_within_each_file(spark, tmp_path):
     assert len(got) == 623 and all(int(r["Total"]) == r["source_row"] for r in got)
 
 
+def test_rows_of_a_block_stay_where_they_were_read(spark, tmp_path):
+    """Numbering sends counts round, not rows: a file of one block is not gathered in one task."""
+    put(f"{tmp_path}/a.csv", "ID #,Note,Total\n" + "".join(f"a{i},n,{i}\n" for i in range(1, 50)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = with_source_row(readers.read_csv_registry(spark, str(tmp_path), SCHEMA, multiline=False))
+        assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["source_row"] for r in numbered.collect()) == list(range(1, 50))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_year_month_overwrites_only_its_months(spark):
     path = scratch_path(spark, "ym")
     df = spark.createDataFrame([("a", dt.date(2024, 1, 5)), ("b", dt.date(2024, 2, 5))], "id string, d date")
