@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -186,6 +187,21 @@ def test_counts_on_unsettled_rows_are_exact(sharp, monkeypatch, share):
     assert {r["columns"]: r["unique_count"] for r in got} == want and {r["total_rows"] for r in got} == {total}
 
 
+@pytest.mark.parametrize("large", [0, 20])
+def test_counts_without_and_with_some_pivots(sharp, monkeypatch, large):
+    """Columns with large classes deal no rows; the counts stay exact."""
+    monkeypatch.setattr(keys, "LARGE_CLASS", large)
+    want, _ = brute_counts(sharp)
+    assert {r["columns"]: r["unique_count"] for r in keys.combination_counts(sharp, max_size=3).collect()} == {c: n for c, n in want.items() if c.count("+") < 3}
+
+
+def test_cells_along_a_pivot_stay_where_they_are(sharp):
+    hashed = keys._Hashed(sharp, sharp.columns)
+    rows = hashed.worded(hashed.dealt(hashed.values, 0, 100), "p")
+    plan = keys._distinct(hashed.cells(rows, [(0, ("a", "b")), (1, ("a", "c"))], "p"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(p#" in plan and "h1" not in " ".join(re.findall(r"hashpartitioning\([^)]*", plan))
+
+
 def test_larger_combinations_are_counted_on_few_rows(sharp):
     hashed = keys._Hashed(sharp, sharp.columns)
     unsettled = keys._Unsettled(hashed)
