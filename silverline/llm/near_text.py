@@ -6,6 +6,10 @@ have a similarity of at least s have set sizes within that ratio, so tiles are s
 bands of population counts; tile pairs whose sizes or counts lie too far apart are never compared,
 all others are, block against block, with exclusive-or and bit counts.
 
+Fingerprints cannot tell 0.75 from 0.8, so each text also carries the parity of its shingles in 512
+buckets. Two parities differ in no more buckets than the sets differ in shingles, so a pair whose
+parities differ in more than the similarity allows has no link for certain; it is never proposed.
+
 A large group would propose all its pairs. Instead every text proposes its few nearest unlinked
 partners, nearest first; these are verified, groups merge, and the next round goes on behind the last
 partner proposed, between different groups only, with more partners each time. A text is done when it
@@ -32,6 +36,7 @@ from silverline.llm.simhash import shingles
 from silverline.session import remove_path
 
 _PLACE = 57  # bits of a text's number; the distance stands above them
+_PARITY = tuple(f"parity_{k}" for k in range(8))  # words of 64 buckets each
 
 
 @dataclass(frozen=True)
@@ -71,14 +76,16 @@ def _prints(how: NearTexts) -> Callable[[], Callable[[list[dict]], list[dict]]]:
 
         def one(row: dict) -> dict:
             parts = set(shingles(row["text"] or "", how.words))
-            halves = [0, 0]
+            halves, parity = [0, 0], [0] * len(_PARITY)
             if parts:
                 raw = np.frombuffer(b"".join(map(digest, parts)), dtype=np.uint8).reshape(len(parts), 16)
                 ones = np.zeros(128, dtype=np.int64)
                 for start in range(0, len(raw), 1 << 14):
                     ones += np.unpackbits(raw[start : start + (1 << 14)], axis=1).sum(axis=0, dtype=np.int64)
                 halves = np.packbits(2 * ones > len(raw)).view("<i8").tolist()
-            return {"key": row["key"], "doc_id": row["doc_id"], "low": halves[0], "high": halves[1], "size": len(parts)}
+                buckets = np.bincount(raw[:, :2].copy().view("<u2").ravel() % (64 * len(_PARITY)), minlength=64 * len(_PARITY))
+                parity = np.packbits(buckets % 2 == 1).view("<i8").tolist()
+            return {"key": row["key"], "doc_id": row["doc_id"], "low": halves[0], "high": halves[1], "size": len(parts)} | dict(zip(_PARITY, parity, strict=True))
 
         return lambda rows: [one(row) for row in rows]
 
@@ -103,8 +110,8 @@ def propose(left: tuple, right: tuple, same: bool, partners: int, how: NearTexts
     """
     import numpy as np
 
-    ids_a, low_a, high_a, size_a, root_a, after_a = left
-    ids_b, low_b, high_b, size_b, root_b, after_b = right
+    ids_a, low_a, high_a, size_a, root_a, after_a, *parity_a = left
+    ids_b, low_b, high_b, size_b, root_b, after_b, *parity_b = right
     low_a, high_a, low_b, high_b = (x.view(np.uint64) for x in (low_a, high_a, low_b, high_b))
     found: list[tuple] = []
     # A large group makes nearly every pair of a strip a candidate, so strips are narrow.
@@ -122,6 +129,12 @@ def propose(left: tuple, right: tuple, same: bool, partners: int, how: NearTexts
         keep &= small >= how.similarity * large - 1e-9
         keep &= d <= np.where(small < how.small_size, how.small_radius, how.radius)
         i, j, d = i[keep], j[keep], d[keep]
+        apart = np.zeros(len(i), dtype=np.int64)
+        for x, y in zip(parity_a, parity_b, strict=True):
+            apart += np.bitwise_count(x.view(np.uint64)[i] ^ y.view(np.uint64)[j])
+        # Sets of a and b shingles that are near differ in (a + b) (1 - s) / (1 + s) shingles at most.
+        keep = apart * (1 + how.similarity) <= (size_a[i] + size_b[j]) * (1 - how.similarity) + 1e-6
+        i, j, d = i[keep], j[keep], d[keep]
         for own, other, after in ((ids_a[i], ids_b[j], after_a[i]), (ids_b[j], ids_a[i], after_b[j])):
             key = (d << _PLACE) | other
             open_ = key > after
@@ -139,7 +152,7 @@ def _kept(frame: DataFrame) -> DataFrame:
     return stored(frame, "merging")
 
 
-_STATE = ("id", "low", "high", "size", "root", "after")
+_STATE = ("id", "low", "high", "size", "root", "after", *_PARITY)
 _DONE = (1 << 63) - 1
 
 
@@ -235,10 +248,11 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
     how = how or NearTexts()
     spark = docs.sparkSession
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5("text")))
-    prints = map_rows(keyed, _prints(how), "key binary, doc_id long, low long, high long, size long")
-    distinct = prints.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("low", "high", "size")])
+    carried = ("low", "high", "size", *_PARITY)
+    prints = map_rows(keyed, _prints(how), "key binary, doc_id long, " + ", ".join(f"{c} long" for c in carried))
+    distinct = prints.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in carried])
     _, texts = store(distinct.withColumn("id", F.monotonically_increasing_id()), "texts")
-    state = texts.select("id", "low", "high", "size", F.col("id").alias("root"), F.lit(-1).cast("long").alias("after"))
+    state = texts.select("id", *carried, F.col("id").alias("root"), F.lit(-1).cast("long").alias("after"))
     old, sets = None, None
     # Families whose members resemble each other without being near propose in vain; each round
     # offers more partners, so rounds are the logarithm of the largest such family.
@@ -268,7 +282,7 @@ def near_groups(docs: DataFrame, how: NearTexts | None = None) -> DataFrame:
         newer, state = store(
             state.join(merged.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left")
             .join(proposed.select("id", last.alias("last")), "id", "left")
-            .select("id", "low", "high", "size", F.coalesce("over", "root").alias("root"), F.coalesce("last", F.lit(_DONE)).alias("after")),
+            .select("id", *carried, F.coalesce("over", "root").alias("root"), F.coalesce("last", F.lit(_DONE)).alias("after")),
             "state",
         )
         for gone in (path, old):
