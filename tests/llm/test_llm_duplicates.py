@@ -205,6 +205,30 @@ def test_repeated_strings_over_cut_buckets_and_chunks(spark, monkeypatch):
     assert suffix_dedup.remove_repeats(empty(spark), how).count() == 0
 
 
+def test_more_buckets_compare_no_more_windows(spark, monkeypatch):
+    """Boundaries between buckets lie between different starts, so none of a common passage's windows crosses them."""
+    resolved, stored = [], suffix_dedup._stored
+
+    def keep(frame, name):
+        out = stored(frame, name)
+        if name == "resolved":
+            resolved.append(out)
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "_stored", keep)
+    shared = prose(79, 60)
+    rows = [(k, prose(900 + k, 30) + shared + prose(950 + k, 30), *corpus()[0][2:]) for k in range(40)]
+    how, before = suffix_dedup.Repeats(100, 70), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        found = suffix_dedup.remove_repeats(documents(spark, rows), how).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plain(found) == plain(brute_repeats(rows, 100))
+    assert resolved[0].filter("h1 is null").count() > 40
+    assert resolved[0].filter("h1 is not null").isEmpty()
+
+
 def test_multikey_order():
     import numpy as np
 
