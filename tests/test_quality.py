@@ -227,6 +227,28 @@ def test_sketch_bounds_hold(sharp):
         assert low <= want[" + ".join(combo)] <= high
 
 
+def test_sketches_are_narrow_near_the_goal_and_never_wrong_far_above_it(spark):
+    grid = spark.range(1_000_000).selectExpr("id % 1000 AS a", "id div 1000 AS b", "id % 7 AS c")
+    hashed = keys._Hashed(grid, grid.columns)
+    low, high = keys.sketched_counts(hashed, [("a", "b")])[("a", "b")]
+    assert low <= 1_000_000 <= high and high - low < 100_000
+    bounds = keys.sketched_counts(hashed, [("a", "b"), ("a", "c"), ("b", "c")], 7000, 5)
+    assert bounds[("a", "c")] == bounds[("b", "c")] == (7000, 7000) and 7005 < bounds[("a", "b")][0] <= 1_000_000
+
+
+def test_a_large_combination_below_the_target_settles_all_inside(spark, monkeypatch):
+    """Six columns of eight values that repeat every 64 rows: no combination of them nears the number of orders, whatever the products say."""
+    small = [f"shiftright(id % 64, {k}) % 8 AS s{k}" for k in range(6)]
+    rows = spark.range(4000).selectExpr("id div 4 AS o", "id % 4 AS line", *small)
+    asked = []
+    sketched = keys.sketched_counts
+    monkeypatch.setattr(keys, "sketched_counts", lambda hashed, combos, *rest: asked.extend(combos) or sketched(hashed, combos, *rest))
+    got = {(r["columns"], r["unique_count"]) for r in keys.near_counts(rows, 1000, 50).collect()}
+    want, _ = brute_counts(rows)
+    assert got == {(c, n) for c, n in want.items() if abs(n - 1000) <= 50}
+    assert sum(all(name.startswith("s") for name in combo) for combo in asked) <= 2
+
+
 def test_key_discovery_of_no_rows(spark):
     none = spark.createDataFrame([], "a int, b string")
     assert [(r["columns"], r["unique_count"]) for r in keys.combination_counts(none).orderBy("columns").collect()] == [("a", 0), ("a + b", 0), ("b", 0)]
