@@ -249,19 +249,23 @@ def bronze_stats(spark: SparkSession, root: str, dataset: str, contents: DataFra
 
 
 def write_back_stats(rows: DataFrame, group: str = "sha256") -> DataFrame:
-    """Row statistics per content, counted from per-hash counts so that copies collapse early."""
-    per_hash = rows.groupBy(group, "row_hash").agg(
-        F.count("*").alias("_n"),
-        F.max("source_row").alias("_last"),
-        F.min("bronze_run_id").alias("run_id"),
-        F.min("ingested_at").alias("_min"),
-        F.max("ingested_at").alias("_max"),
+    """Row statistics per content. All but the distinct hashes is combined before it moves; texts are keys only, so that nothing is sorted."""
+    per_run = rows.groupBy(group, F.col("bronze_run_id").alias("run_id")).agg(
+        F.count("*").alias("row_count"),
+        F.max("source_row").alias("last_row"),
+        F.min("ingested_at").alias("min_ingest"),
+        F.max("ingested_at").alias("max_ingest"),
     )
-    return per_hash.groupBy(group).agg(
-        F.sum("_n").alias("row_count"),
-        F.count("row_hash").alias("unique_rows"),
-        F.max("_last").alias("last_row"),
-        F.min("run_id").alias("run_id"),
-        F.min("_min").alias("min_ingest"),
-        F.max("_max").alias("max_ingest"),
+    hashes = rows.select(group, "row_hash").distinct().groupBy(group).agg(F.count("row_hash").alias("unique_rows"))
+    return (
+        per_run.unionByName(hashes, allowMissingColumns=True)
+        .groupBy(group)
+        .agg(
+            F.sum("row_count").alias("row_count"),
+            F.sum("unique_rows").alias("unique_rows"),
+            F.max("last_row").alias("last_row"),
+            F.min("run_id").alias("run_id"),
+            F.min("min_ingest").alias("min_ingest"),
+            F.max("max_ingest").alias("max_ingest"),
+        )
     )

@@ -177,6 +177,17 @@ def test_half_landed_content_is_completed(spark, tmp_path):
     assert bronze.ingest_files(spark, f"{tmp_path}/raw", "vendors", root, RUN).first()["skipped"]
 
 
+def test_row_statistics_sort_no_rows(spark):
+    schema = "sha256 string, row_hash string, source_row long, bronze_run_id string, ingested_at timestamp"
+    later = AT + dt.timedelta(hours=1)
+    rows = [("a", "h1", 1, "r2", AT), ("a", "h1", 2, "r1", later), ("a", None, 3, "r1", AT), ("b", "h1", 1, None, None), (None, "h2", 7, "r", AT)]
+    stats = bronze.write_back_stats(spark.createDataFrame(rows, schema))
+    got = {r["sha256"]: tuple(r)[1:] for r in stats.select("sha256", "row_count", "unique_rows", "last_row", "run_id", "min_ingest", "max_ingest").collect()}
+    assert got == {"a": (3, 1, 3, "r1", AT, later), "b": (1, 1, 1, None, None, None), None: (1, 1, 7, "r", AT, AT)}
+    plan = stats._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not any("row_hash" in line and "Sort" in line for line in plan)
+
+
 def test_rows_with_holes_are_not_committed(spark, tmp_path):
     schema = schema_for("vendors")
     write(f"{tmp_path}/raw/a.csv", [vendor(f"VEN{k}", "A") for k in range(10)], schema)
