@@ -229,6 +229,31 @@ def test_more_buckets_compare_no_more_windows(spark, monkeypatch):
     assert resolved[0].filter("h1 is not null").isEmpty()
 
 
+def test_places_of_a_common_passage_are_dealt_to_several_tasks(spark):
+    shared = prose(80, 60)
+    tails = [prose(81, 30), *(prose(82 + k, 30) for k in range(5))]
+    rows = [(k, f"{prose(1000 + k, 30)} {shared}{tails[max(0, k - 114)]}", *corpus()[0][2:]) for k in range(120)]
+    small = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        found = suffix_dedup.remove_repeats(documents(spark, rows), suffix_dedup.Repeats(100, 70))
+        assert plain(found.collect()) == plain(brute_repeats(rows, 100))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[lead#\d+L?, body", plan)
+
+
 def test_multikey_order():
     import numpy as np
 
