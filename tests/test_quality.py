@@ -5,6 +5,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,6 +196,52 @@ def test_counts_without_and_with_some_pivots(sharp, monkeypatch, large):
     assert {r["columns"]: r["unique_count"] for r in keys.combination_counts(sharp, max_size=3).collect()} == {c: n for c, n in want.items() if c.count("+") < 3}
 
 
+def test_rows_are_dealt_once_a_column_for_all_combinations(sharp, monkeypatch):
+    """However many combinations there are, each column deals the rows once, and no level of them is counted by itself."""
+    dealt, whole = [], []
+    deal, exact = keys._Hashed.dealt, keys._exact
+    monkeypatch.setattr(keys._Hashed, "dealt", lambda hashed, rows, place, cells: dealt.append(place) or deal(hashed, rows, place, cells))
+    monkeypatch.setattr(keys, "_exact", lambda hashed, unsettled, combos: whole.extend(combos) or exact(hashed, unsettled, combos))
+    want, _ = brute_counts(sharp)
+    assert {r["columns"]: r["unique_count"] for r in keys.combination_counts(sharp).collect()} == want
+    assert sorted(dealt) == list(range(6)) and not whole
+
+
+def test_columns_with_large_classes_are_counted_on_their_distinct_rows(spark, monkeypatch):
+    monkeypatch.setattr(keys, "LARGE_CLASS", 120)
+    totals = []
+    known = keys._Hashed.__init__
+    monkeypatch.setattr(keys._Hashed, "__init__", lambda hashed, df, names: known(hashed, df, names) or totals.append(hashed.total))
+    rows = spark.range(4000).selectExpr("id % 7 AS a", "id", "cast(id % 5 AS string) AS b", "id % 3 AS c")
+    want, _ = brute_counts(rows)
+    assert {r["columns"]: r["unique_count"] for r in keys.combination_counts(rows).collect()} == want
+    assert totals == [4000, 105]
+
+
+def test_odd_values_are_told_apart_as_grouping_tells_them(spark):
+    values = [0.0, -0.0, float("nan"), None, 1.5]
+    rows = [(values[i % 5], ["", "a", "A "][i % 3], [None, 0, 1][i * i % 3], dt.date(2025, 1, 1 + i % 4)) for i in range(90)]
+    odd = spark.createDataFrame(rows, "x double, t string, k int, d date")
+    for r in keys.combination_counts(odd).collect():
+        assert r["unique_count"] == odd.select(*r["columns"].split(" + ")).distinct().count()
+
+
+@pytest.mark.parametrize("most", [1, 2, 4])
+def test_combinations_with_the_first_column_on_some_rows(most):
+    rng = np.random.default_rng(3)
+    columns = [rng.integers(0, width, 500) for width in (40, 9, 3, 200)]
+    got = list(keys._with_first([(1 << k, codes, 200) for k, codes in enumerate(columns)], most))
+    inside = [(0, *more) for size in range(most) for more in combinations((1, 2, 3), size)]
+    assert sorted(got) == sorted((sum(1 << k for k in combo), len(set(zip(*[columns[k].tolist() for k in combo])))) for combo in inside)
+
+
+@pytest.mark.parametrize("rows", [5, 2**21 + 1])
+def test_rows_are_parted_whether_key_and_place_fit_one_number_or_not(rows):
+    codes = np.arange(rows) // 2
+    n, kept, classes = keys._parted(np.zeros(rows, dtype=np.int64), codes, rows)
+    assert n == rows // 2 + 1 and sorted(kept) == list(range(rows - 1)) and (classes == codes[kept]).all()
+
+
 def test_cells_along_a_pivot_stay_where_they_are(sharp):
     hashed = keys._Hashed(sharp, sharp.columns)
     rows = hashed.worded(hashed.dealt(hashed.values, 0, 100), "p")
