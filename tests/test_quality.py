@@ -199,12 +199,14 @@ def test_counts_without_and_with_some_pivots(sharp, monkeypatch, large):
 def test_rows_are_dealt_once_a_column_for_all_combinations(sharp, monkeypatch):
     """However many combinations there are, each column deals the rows once, and no level of them is counted by itself."""
     dealt, whole = [], []
-    deal, exact = keys._Hashed.dealt, keys._exact
-    monkeypatch.setattr(keys._Hashed, "dealt", lambda hashed, rows, place, cells: dealt.append(place) or deal(hashed, rows, place, cells))
+    parts, exact = keys._Hashed.parts, keys._exact
+    monkeypatch.setattr(keys._Hashed, "parts", lambda hashed, cells: dealt.append(cells // hashed.total) or parts(hashed, cells))
     monkeypatch.setattr(keys, "_exact", lambda hashed, unsettled, combos: whole.extend(combos) or exact(hashed, unsettled, combos))
     want, _ = brute_counts(sharp)
     assert {r["columns"]: r["unique_count"] for r in keys.combination_counts(sharp).collect()} == want
-    assert sorted(dealt) == list(range(6)) and not whole
+    assert sorted(dealt) == [1, 2, 3, 4, 5, 6] and not whole
+    row = keys._along(keys._Hashed(sharp, sharp.columns), sharp.columns, 6)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(v0#", row) and not re.search(r"hashpartitioning\(p#", row)
 
 
 def test_columns_with_large_classes_are_counted_on_their_distinct_rows(spark, monkeypatch):
